@@ -12,25 +12,12 @@ sums in a different order, compares equal.
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import panel as P
+from .registry import R, REGISTRY, query  # noqa: F401
 from .tables import table
 
-R = 6
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-
-def query(name: str):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
-    return deco
-
 
 def _r(c, digits: int = R):
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
@@ -110,3 +97,7 @@ def latest_nonnull(spark, sf_dir):
         F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value"))
         .alias("value"))
     return P.latest_nonnull(ev, "user_id", "ts", ["event_type", "value"])
+
+
+# Register the other plan modules (import for side effects).
+from . import q_clean, q_metrics, q_drift, q_spatial, q_serving, q_ml, q_stream  # noqa: E402,F401
