@@ -219,7 +219,8 @@ def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, c
            .withColumn("_gx", F.floor(F.col("_cx") / r) + F.col("_dx"))
            .withColumn("_gy", F.floor(F.col("_cy") / r) + F.col("_dy")))
     pairs = cen.join(pts, ["_gx", "_gy"])
-    d2 = (F.col("_px") - F.col("_cx")) ** 2 + (F.col("_py") - F.col("_cy")) ** 2
+    dx, dy = F.col("_px") - F.col("_cx"), F.col("_py") - F.col("_cy")
+    d2 = dx * dx + dy * dy
     hits = pairs.where(d2 <= r * r).groupBy(key).agg(F.count(F.lit(1)).alias(name))
     return centres.select(key).distinct().join(hits, key, "left") \
         .withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
