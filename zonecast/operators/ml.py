@@ -51,7 +51,8 @@ def with_weight(df: DataFrame, label: str, pos_weight: float | None,
     pos_weight = negatives / positives (computed in one aggregate)."""
     if pos_weight is None:
         r = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).first()
-        pos_weight = (r["n"] / r["p"]) if r["p"] else 1.0
+        # a single-class slice keeps unit weights (n / p would be 0 or undefined)
+        pos_weight = (r["n"] / r["p"]) if r["p"] and r["n"] else 1.0
     return df.withColumn(name, F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0)))
 
 
@@ -67,6 +68,9 @@ def _estimator(family: str, label: str, params: Mapping | None):
         p.pop("stepSize", None)
         if "maxIter" in p:
             p["numTrees"] = p.pop("maxIter")
+        # bootstrap draws can leave a child with zero total weight, whose
+        # probability vector cannot be normalised; require a minimum weight
+        p.setdefault("minWeightFractionPerNode", 0.001)
         return RandomForestClassifier(**common, **p)
     raise ValueError(family)
 
