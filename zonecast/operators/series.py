@@ -52,15 +52,18 @@ def interpolate(df: DataFrame, date: str, value: str, limit: int = 3,
     n the next valid day: gap <= limit -> v_p; no n -> v_p; no p -> null;
     else v_p + (v_n - v_p) * (i - p - limit) / (n - p - limit)."""
     out = out or value
-    base = _series_window(by, date)
-    w_prev = base.rowsBetween(Window.unboundedPreceding, 0)
-    w_next = base.rowsBetween(0, Window.unboundedFollowing)
+    w_prev = _series_window(by, date).rowsBetween(Window.unboundedPreceding, 0)
+    # "next valid" = running last over the reversed order: a growing frame,
+    # linear per series (a current-row..unbounded-following frame is
+    # re-aggregated for every row, quadratic in the series length)
+    rev = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(F.col(date).desc())
+    w_next = rev.rowsBetween(Window.unboundedPreceding, 0)
     day = day_number(F.col(date))
     valid_day = F.when(F.col(value).isNotNull(), day)
     tmp = (df.withColumn("_pv", F.last(value, ignorenulls=True).over(w_prev))
              .withColumn("_pd", F.last(valid_day, ignorenulls=True).over(w_prev))
-             .withColumn("_nv", F.first(value, ignorenulls=True).over(w_next))
-             .withColumn("_nd", F.first(valid_day, ignorenulls=True).over(w_next)))
+             .withColumn("_nv", F.last(value, ignorenulls=True).over(w_next))
+             .withColumn("_nd", F.last(valid_day, ignorenulls=True).over(w_next)))
     gap = day - F.col("_pd")
     filled = (F.when(F.col(value).isNotNull(), F.col(value))
               .when(F.col("_pd").isNull(), F.lit(None))
