@@ -10,9 +10,9 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import CSI_ALARM, PSI_ALARM, numpy_bin, psi_flag
-from .joins import checked_dim
 
 EMPTY_SHARE = 1e-4            # fixed: share used for an empty bin
 RANK_SHIFT_ALARM = 3          # fixed: attribution rank moves more than 3 places
@@ -28,6 +28,9 @@ def _sides(base: DataFrame, cur: DataFrame, col: str, by: Sequence[str]) -> Data
     return b.unionByName(c)
 
 
+MAX_PSI_GROUPS = 100_000
+
+
 def psi_long(both: DataFrame, bins: int = 10, bounds: tuple[float, float] | None = (0.0, 1.0),
              by: Sequence[str] = (), drop_nulls: bool = False, min_rows: int = 0,
              digits: int = 4) -> DataFrame:
@@ -36,29 +39,48 @@ def psi_long(both: DataFrame, bins: int = 10, bounds: tuple[float, float] | None
     ``bounds`` fixed -> numpy-style equal bins on it, out-of-range values
     counted in the side total but not in any bin (A20); ``bounds=None`` ->
     bins span min..max of both sides per group (A21).  Empty bin share ->
-    1e-4; psi = sum (a - e) * ln(a / e), rounded."""
+    1e-4; psi = sum (a - e) * ln(a / e), rounded.  Groups with fewer than
+    ``min_rows`` values on a side (or a missing side) are skipped (F10).
+
+    Two passes over the source whatever the number of groups: pass 1 gets
+    (count, min, max) per group x side -- a handful of rows, read back as a
+    parameter table; pass 2 counts values per group x side x bin with
+    map-side partial aggregation.  Everything after that is bins-sized."""
+    spark = both.sparkSession
     src = both.where(F.col("x").isNotNull()) if drop_nulls else both
-    n = src.groupBy(*by, "side").agg(F.count(F.lit(1)).alias("_len"))
-    if min_rows:
-        ok = n.groupBy(*by).agg(F.min("_len").alias("_m"), F.count(F.lit(1)).alias("_s")) \
-            .where((F.col("_m") >= min_rows) & (F.col("_s") == 2)).select(*by)
-        src = src.join(ok, list(by), "left_semi") if by else src
-        n = n.join(ok, list(by), "left_semi") if by else n
-    if bounds is None:
-        lims = src.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
-        if by:
-            src = src.join(checked_dim(lims), list(by))
-            b = numpy_bin("x", F.col("_lo"), F.col("_hi"), bins)
-        else:
-            r = lims.first()
-            b = numpy_bin("x", float(r["_lo"]), float(r["_hi"]), bins) if r["_lo"] is not None \
-                else F.lit(None).cast("int")
-    else:
-        b = numpy_bin("x", float(bounds[0]), float(bounds[1]), bins)
-    counts = src.withColumn("bin", b).where(F.col("bin").isNotNull()) \
-        .groupBy(*by, "side", "bin").agg(F.count(F.lit(1)).alias("_c"))
-    grid = n.select(*by, "side", "_len").withColumn(
-        "bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    stats = src.groupBy(*by, "side").agg(F.count(F.lit(1)).alias("_len"),
+                                         F.min("x").alias("_lo"), F.max("x").alias("_hi")) \
+        .limit(2 * MAX_PSI_GROUPS + 1).collect()
+    if len(stats) > 2 * MAX_PSI_GROUPS:
+        raise ValueError("too many PSI groups")
+    groups: dict[tuple, dict] = {}
+    for r in stats:
+        g = groups.setdefault(tuple(r[b] for b in by), {"len": {}, "lo": [], "hi": []})
+        g["len"][r["side"]] = r["_len"]
+        if r["_lo"] is not None:
+            g["lo"].append(r["_lo"])
+            g["hi"].append(r["_hi"])
+    params = []
+    for key, g in groups.items():
+        if set(g["len"]) != {"e", "a"} or (min_rows and min(g["len"].values()) < min_rows):
+            continue
+        lo, hi = ((min(g["lo"]), max(g["hi"])) if bounds is None and g["lo"]
+                  else (float(bounds[0]), float(bounds[1])) if bounds is not None else (None, None))
+        for side in ("e", "a"):
+            params.append((*key, side, int(g["len"][side]),
+                           None if lo is None else float(lo), None if hi is None else float(hi)))
+    fields = [T.StructField(b, both.schema[b].dataType) for b in by]
+    pschema = T.StructType(fields + [T.StructField("side", T.StringType()),
+                                     T.StructField("_len", T.LongType()),
+                                     T.StructField("_lo", T.DoubleType()),
+                                     T.StructField("_hi", T.DoubleType())])
+    par = spark.createDataFrame(params, pschema)
+    # the parameter table has one row per group x side (bounded above)
+    binned = src.join(F.broadcast(par), [*by, "side"])
+    counts = (binned.withColumn("bin", numpy_bin("x", F.col("_lo"), F.col("_hi"), bins))
+              .where(F.col("bin").isNotNull())
+              .groupBy(*by, "side", "bin").agg(F.count(F.lit(1)).alias("_c")))
+    grid = par.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     pct = grid.join(counts, [*by, "side", "bin"], "left").select(
         *by, "side", "bin",
         F.when(F.coalesce(F.col("_c"), F.lit(0)) == 0, F.lit(EMPTY_SHARE))
@@ -69,6 +91,8 @@ def psi_long(both: DataFrame, bins: int = 10, bounds: tuple[float, float] | None
     term = (F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e"))
     g = wide.groupBy(*by) if by else wide.groupBy()
     out = g.agg(F.round(F.sum(term), digits).alias("psi"))
+    if not by and not params:
+        out = out.where(F.lit(False))
     return out.withColumn("flag", psi_flag("psi"))
 
 

@@ -87,9 +87,8 @@ def curve_points(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
     fp = negatives with score >= s, and the group totals P, N (W12)."""
     sc = score_counts(df, score, label, by)
     cum = prefix_sums(sc, [F.col(score).desc()], ["pos", "neg"], by)
-    cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
-    totals = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return attach_totals(cum, totals, by)
+    return (cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
+               .withColumnRenamed("pos_tot", "P").withColumnRenamed("neg_tot", "N"))
 
 
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:

@@ -51,7 +51,8 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
                 by: Sequence[str] = (), suffix: str = "_cum",
                 partitions: int | None = None) -> DataFrame:
     """Running sums of ``cols`` in the order ``order`` (inclusive of the
-    current row), optionally restarting per ``by`` group.
+    current row), optionally restarting per ``by`` group; ``<col>_tot``
+    carries the group total.
 
     With ``by`` groups of bounded size use a plain partitioned window; for a
     global order the rows are range-partitioned on (by, order), summed per
@@ -67,9 +68,13 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
     for c in cols:
         local = local.withColumn(c + "_loc", F.sum(c).over(w_in))
     part_tot = tagged.groupBy("_pid", *by).agg(*[F.sum(c).alias(c + "_pt") for c in cols])
+    # one row per partition x group: these windows are bounded by that count
     w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = part_tot.select("_pid", *by, *[F.coalesce(F.sum(c + "_pt").over(w_off), F.lit(0))
-                                          .alias(c + "_off") for c in cols])
+    w_all = Window.partitionBy(*by)
+    offs = part_tot.select("_pid", *by,
+                           *[F.coalesce(F.sum(c + "_pt").over(w_off), F.lit(0)).alias(c + "_off")
+                             for c in cols],
+                           *[F.sum(c + "_pt").over(w_all).alias(c + "_tot") for c in cols])
     out = local.join(F.broadcast(offs), ["_pid", *by])
     for c in cols:
         out = out.withColumn(c + suffix, F.col(c + "_loc") + F.col(c + "_off")) \

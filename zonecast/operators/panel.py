@@ -134,20 +134,38 @@ def latest_nonnull(df: DataFrame, key: Sequence[str] | str, order: str,
     return df.groupBy(*keys).agg(*aggs)
 
 
+def zone_day(events: DataFrame, date: Column, zone: str, value: str, hit: Column) -> DataFrame:
+    """One row per (date, zone) with the summed value, the event count and
+    whether any event matched ``hit``.  A partial aggregate (map-side
+    combine), so a hot zone is reduced before the shuffle."""
+    return (events.select(date.alias("date"), F.col(zone), F.col(value).alias("_v"),
+                          hit.cast("int").alias("_hit"))
+            .groupBy("date", zone)
+            .agg(F.sum("_v").alias("value_sum"), F.count(F.lit(1)).alias("n_events"),
+                 F.max("_hit").alias("hit")))
+
+
 def build_panel(events: DataFrame, date: str, zone: str, flag_filter: Column,
-                value: str, days: int = 14) -> DataFrame:
+                value: str, days: int = 14, pin: bool = True) -> DataFrame:
     """Minimum end-to-end panel on an event table: spine (J2) + per-date
     activity rolls (A1, W2) + per-date log-rolled sums (A2, W2, P16) +
-    overlap flag (A4, J6) + forward label (W3)."""
-    ev = events.select(F.to_date(date).alias("date"), F.col(zone), F.col(value),
-                       flag_filter.alias("_hit"))
-    sp = spine(ev, "date", None, zone)
-    active = rolling_mean_rows(daily_distinct(ev, "date", zone, "active_zones"), "date",
+    overlap flag (A4, J6) + forward label (W3).
+
+    The raw events are read once: they are reduced to one row per
+    (date, zone) and, with ``pin``, written to the shared checkpoint folder,
+    so every later branch (spine, series, flags, bounds) reads that much
+    smaller table instead of rescanning the source."""
+    from ..session import cut_lineage
+    zd = zone_day(events, F.to_date(date), zone, value, flag_filter)
+    if pin:
+        zd = cut_lineage(zd)
+    sp = spine(zd, "date", None, zone)
+    active = rolling_mean_rows(zd.groupBy("date").agg(F.count(zone).alias("active_zones")), "date",
                                "active_zones", {"active_roll2w": 14, "active_roll4w": 28})
-    recent = rolling_mean_rows(daily_sum(ev, "date", value, "value_sum"), "date",
-                               "value_sum", {"value_roll2w_log": 14, "value_roll4w_log": 28},
-                               log1p=True)
-    flags = point_flags(ev.where("_hit"), ["date", zone], zone)
+    recent = rolling_mean_rows(
+        zd.groupBy("date").agg(F.coalesce(F.sum("value_sum"), F.lit(0)).alias("value_sum")), "date",
+        "value_sum", {"value_roll2w_log": 14, "value_roll4w_log": 28}, log1p=True)
+    flags = zd.where(F.col("hit") == 1).select("date", zone, F.lit(1).alias("active_cluster_overlap"))
     panel = add_series(add_series(sp, active), recent)
     panel = add_overlap(panel, flags, ["date", zone])
     return forward_label(panel, zone, "date", "active_cluster_overlap", days)
