@@ -35,7 +35,12 @@ def clean_rules(df: DataFrame, rules: Sequence[tuple[str, Column]],
         reason = F.when(fail, F.lit(name)) if reason is None else reason.when(fail, F.lit(name))
     reason = F.lit(kept_label) if reason is None else reason.otherwise(F.lit(kept_label))
     tagged = df.withColumn("_rule", reason)
-    kept = tagged.where(F.col("_rule") == kept_label).drop("_rule")
+    # kept rows: the plain conjunction (a null predicate drops the row), which
+    # Catalyst can push into the scan, unlike a filter on the label
+    keep_all = None
+    for _, keep in rules:
+        keep_all = keep if keep_all is None else (keep_all & keep)
+    kept = df.where(keep_all) if keep_all is not None else df
     audit = tagged.groupBy(F.col("_rule").alias("rule")).agg(F.count(F.lit(1)).alias("n_rows"))
     return kept, audit
 
