@@ -203,3 +203,17 @@ def numpy_bin(x: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName, n: int) -> Co
     return (F.when(~inside | xv.isNull(), F.lit(None).cast("int"))
             .when((hv == lv) | (xv == hv), F.lit(n - 1))
             .otherwise(F.least(F.greatest(adj, F.lit(0)), F.lit(n - 1))))
+
+
+# ------------------------------------------------------------ extensions
+def week_harmonics(c: ColumnOrName, period: float = 52.0) -> tuple[Column, Column]:
+    """sin / cos of 2*pi*weekofyear/period."""
+    w = F.weekofyear(_c(c)).cast("double")
+    ang = F.lit(2 * 3.141592653589793) * w / F.lit(float(period))
+    return F.sin(ang), F.cos(ang)
+
+
+def conjunctive_alert(score: ColumnOrName, vulnerability: ColumnOrName, count: ColumnOrName,
+                      t_score: float, t_vul: float, n_min: int) -> Column:
+    """score > t_score AND vulnerability > t_vul AND count >= n_min."""
+    return (_c(score) > F.lit(t_score)) & (_c(vulnerability) > F.lit(t_vul)) & (_c(count) >= F.lit(n_min))

@@ -120,6 +120,17 @@ def forward_label(panel: DataFrame, zone: str = "subzone_name", date: str = "dat
     return panel.withColumn(label, F.coalesce(F.max(flag).over(w), F.lit(0)).cast("int"))
 
 
+def backward_window(panel: DataFrame, zone: str, date: str, col: str, days: int,
+                    agg: str = "max", name: str | None = None) -> DataFrame:
+    """Aggregate of ``col`` over the zone's snapshots in [T - days, T - 1]
+    (D2 with ``max`` = any in the prior window, D5 with ``sum`` = count of
+    active snapshots); empty window -> 0."""
+    w = Window.partitionBy(zone).orderBy(day_number(F.col(date))).rangeBetween(-days, -1)
+    f = {"max": F.max, "sum": F.sum}[agg]
+    return panel.withColumn(name or f"{col}_{agg}_{days}d",
+                            F.coalesce(f(col).over(w), F.lit(0)).cast("long"))
+
+
 def latest_nonnull(df: DataFrame, key: Sequence[str] | str, order: str,
                    cols: Sequence[str]) -> DataFrame:
     """Per key, for every column the value at the latest ``order`` among rows
