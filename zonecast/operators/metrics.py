@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import numpy_bin
 from .joins import checked_dim
 from .ordering import prefix_sums
+from ..session import cut_lineage
 
 DELTAS = (-0.05, -0.02, 0.0, 0.02, 0.05)   # fixed: threshold sensitivity offsets
 SWEEP = (0.01, 0.99, 200)                   # fixed: sweep grid lo, hi, points
@@ -187,6 +188,9 @@ def sweep(df: DataFrame, score: str, label: str, lo: float = SWEEP[0], hi: float
     counts = (df.where(s.isNotNull()).withColumn("_cell", cell)
               .groupBy(*by, "_cell").agg(F.count_if(y).alias("_pos"),
                                           F.count(F.lit(1)).alias("_all")))
+    # at most (n + 1) rows per group: pinned once so the grid, the totals and
+    # the running sums below do not each rescan the scored table
+    counts = cut_lineage(counts)
     groups = counts.select(*by).distinct() if by else None
     grid_src = groups if by else counts.sparkSession.range(1).select()
     grid = grid_src.select(*by, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_cell"))

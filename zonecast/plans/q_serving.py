@@ -108,16 +108,15 @@ def alert_scores(spark, sf_dir):
     vulnerability index, alert score, strict alert flag, tier action
     (P20-P22, P25, J1)."""
     z = zone_scores(spark, sf_dir)
-    cases = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")) \
-        .agg(F.count(F.lit(1)).alias("case_count"))
-    x = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").join(
-        table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("orders_total")),
-        "c_custkey", "left")
-    vul = IX.composite_index(IX.minmax(x, ["c_acctbal", "orders_total"]),
-                             {"c_acctbal_norm": 0.5, "orders_total_norm": 0.5})
-    j = z.join(cases, "c_custkey", "left").join(vul.select("c_custkey", "vulnerability_index"),
-                                                "c_custkey", "left")
+    # one pass over orders: case count and order total per zone
+    per = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("case_count"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("orders_total"))
+    x = z.select("c_custkey", "score", "risk_tier").join(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_custkey") \
+        .join(per, "c_custkey", "left")
+    j = IX.composite_index(IX.minmax(x, ["c_acctbal", "orders_total"]),
+                           {"c_acctbal_norm": 0.5, "orders_total_norm": 0.5})
     j = SV.with_defaults(j, SV.ONLINE_DEFAULTS)
     out = SV.with_action(SV.with_alert(j, "score", "vulnerability_index", "case_count"))
     return out.select("c_custkey", "risk_tier", "case_count", "vulnerability_index",

@@ -72,10 +72,14 @@ def rolling_recent_log(spark, sf_dir):
 
 @query("forward_label")
 def forward_label(spark, sf_dir):
-    ev = _events_daily(spark, sf_dir)
-    sp = P.spine(ev, "date", None, "user_id")
-    flags = P.point_flags(ev.where(F.col("event_type") == "error"), ["date", "user_id"],
-                          "user_id", "overlap")
+    """Spine x error flag -> forward 14-day label, from the pinned zone-day
+    table (events read once)."""
+    from ..session import cut_lineage
+    ev = table(spark, sf_dir, "events")
+    zd = cut_lineage(P.zone_day(ev, F.to_date("ts"), "user_id", "value",
+                                F.col("event_type") == "error"))
+    sp = P.spine(zd, "date", None, "user_id")
+    flags = zd.where(F.col("hit") == 1).select("date", "user_id", F.lit(1).alias("overlap"))
     panel = P.add_overlap(sp, flags, ["date", "user_id"], "overlap")
     return P.forward_label(panel, "user_id", "date", "overlap", 14)
 
