@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import checked_dim
+
 # Fixed values of the SVY21 projection (EPSG:3414): WGS84 ellipsoid,
 # transverse Mercator with these origin, scale and false offsets.
 SVY21 = {
@@ -199,7 +201,10 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
     about the size of a typical polygon."""
     c = F.lit(float(cell))
     pts = points.withColumn("_cx", F.floor(F.col(x) / c)).withColumn("_cy", F.floor(F.col(y) / c))
-    cells = polygon_cells(polygons, geom, cell)
+    # the polygon side (zones x covered cells) is small: counted, then
+    # broadcast under the limit, so a hot cell holding many points never
+    # has to be shuffled into one task
+    cells = checked_dim(polygon_cells(polygons, geom, cell))
     cand = pts.join(cells, ["_cx", "_cy"])
     return cand.where(contains(F.col(geom), F.col(x), F.col(y))).drop("_cx", "_cy")
 
@@ -218,7 +223,7 @@ def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, c
            .withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
            .withColumn("_gx", F.floor(F.col("_cx") / r) + F.col("_dx"))
            .withColumn("_gy", F.floor(F.col("_cy") / r) + F.col("_dy")))
-    pairs = cen.join(pts, ["_gx", "_gy"])
+    pairs = pts.join(checked_dim(cen), ["_gx", "_gy"])
     dx, dy = F.col("_px") - F.col("_cx"), F.col("_py") - F.col("_cy")
     d2 = dx * dx + dy * dy
     hits = pairs.where(d2 <= r * r).groupBy(key).agg(F.count(F.lit(1)).alias(name))
