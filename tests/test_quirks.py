@@ -279,3 +279,31 @@ def test_tier_alert_and_agreement(spark):
     assert [x["t"] for x in r] == ["High", "Medium", "Low"]
     assert r[0]["a"] == round(0.6 * 1.0 * math.log(2), 4)
     assert [x["g"] for x in r] == [True, True, False]   # both below 0.6 agree
+
+
+def test_projection_helpers(spark):
+    df = spark.createDataFrame([(10, 2, None, 1.0, 5.0), (0, 1, 1, None, 2.0)],
+                               "total int, age_65_69 int, age_70_74 int, temp_mean double, wind double")
+    sh = CL.share(df, ["age_65_69", "age_70_74", "age_90_over"], "total", "elderly_pop", "elderly_pct")
+    r = sh.orderBy(F.desc("total")).collect()
+    assert r[0]["elderly_pop"] == 2 and r[0]["elderly_pct"] == 0.2
+    assert r[1]["elderly_pct"] is None                       # zero total -> null, not an error
+    assert CL.drop_matching(df, ["temp", "wind"]).columns == ["total", "age_65_69", "age_70_74"]
+    assert CL.fill_zero(df, ["age_70_74"]).where("age_70_74 IS NULL").count() == 0
+    assert CL.project(df, {"t": "total", "w2": F.col("wind") * 2}).columns == ["t", "w2"]
+
+
+def test_defaults_override_and_dedup_keep_last(spark):
+    from zonecast.operators import joins as J
+    from zonecast.operators import serving as SV
+    base = spark.createDataFrame([("a", None, 0.0), ("b", 3, None)], "k string, case_count int, vulnerability_index double")
+    d = {r["k"]: r for r in SV.with_defaults(base, SV.ONLINE_DEFAULTS).collect()}
+    assert d["a"]["case_count"] == 1 and d["a"]["vulnerability_index"] == 0.0   # stored 0 stays 0
+    assert d["b"]["vulnerability_index"] == 0.5
+    fresh = spark.createDataFrame([("b", 0.9)], "k string, vulnerability_index double")
+    o = {r["k"]: r["vulnerability_index"] for r in SV.override(base, fresh, "k", "vulnerability_index").collect()}
+    assert o == {"a": 0.0, "b": 0.9}
+    a = spark.createDataFrame([(" S1 ", "Old"), ("S2", "Two")], "id string, name string")
+    b = spark.createDataFrame([("S1", " New ")], "id string, name string")
+    u = {r["id"]: r["name"] for r in J.union_latest(a, b, "id", "name").collect()}
+    assert u == {"S1": "New", "S2": "Two"}
