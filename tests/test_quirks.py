@@ -307,3 +307,13 @@ def test_defaults_override_and_dedup_keep_last(spark):
     b = spark.createDataFrame([("S1", " New ")], "id string, name string")
     u = {r["id"]: r["name"] for r in J.union_latest(a, b, "id", "name").collect()}
     assert u == {"S1": "New", "S2": "Two"}
+
+
+def test_fill_series_generator_matches_interpolate(spark):
+    df = spark.createDataFrame([("a", day(1), 1.0), ("a", day(7), 6.0), ("b", day(0), 2.0)],
+                               "k string, date date, v double")
+    out = S.fill_series(df, "date", "v", ["k"], 3, "raw", "f").orderBy("k", "date").collect()
+    a = [round(r["f"], 3) for r in out if r["k"] == "a"]
+    assert a == [1.0, 1.0, 1.0, 1.0, 2.667, 4.333, 6.0]
+    assert [r["raw"] for r in out if r["k"] == "a"][:2] == [1.0, None]
+    assert [(r["date"], r["f"]) for r in out if r["k"] == "b"] == [(day(0), 2.0)]

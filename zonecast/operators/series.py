@@ -74,6 +74,34 @@ def interpolate(df: DataFrame, date: str, value: str, limit: int = 3,
     return tmp.withColumn(out, filled).drop("_pv", "_pd", "_nv", "_nd")
 
 
+def fill_series(df: DataFrame, date: str, value: str, by: Sequence[str] = (), limit: int = 3,
+                raw: str | None = None, out: str | None = None) -> DataFrame:
+    """Calendar reindex + limited forward fill + linear interpolation in one
+    generator pass (U9, W4, W5), per key from its first to its last valid
+    day.  Each valid day is paired with the next valid day (``lead`` over the
+    valid rows only) and emits every day of the segment [p, n) with its
+    filled value -- the same rule as ``interpolate``, without a calendar join
+    or a window over the reindexed rows.  ``raw`` keeps the original value
+    (null on generated days)."""
+    raw = raw or value
+    out = out or value
+    day = day_number(F.col(date))
+    valid = df.where(F.col(value).isNotNull() & F.col(date).isNotNull()) \
+        .select(*by, F.col(date).alias("_d"), day.alias("_pd"), F.col(value).alias("_pv"))
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pd")
+    seg = valid.withColumn("_nd", F.lead("_pd").over(w)).withColumn("_nv", F.lead("_pv").over(w))
+    span = F.coalesce(F.col("_nd") - F.col("_pd"), F.lit(1))
+    rows = seg.withColumn("_k", F.explode(F.sequence(F.lit(0), span - 1)))
+    gap = F.col("_k")
+    filled = (F.when(gap == 0, F.col("_pv"))
+              .when(gap <= limit, F.col("_pv"))
+              .when(F.col("_nd").isNull(), F.col("_pv"))
+              .otherwise(F.col("_pv") + (F.col("_nv") - F.col("_pv")) * (gap - limit)
+                         / (F.col("_nd") - F.col("_pd") - limit)))
+    return rows.select(*by, F.date_add(F.col("_d"), F.col("_k")).alias(date),
+                       F.when(gap == 0, F.col("_pv")).alias(raw), filled.alias(out))
+
+
 def month_gaps(df: DataFrame, date: str, name: str = "n_rows") -> DataFrame:
     """Monthly row counts with empty months kept (A31): month-end calendar
     from min..max, left join the counts, zero-fill, flag gaps."""

@@ -23,8 +23,7 @@ def series_fill(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", F.to_date("l_shipdate").alias("date"), "l_quantity")
     daily = li.groupBy("l_suppkey", "date").agg(F.avg("l_quantity").alias("qty_mean"))
-    full = S.fill_calendar(daily, "date", ["l_suppkey"])
-    out = S.interpolate(full, "date", "qty_mean", 3, ["l_suppkey"], "qty_filled")
+    out = S.fill_series(daily, "date", "qty_mean", ["l_suppkey"], 3, "qty_mean", "qty_filled")
     return out.select("l_suppkey", "date", rnd("qty_mean"), rnd("qty_filled"))
 
 
