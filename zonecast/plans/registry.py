@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,18 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(name: str):
+    """Register ``fn`` under ``name``.  The registered callable pins the
+    session time zone to UTC first: event times are TIMESTAMP_NTZ and
+    casting them to TIMESTAMP (watermarks, windows) must not depend on the
+    caller's zone."""
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        REGISTRY[name] = run
+        return run
     return deco
 
 
