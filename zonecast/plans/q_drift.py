@@ -284,10 +284,14 @@ UNION ALL SELECT 'check_in:o_orderstatus', o_orderstatus, count(*) FROM orders
 
 # ------------------------------------------------------------------- index
 def _cust_inputs(spark, sf_dir):
+    """Per customer: balance and exact order total.  Pinned (reliable
+    checkpoint) because the PCA fit, the bounds and the final projection are
+    separate jobs that would otherwise each re-aggregate the orders."""
+    from ..session import cut_lineage
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     tot = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("orders_total"))
-    return cust.join(tot, "c_custkey", "left")
+    return cut_lineage(cust.join(tot, "c_custkey", "left"))
 
 
 @query("pca_weights")
