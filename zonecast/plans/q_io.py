@@ -70,3 +70,22 @@ def insert_absent(spark, sf_dir):
 
 
 sql("insert_absent", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
+
+
+@query("gold_partitioned")
+def gold_partitioned(spark, sf_dir):
+    """Write the panel partitioned by date (K2) and read back the second
+    half of the calendar; the date filter prunes partitions at the scan (S9,
+    S10) instead of reading every file."""
+    from .queries import risk_panel
+    path = scratch_path(spark, f"gold-{uuid.uuid4().hex[:12]}")
+    SK.write_layer(risk_panel(spark, sf_dir), path, partition_by=["date"])
+    return RD.read_table(spark, path, where=F.col("date") >= F.lit("2024-01-15").cast("date"))
+
+
+def _gold_partitioned_sql() -> str:
+    from .oracle import ORACLE
+    return f"SELECT * FROM ({ORACLE['risk_panel']}) g WHERE date >= DATE '2024-01-15'"
+
+
+sql("gold_partitioned", _gold_partitioned_sql())
