@@ -74,3 +74,16 @@ def test_gold_table(spark, inputs):
     assert a1["rainfall_lag1w"] == 15.0 and a1["cluster_count_rolling2w"] == 1.0
     assert weights["weights"] == {"elderly_pct": 0.5, "population_density": 0.5} or weights["n_rows"] == 0
     assert a1["population"] == 1000 and a1["cluster_proximity"] == 0
+
+
+def test_gold_proximity_count(spark, inputs):
+    bronze, weather, pop, polys = inputs
+    cl, _ = GD.silver_clusters(bronze)
+    gold, _ = GD.gold_features(cl, GD.silver_weather(weather), GD.silver_population(pop),
+                               GD.silver_subzones(polys), proximity=True)
+    rows = {(r["date"], r["subzone_name"]): r["cluster_proximity_2km"] for r in gold.collect()}
+    # 01-01: one point at the centre of zone A (B's centre is ~1.6 km away diagonally)
+    assert rows[(D("2019-01-01"), "ZONE A")] == 1 and rows[(D("2019-01-01"), "ZONE B")] == 1
+    # 01-22: the point (1.315, 103.805) is 1.1 km from both centres
+    assert rows[(D("2019-01-22"), "ZONE A")] == 1
+    assert gold.columns[-1] == "cluster_proximity_2km"

@@ -97,9 +97,35 @@ def silver_subzones(polys: DataFrame, name: str = "subzone_name",
     return G.area_km2(df, "geometry", "area_km2", digits=12)
 
 
+PROXIMITY_M = 2000.0                  # fixed: documented proximity radius (metres)
+
+
+def add_proximity(panel: DataFrame, clusters: DataFrame, subzones: DataFrame,
+                  radius_m: float = PROXIMITY_M, zone: str = "subzone_name",
+                  name: str = "cluster_proximity_2km") -> DataFrame:
+    """Cluster points within ``radius_m`` of the zone centroid, per snapshot
+    (J14, G5): centroids and points are projected to SVY21 metres, then the
+    radius-blocked count runs per (date, zone).  The reference documents
+    this count but ships a constant 0; the real count gets its own column."""
+    shell = subzones.withColumn("_c", G.polygon_centroid(F.col("geometry"))) \
+        .withColumn("_a", F.abs(G.ring_signed_area(F.col("geometry")[0])))
+    cen = shell.groupBy(zone).agg(F.max_by("_c", "_a").alias("_c"))   # largest part per zone
+    cn, ce = G.svy21(F.col("_c.y"), F.col("_c.x"))
+    cen = cen.select(zone, ce.alias("_ce"), cn.alias("_cn"))
+    centres = panel.select("date", zone).join(cen, zone, "left")
+    pn, pe = G.svy21(F.col("latitude"), F.col("longitude"))
+    pts = clusters.select("date", pe.alias("_pe"), pn.alias("_pn")).where(F.col("_pe").isNotNull())
+    near = G.near_count(pts, centres.where(F.col("_ce").isNotNull()), "_pe", "_pn", "_ce", "_cn",
+                        [zone], radius_m, name, by=["date"])
+    return panel.join(near, ["date", zone], "left").withColumn(
+        name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
+
+
 def gold_features(clusters: DataFrame, weather: DataFrame, population: DataFrame,
-                  subzones: DataFrame, label_days: int = 14, cell: float = 0.01) -> tuple[DataFrame, dict]:
-    """Gold zone x snapshot table and the vulnerability weights."""
+                  subzones: DataFrame, label_days: int = 14, cell: float = 0.01,
+                  proximity: bool = False) -> tuple[DataFrame, dict]:
+    """Gold zone x snapshot table and the vulnerability weights; with
+    ``proximity`` the real 2 km count is appended as a last column."""
     zone = "subzone_name"
     zone_area = subzones.groupBy(zone).agg(F.round(F.sum("area_km2"), 4).alias("area_km2"))
     spine = P.spine(clusters, "date", zone_area, zone)
@@ -126,4 +152,6 @@ def gold_features(clusters: DataFrame, weather: DataFrame, population: DataFrame
     flags = P.point_flags(hits, ["date", zone], "cluster_id")
     g = P.add_overlap(g, flags, ["date", zone]).withColumn("cluster_proximity", F.lit(0))
     g = P.forward_label(g, zone, "date", "active_cluster_overlap", label_days)
+    if proximity:
+        return add_proximity(g, clusters, subzones).select(*GOLD_COLUMNS, "cluster_proximity_2km"), weights
     return g.select(*GOLD_COLUMNS), weights

@@ -16,6 +16,7 @@ centre to its 3 x 3 neighbour cells.  Neither side is compared all-to-all.
 from __future__ import annotations
 
 import math
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -210,22 +211,26 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
 
 
 def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, cy: str,
-               key: str, radius: float, name: str = "n_near") -> DataFrame:
-    """Per centre, the number of points within ``radius`` (inclusive).
-    Points are blocked in cells of side ``radius``; each centre probes its
-    3 x 3 neighbour cells, so only nearby pairs are compared.  Centres with
-    no point get 0."""
+               key: str | Sequence[str], radius: float, name: str = "n_near",
+               by: Sequence[str] = ()) -> DataFrame:
+    """Per centre (``key``; optionally per shared ``by`` columns such as the
+    date), the number of points within ``radius`` (inclusive) (J14).  Points
+    are blocked in cells of side ``radius``; each centre probes its 3 x 3
+    neighbour cells, so only nearby pairs are compared.  Centres with no
+    point get 0.  The centre side is counted and broadcast when small."""
+    keys = [key] if isinstance(key, str) else list(key)
     r = F.lit(float(radius))
-    pts = points.select(F.col(x).alias("_px"), F.col(y).alias("_py")) \
+    pts = points.select(*by, F.col(x).alias("_px"), F.col(y).alias("_py")) \
         .withColumn("_gx", F.floor(F.col("_px") / r)).withColumn("_gy", F.floor(F.col("_py") / r))
     offs = F.array(*[F.lit(v) for v in (-1, 0, 1)])
-    cen = (centres.select(key, F.col(cx).alias("_cx"), F.col(cy).alias("_cy"))
+    cen = (centres.select(*keys, *[b for b in by if b not in keys], F.col(cx).alias("_cx"), F.col(cy).alias("_cy"))
            .withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
            .withColumn("_gx", F.floor(F.col("_cx") / r) + F.col("_dx"))
            .withColumn("_gy", F.floor(F.col("_cy") / r) + F.col("_dy")))
-    pairs = pts.join(checked_dim(cen), ["_gx", "_gy"])
+    pairs = pts.join(checked_dim(cen), [*by, "_gx", "_gy"])
     dx, dy = F.col("_px") - F.col("_cx"), F.col("_py") - F.col("_cy")
     d2 = dx * dx + dy * dy
-    hits = pairs.where(d2 <= r * r).groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return centres.select(key).distinct().join(hits, key, "left") \
+    grp = list(dict.fromkeys([*keys, *by]))
+    hits = pairs.where(d2 <= r * r).groupBy(*grp).agg(F.count(F.lit(1)).alias(name))
+    return centres.select(*grp).distinct().join(hits, grp, "left") \
         .withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("long"))

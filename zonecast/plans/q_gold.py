@@ -60,5 +60,5 @@ def gold_table(spark, sf_dir):
     clusters, weather, pop, zones = bronze_inputs(spark, sf_dir)
     cl, _ = GD.silver_clusters(clusters)
     gold, _ = GD.gold_features(cl, GD.silver_weather(weather), GD.silver_population(pop),
-                               GD.silver_subzones(zones), cell=SPAN_LAT / 5)
+                               GD.silver_subzones(zones), cell=SPAN_LAT / 5, proximity=True)
     return gold.select(*[rnd(c, 6) if t == "double" else F.col(c) for c, t in gold.dtypes])

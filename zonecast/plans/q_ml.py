@@ -109,3 +109,17 @@ def hpt(spark, sf_dir):
     folds = SP.time_folds(mt, "date", 3)
     res = ML.search_params(mt, FEATURES, "label", folds, SEARCH_SPACE, 3, "gbt")
     return O.running_best(res, "trial", "mean_f2")
+
+
+@query("batch_scores")
+def batch_scores(spark, sf_dir):
+    """Weekly batch scoring (M4): latest non-null features per zone (A5),
+    model score rounded 4, tier, action, zones above 0.5 flagged (F7)."""
+    from ..operators import serving as SV
+    mt = model_table(spark, sf_dir)
+    model = ML.fit_classifier(mt.where("split = 'train'"), FEATURES, "label", "gbt", GBT_PARAMS)
+    latest = SV.latest_scores(mt, "user_id", "date", FEATURES)
+    s = ML.predict_scores(model, latest, FEATURES)
+    out = SV.with_action(SV.with_tier(s.withColumn("score", F.round("score", 4)), "score"))
+    return out.select("user_id", "date", "score", "risk_tier", "action",
+                      (F.col("score") >= 0.5).alias("above_default"))
