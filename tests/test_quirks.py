@@ -317,3 +317,18 @@ def test_fill_series_generator_matches_interpolate(spark):
     assert a == [1.0, 1.0, 1.0, 1.0, 2.667, 4.333, 6.0]
     assert [r["raw"] for r in out if r["k"] == "a"][:2] == [1.0, None]
     assert [(r["date"], r["f"]) for r in out if r["k"] == "b"] == [(day(0), 2.0)]
+
+
+def test_hot_score_is_split_across_range_partitions(spark):
+    # a third of all rows share one score: ranking must not put them in one task
+    n = 3000
+    df = spark.range(0, n).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0.5))
+                                  .otherwise(F.col("id") / n).alias("s"))
+    parts = df.repartitionByRange(8, F.col("s").desc(), F.col("id")) \
+        .groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in parts) < n / 4
+    r = O.ranked(df, "s", "id")
+    got = [x["id"] for x in r.orderBy("rank").collect()]
+    want = [i for i, _ in sorted(((i, (0.5 if i % 3 == 0 else i / n)) for i in range(n)),
+                                 key=lambda t: (-t[1], t[0]))]
+    assert got == want
