@@ -119,3 +119,13 @@ def test_sinks_append_and_insert_absent(spark, tmp):
     new = spark.createDataFrame([(2, "z"), (3, "w"), (3, "dup")], "k int, v string")
     assert SK.insert_absent(new, f"{tmp}/t", ["k"]) == 1
     assert sorted(r["k"] for r in spark.read.parquet(f"{tmp}/t").collect()) == [1, 2, 3]
+
+
+def test_glob_fallback(spark, tmp):
+    write(f"{tmp}/old/150703.csv", "1,a,1.3,103.8,1,1,1,150703,1\n")
+    write(f"{tmp}/new/150703-clusters.csv", "1,a,1.3,103.8,1,1,1,150703,1\n")
+    globs = ["*-clusters.csv", "*.csv"]
+    assert RD.first_matching_glob(spark, [f"{tmp}/new"], globs) == "*-clusters.csv"
+    assert RD.first_matching_glob(spark, [f"{tmp}/old"], globs) == "*.csv"
+    g = RD.first_matching_glob(spark, [f"{tmp}/old"], globs)
+    assert RD.read_snapshots(spark, [f"{tmp}/old"], RD.SNAPSHOT_COLUMNS_OLD, g).count() == 1

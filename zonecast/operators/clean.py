@@ -90,12 +90,14 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def share(df: DataFrame, parts: Sequence[str], total: str, part_name: str,
-          share_name: str, digits: int = 4) -> DataFrame:
+          share_name: str, digits: int = 4, half_even: bool = False) -> DataFrame:
     """Row-wise sum of the part columns that exist, and its share of
-    ``total`` rounded (P13, P14)."""
+    ``total`` rounded (P13, P14).  ``half_even`` rounds like pandas
+    (``bround``); the default half-up matches the SQL oracle."""
     present = [c for c in parts if c in df.columns]
     out = df.withColumn(part_name, row_sum(present) if present else F.lit(0))
-    return out.withColumn(share_name, F.round(F.try_divide(F.col(part_name), F.col(total)), digits))
+    rnd = F.bround if half_even else F.round
+    return out.withColumn(share_name, rnd(F.try_divide(F.col(part_name), F.col(total)), digits))
 
 
 def min_support(df: DataFrame, by: Sequence[str], n: int = 10) -> DataFrame:

@@ -177,10 +177,13 @@ def retrain_decision(score_psi: DataFrame, attribution: DataFrame,
 
 def promotion_gate(test: DataFrame, oot: DataFrame, importance_rows: int,
                    recall_gate: float = RECALL_GATE, drop_limit: float = OOT_DROP_LIMIT,
-                   auc_gate: float = AUC_GATE) -> DataFrame:
+                   auc_gate: float = AUC_GATE, require_importance: bool = True) -> DataFrame:
     """Promotion gate (M6) from one-row metric frames with ``recall`` and
     ``auc``: test recall >= gate, signed test-oot recall drop <= limit (a
-    gain passes), test AUC >= gate, importances present; all must pass."""
+    gain passes), test AUC >= gate, importances present; all must pass.
+    ``require_importance=False`` is the notebook's three-rule gate."""
+    if not require_importance:
+        importance_rows = max(importance_rows, 1)
     recall_oot = oot.agg(F.max("recall")).first()[0]
     j = test.select(F.col("recall").alias("recall_test"), F.col("auc").alias("auc_test"),
                     F.lit(recall_oot).cast("double").alias("recall_oot"))

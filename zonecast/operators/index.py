@@ -36,13 +36,13 @@ def minmax(df: DataFrame, cols: Sequence[str], eps: float = EPS, suffix: str = "
 
 
 def composite_index(df: DataFrame, weights: Mapping[str, float], name: str = "vulnerability_index",
-                    digits: int = 4) -> DataFrame:
-    """round(sum w_i * col_i, digits)."""
+                    digits: int = 4, half_even: bool = False) -> DataFrame:
+    """round(sum w_i * col_i, digits) (P18); ``half_even`` for pandas parity."""
     expr = None
     for c, w in weights.items():
         t = F.lit(float(w)) * F.col(c)
         expr = t if expr is None else expr + t
-    return df.withColumn(name, F.round(expr, digits))
+    return df.withColumn(name, (F.bround if half_even else F.round)(expr, digits))
 
 
 def pca_weights(df: DataFrame, cols: Sequence[str], min_rows: int = MIN_PCA_ROWS,

@@ -70,6 +70,21 @@ def utf8_files(spark: SparkSession, paths: Sequence[str], glob: str) -> tuple[li
     return good, bad
 
 
+def first_matching_glob(spark: SparkSession, paths: Sequence[str], globs: Sequence[str]) -> str | None:
+    """The first glob that matches at least one file under ``paths`` (S1b:
+    ``*-clusters.csv`` first, else ``*.csv``).  Only file listings are read
+    (``binaryFile`` with the content column pruned)."""
+    for g in globs:
+        try:
+            hit = spark.read.format("binaryFile").option("pathGlobFilter", g).load(list(paths)) \
+                .select("path").limit(1).count()
+        except Exception:  # noqa: BLE001 - no file at all under a path
+            hit = 0
+        if hit:
+            return g
+    return None
+
+
 def read_snapshots(spark: SparkSession, paths: Sequence[str],
                    columns: Sequence[str] = SNAPSHOT_COLUMNS, glob: str = SNAPSHOT_GLOB,
                    encoding: str | None = None, tokens: Sequence[str] = ("", " ")) -> DataFrame:
