@@ -39,9 +39,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    (local tests) a fresh scratch folder is created and registered.  Under
+    Spark Connect (no SparkContext) the session setting is used as is.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM context here
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="zonecast-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
