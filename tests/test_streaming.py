@@ -56,3 +56,24 @@ def test_alert_stream_writes_only_triggered(spark):
     got = {r["zone"]: (r["alert_score"], r["risk_tier"]) for r in out.collect()}
     # a: 0.9*1.0*ln 6 = 1.6126; b: 0.9*0.1*ln 2 < 0.6; c: default vulnerability 0.5 -> 0.9*0.5*ln 10
     assert set(got) == {"a", "c"} and got["a"] == (1.6126, "High") and got["c"][0] == 1.0362
+
+
+def test_late_events_are_dropped_and_counted(spark):
+    import time
+    d = tempfile.mkdtemp(prefix="zc-late-")
+    batches = [[("a", dt.datetime(2024, 1, 30), 1)], [("a", dt.datetime(2024, 1, 29), 1)],
+               [("a", dt.datetime(2024, 1, 28), 1), ("a", dt.datetime(2024, 1, 1), 1)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{d}/in/b{i}")
+        time.sleep(1.1)
+    s = X.case_stream(spark, f"{d}/in/*", SCHEMA, max_files=1)
+    w = X.weekly_counts(s, "zone").writeStream.outputMode("update") \
+        .foreachBatch(X.write_idempotent(f"{d}/out"))
+    progress = X.run_available(w, f"{d}/ckpt")
+    out = {r["week_start"].strftime("%m-%d"): r["case_count"]
+           for r in X.upsert_view(spark, f"{d}/out", ["zone", "week_start"])
+           .select(F.col("week_start").cast("timestamp_ntz").alias("week_start"), "case_count").collect()}
+    # the late-event filter uses the previous batch's watermark (Jan 22 after
+    # the first batch), so in the third batch the Jan 1 event is dropped
+    assert out == {"01-28": 2, "01-21": 1}           # Jan 28 00:00 is before the 22:00 reset
+    assert X.dropped_late_rows(progress) == 1

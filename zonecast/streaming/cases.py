@@ -14,6 +14,8 @@
   replaces its own output instead of duplicating it.
 * ``upsert_view``: the latest value per key over the per-batch update
   files (the sink side of update-mode aggregations).
+* ``dropped_late_rows``: events that arrived behind the watermark are
+  dropped (bounded state) and counted from the query progress.
 """
 
 from __future__ import annotations
@@ -102,10 +104,19 @@ def upsert_view(spark: SparkSession, path: str, key: Sequence[str],
             .select(*key, *[F.col(f"_r.{c}").alias(c) for c in others]))
 
 
-def run_available(query_builder, checkpoint: str) -> None:
+def run_available(query_builder, checkpoint: str) -> list[dict]:
     """Start a streaming write with ``availableNow`` and wait for it to drain
-    the landed input (batch-style run of a streaming plan)."""
+    the landed input (batch-style run of a streaming plan).  Returns the
+    progress reports of the run (one per micro-batch)."""
     q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return [p for p in q.recentProgress]
+
+
+def dropped_late_rows(progress: list[dict]) -> int:
+    """Rows discarded because they arrived behind the watermark, summed over
+    the run's micro-batches and stateful operators."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in progress for op in (p.get("stateOperators") or []))
