@@ -332,3 +332,13 @@ def test_hot_score_is_split_across_range_partitions(spark):
     want = [i for i, _ in sorted(((i, (0.5 if i % 3 == 0 else i / n)) for i in range(n)),
                                  key=lambda t: (-t[1], t[0]))]
     assert got == want
+
+
+def test_cluster_conf_sizes_from_volume():
+    from zonecast.session import cluster_conf
+    big = cluster_conf(100 * 10 ** 12, cores=8000)
+    n = int(big["spark.sql.shuffle.partitions"])
+    assert 150_000 < n < 250_000                 # ~25 TB shuffled / 128 MB
+    small = cluster_conf(10 ** 6, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

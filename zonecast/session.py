@@ -72,3 +72,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}"
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 128 << 20,
+                 shuffle_fraction: float = 0.25, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    Scan splits and shuffle partitions both aim at ``target_partition_bytes``
+    so a task's data fits executor memory without spilling.  The shuffle
+    count assumes a shuffle carries ``shuffle_fraction`` of the input after
+    pruning and map-side partial aggregation; AQE then coalesces small
+    partitions and splits skewed ones at run time.  Never fewer than two
+    tasks per core."""
+    shuffle = max(2 * cores, -(-int(input_bytes * shuffle_fraction) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
