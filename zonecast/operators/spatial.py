@@ -36,6 +36,11 @@ SVY21 = {
 }
 
 
+# Polygon-cell rows carry their geometry, so the broadcast bound is set in
+# rows well below the generic dimension limit.
+MAX_CELL_ROWS = 200_000
+
+
 # ------------------------------------------------------------ predicates
 def _ring_edges_expr(ring: Column, px: Column, py: Column) -> Column:
     """Number of ring edges crossed by a ray from (px, py) towards +x, using
@@ -205,7 +210,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
     # the polygon side (zones x covered cells) is small: counted, then
     # broadcast under the limit, so a hot cell holding many points never
     # has to be shuffled into one task
-    cells = checked_dim(polygon_cells(polygons, geom, cell))
+    cells = checked_dim(polygon_cells(polygons, geom, cell), MAX_CELL_ROWS)
     cand = pts.join(cells, ["_cx", "_cy"])
     return cand.where(contains(F.col(geom), F.col(x), F.col(y))).drop("_cx", "_cy")
 
