@@ -342,3 +342,13 @@ def test_cluster_conf_sizes_from_volume():
     small = cluster_conf(10 ** 6, cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_auto_cell_from_polygon_sizes(spark):
+    sq = lambda x0, s: [[[x0, 0.0], [x0 + s, 0.0], [x0 + s, s], [x0, s], [x0, 0.0]]]
+    polys = spark.createDataFrame([(1, sq(0.0, 1.0)), (2, sq(5.0, 2.0)), (3, sq(9.0, 1.0))],
+                                  "zid int, geometry array<array<array<double>>>")
+    assert G.auto_cell(polys) == 1.0
+    pts = spark.createDataFrame([(0.5, 0.5), (6.0, 1.0), (9.5, 0.5), (20.0, 0.5)], "x double, y double")
+    got = sorted(r["zid"] for r in G.points_in_polygons(pts, polys, "x", "y").collect())
+    assert got == [1, 2, 3]

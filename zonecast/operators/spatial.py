@@ -199,12 +199,24 @@ def polygon_cells(polys: DataFrame, geom: str, cell: float) -> DataFrame:
                  .withColumn("_cy", F.explode(F.sequence(F.floor(y0 / c), F.floor(y1 / c)))))
 
 
+def auto_cell(polygons: DataFrame, geom: str = "geometry") -> float:
+    """Grid cell size for blocking: the median bounding-box side of the
+    polygons (one approximate-percentile aggregate), so a typical polygon
+    covers a few cells and a point meets only a few candidate polygons."""
+    x0, y0, x1, y1 = _bbox(F.col(geom))
+    side = F.greatest(x1 - x0, y1 - y0)
+    v = polygons.select(F.percentile_approx(side, 0.5).alias("s")).first()["s"]
+    return float(v) if v else 1.0
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
-                       geom: str = "geometry", cell: float = 0.05) -> DataFrame:
+                       geom: str = "geometry", cell: float | None = None) -> DataFrame:
     """Inner spatial join: (point row, polygon row) pairs with the point
     strictly inside the polygon (J5, G1, G6).  Grid-blocked equi-join on the
-    cell, then the exact predicate on candidates only.  ``cell`` should be
-    about the size of a typical polygon."""
+    cell, then the exact predicate on candidates only.  ``cell`` defaults to
+    the median polygon bounding-box side (``auto_cell``)."""
+    if cell is None:
+        cell = auto_cell(polygons, geom)
     c = F.lit(float(cell))
     pts = points.withColumn("_cx", F.floor(F.col(x) / c)).withColumn("_cy", F.floor(F.col(y) / c))
     # the polygon side (zones x covered cells) is small: counted, then
