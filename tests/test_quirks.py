@@ -352,3 +352,17 @@ def test_auto_cell_from_polygon_sizes(spark):
     pts = spark.createDataFrame([(0.5, 0.5), (6.0, 1.0), (9.5, 0.5), (20.0, 0.5)], "x double, y double")
     got = sorted(r["zid"] for r in G.points_in_polygons(pts, polys, "x", "y").collect())
     assert got == [1, 2, 3]
+
+
+def test_drift_alarm_row_and_describe(spark):
+    import json as _json
+    from zonecast.operators import quality as Q
+    psi = spark.createDataFrame([(0.31, "significant_drift")], "psi double, flag string")
+    csi = spark.createDataFrame([("b", 0.5, "significant_drift"), ("a", 0.05, "stable")],
+                                "feature string, csi double, flag string")
+    r = D.drift_alarm(psi, csi).first()
+    assert _json.loads(r["csi_json"]) == {"a": {"csi": 0.05, "flag": "stable"},
+                                          "b": {"csi": 0.5, "flag": "significant_drift"}}
+    assert r["psi_flag"] == "significant_drift"
+    d = {x["summary"]: x["v"] for x in Q.describe(spark.createDataFrame([(1.0,), (3.0,)], "v double"), ["v"]).collect()}
+    assert d["count"] == "2" and float(d["mean"]) == 2.0

@@ -129,3 +129,10 @@ def test_glob_fallback(spark, tmp):
     assert RD.first_matching_glob(spark, [f"{tmp}/old"], globs) == "*.csv"
     g = RD.first_matching_glob(spark, [f"{tmp}/old"], globs)
     assert RD.read_snapshots(spark, [f"{tmp}/old"], RD.SNAPSHOT_COLUMNS_OLD, g).count() == 1
+
+
+def test_json_report_write(spark, tmp):
+    rep = spark.createDataFrame([("freshness", 3.0, True)], "check string, metric double, passed boolean")
+    SK.write_layer(rep, f"{tmp}/report", fmt="json")
+    back = spark.read.json(f"{tmp}/report").first()
+    assert back["check"] == "freshness" and back["passed"] is True

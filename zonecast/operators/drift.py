@@ -115,6 +115,17 @@ def csi(base: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10,
     return out.withColumnRenamed("psi", "csi").withColumn("alarm", F.col("csi") > F.lit(alarm))
 
 
+def drift_alarm(score_psi: DataFrame, csi_table: DataFrame, action: str = "retrain_requested") -> DataFrame:
+    """One drift-alarm log row (K6, U12): score PSI, its flag, the per-feature
+    CSI results as a JSON object ``{feature: {csi, flag}}`` (the reference's
+    JSONB column, built with ``map_from_entries`` + ``to_json``) and the
+    action.  Both inputs are small (one row; one row per feature)."""
+    entries = F.array_sort(F.collect_list(F.struct("feature", F.struct("csi", "flag"))))
+    js = csi_table.agg(F.to_json(F.map_from_entries(entries))).first()[0] or "{}"
+    return score_psi.select("psi", F.col("flag").alias("psi_flag"), F.lit(js).alias("csi_json"),
+                            F.lit(action).alias("action"))
+
+
 def ranked_importance(df: DataFrame, feature: str = "feature", value: str = "importance",
                       order: str | None = None) -> DataFrame:
     """Rank features by importance descending; ties keep the listed order

@@ -79,6 +79,13 @@ def profile(df: DataFrame, date: str, distinct_cols: Iterable[str]) -> DataFrame
     return df.agg(*aggs)
 
 
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count / mean / stddev / min / quartiles / max of numeric columns
+    (A28, ``DataFrame.summary``: one distributed pass, approximate
+    quartiles)."""
+    return df.select(*cols).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
 def check_constraints(df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str] = (),
                       allowed: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Violations of NOT NULL, UNIQUE (on the column set) and CHECK IN

@@ -95,8 +95,9 @@ def read_snapshots(spark: SparkSession, paths: Sequence[str],
     schema = all_string(columns)
 
     def rd(files_or_dirs, enc, use_glob=True):
+        # malformed rows become nulls (PERMISSIVE); unreadable files are skipped
         r = spark.read.schema(schema).option("header", False).option("encoding", enc) \
-            .option("mode", "PERMISSIVE")
+            .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", "true")
         if use_glob:
             r = r.option("pathGlobFilter", glob)
         return with_provenance(r.csv(list(files_or_dirs)))
