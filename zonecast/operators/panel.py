@@ -131,6 +131,25 @@ def backward_window(panel: DataFrame, zone: str, date: str, col: str, days: int,
                             F.coalesce(f(col).over(w), F.lit(0)).cast("long"))
 
 
+def overlap_and_label(spine: DataFrame, hits: DataFrame, zone: str, date: str = "date",
+                      days: int = 14, flag: str = "active_cluster_overlap",
+                      label: str = "label") -> DataFrame:
+    """Overlap flag (J6: 1 when the zone has a hit that day) and forward
+    label (W3) in one window pass.  Spine rows and hit rows are unioned and
+    partitioned once by zone: the same-day max gives the flag and the
+    (T, T + days] max gives the label, then only spine rows are kept.  This
+    replaces a (date, zone) join plus a zone window -- one shuffle of the
+    panel instead of two."""
+    u = (spine.withColumn("_h", F.lit(0)).withColumn("_sp", F.lit(True))
+         .unionByName(hits.select(F.col(date), F.col(zone), F.lit(1).alias("_h"),
+                                  F.lit(False).alias("_sp")), allowMissingColumns=True))
+    w = Window.partitionBy(zone).orderBy(day_number(F.col(date)))
+    out = (u.withColumn(flag, F.max("_h").over(w.rangeBetween(0, 0)).cast("int"))
+            .withColumn(label, F.coalesce(F.max("_h").over(w.rangeBetween(1, days)), F.lit(0))
+                        .cast("int")))
+    return out.where("_sp").drop("_h", "_sp")
+
+
 def latest_nonnull(df: DataFrame, key: Sequence[str] | str, order: str,
                    cols: Sequence[str]) -> DataFrame:
     """Per key, for every column the value at the latest ``order`` among rows
@@ -176,7 +195,6 @@ def build_panel(events: DataFrame, date: str, zone: str, flag_filter: Column,
     recent = rolling_mean_rows(
         zd.groupBy("date").agg(F.coalesce(F.sum("value_sum"), F.lit(0)).alias("value_sum")), "date",
         "value_sum", {"value_roll2w_log": 14, "value_roll4w_log": 28}, log1p=True)
-    flags = zd.where(F.col("hit") == 1).select("date", zone, F.lit(1).alias("active_cluster_overlap"))
-    panel = add_series(add_series(sp, active), recent)
-    panel = add_overlap(panel, flags, ["date", zone])
-    return forward_label(panel, zone, "date", "active_cluster_overlap", days)
+    hits = zd.where(F.col("hit") == 1).select("date", zone)
+    panel = overlap_and_label(sp, hits, zone, "date", days)
+    return add_series(add_series(panel, active), recent)

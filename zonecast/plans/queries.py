@@ -79,9 +79,8 @@ def forward_label(spark, sf_dir):
     zd = cut_lineage(P.zone_day(ev, F.to_date("ts"), "user_id", "value",
                                 F.col("event_type") == "error"))
     sp = P.spine(zd, "date", None, "user_id")
-    flags = zd.where(F.col("hit") == 1).select("date", "user_id", F.lit(1).alias("overlap"))
-    panel = P.add_overlap(sp, flags, ["date", "user_id"], "overlap")
-    return P.forward_label(panel, "user_id", "date", "overlap", 14)
+    hits = zd.where(F.col("hit") == 1).select("date", "user_id")
+    return P.overlap_and_label(sp, hits, "user_id", "date", 14, "overlap", "label")
 
 
 @query("rainfall_lags")
