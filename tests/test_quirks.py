@@ -366,3 +366,13 @@ def test_drift_alarm_row_and_describe(spark):
     assert r["psi_flag"] == "significant_drift"
     d = {x["summary"]: x["v"] for x in Q.describe(spark.createDataFrame([(1.0,), (3.0,)], "v double"), ["v"]).collect()}
     assert d["count"] == "2" and float(d["mean"]) == 2.0
+
+
+def test_overlap_and_label_single_pass(spark):
+    spine = spark.createDataFrame([(day(0), "z", 1.5), (day(7), "z", 2.5), (day(14), "z", 3.5),
+                                   (day(0), "y", 0.0)], "date date, zone string, feat double")
+    hits = spark.createDataFrame([(day(7), "z"), (day(7), "z"), (day(3), "q")], "date date, zone string")
+    out = {(r["zone"], r["date"]): (r["feat"], r["active_cluster_overlap"], r["label"])
+           for r in P.overlap_and_label(spine, hits, "zone").collect()}
+    assert out == {("z", day(0)): (1.5, 0, 1), ("z", day(7)): (2.5, 1, 0), ("z", day(14)): (3.5, 0, 0),
+                   ("y", day(0)): (0.0, 0, 0)}
