@@ -77,3 +77,21 @@ def test_late_events_are_dropped_and_counted(spark):
     # the first batch), so in the third batch the Jan 1 event is dropped
     assert out == {"01-28": 2, "01-21": 1}           # Jan 28 00:00 is before the 22:00 reset
     assert X.dropped_late_rows(progress) == 1
+
+
+def test_running_weekly_count_carries_state_across_batches(spark):
+    import time
+    d = tempfile.mkdtemp(prefix="zc-run-")
+    schema = T.StructType(SCHEMA.fields + [T.StructField("event_id", T.LongType())])
+    batches = [[("a", dt.datetime(2024, 1, 8), 1, 1), ("a", dt.datetime(2024, 1, 9), 2, 2)],
+               [("a", dt.datetime(2024, 1, 10), 1, 3), ("a", dt.datetime(2024, 1, 15), 1, 4),
+                ("b", dt.datetime(2024, 1, 10), None, 5)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{d}/in/b{i}")
+        time.sleep(1.1)
+    s = X.case_stream(spark, f"{d}/in/*", schema, max_files=1)
+    run = X.running_weekly_counts(s, "zone")
+    out = _run(spark, d, run, "append")
+    got = {r["event_id"]: r["running_count"] for r in out.collect()}
+    # week of 01-07 22:00: 1, 1+2, then 3+1 in the next micro-batch; 01-15 opens a new week
+    assert got == {1: 1, 2: 3, 3: 4, 4: 1, 5: 1}

@@ -110,3 +110,34 @@ SELECT event_id, user_id, case_count, vulnerability_index, alert_score,
        ELSE 'Routine surveillance only' END AS action
 FROM a WHERE alert_score > CAST(0.6 AS DOUBLE)
 """)
+
+
+@query("stream_running_alerts")
+def stream_running_alerts(spark, sf_dir):
+    """Per event: increment the zone's weekly counter, then score with the
+    counter value (X2, X3, X4, J11): alert score from the running weekly
+    count, static vulnerability, strict threshold; only alerts are written."""
+    mx = table(spark, sf_dir, "events").agg(F.max("value")).first()[0]
+    s = _events_stream(spark, sf_dir).withColumn("score", F.col("value") / F.lit(float(mx)))
+    run = X.running_weekly_counts(s, "user_id", carry=["score"])
+    a = X.alert_stream(run, _static_features(spark, sf_dir), "user_id", "score", cases="running_count")
+    a = a.select("event_id", "user_id", "running_count", "vulnerability_index", "alert_score",
+                 "alert_triggered", "risk_tier")
+    return _run(spark, "running_alerts", a, "append", None, only="alert_triggered")
+
+
+sql("stream_running_alerts", """
+WITH m AS (SELECT user_id, avg(value) AS m FROM events GROUP BY user_id),
+b AS (SELECT min(m) AS lo, max(m) AS hi FROM m),
+st AS (SELECT user_id, round((m - lo) / (hi - lo + CAST(1e-9 AS DOUBLE)), 4) AS vi FROM m, b),
+e AS (SELECT event_id, user_id, ts, value / (SELECT max(value) FROM events) AS score,
+             floor((epoch(ts) - 338400) / 604800) AS wk FROM events),
+r AS (SELECT *, count(*) OVER (PARTITION BY user_id, wk ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count FROM e),
+j AS (SELECT r.*, coalesce(st.vi, 0.5) AS vulnerability_index FROM r LEFT JOIN st USING (user_id)),
+a AS (SELECT *, round(score * vulnerability_index * ln(1 + running_count), 4) AS alert_score FROM j)
+SELECT event_id, user_id, running_count, vulnerability_index, alert_score,
+  alert_score > CAST(0.6 AS DOUBLE) AS alert_triggered,
+  CASE WHEN score >= 0.6 THEN 'High' WHEN score >= 0.3 THEN 'Medium' ELSE 'Low' END AS risk_tier
+FROM a WHERE alert_score > CAST(0.6 AS DOUBLE)
+""")
