@@ -141,3 +141,31 @@ SELECT event_id, user_id, running_count, vulnerability_index, alert_score,
   CASE WHEN score >= 0.6 THEN 'High' WHEN score >= 0.3 THEN 'Medium' ELSE 'Low' END AS risk_tier
 FROM a WHERE alert_score > CAST(0.6 AS DOUBLE)
 """)
+
+
+@query("stream_shadow_windows")
+def stream_shadow_windows(spark, sf_dir):
+    """Production vs shadow scores on the event stream, in sliding 7-day
+    windows every day (X7): agreement % and absolute score differences."""
+    mx = table(spark, sf_dir, "events").agg(F.max("value")).first()[0]
+    s = _events_stream(spark, sf_dir)
+    p = F.col("value") / F.lit(float(mx))
+    sc = s.select(F.col("ts").alias("scored_at"), p.alias("production_score"),
+                  F.sqrt(p).alias("shadow_score"))
+    out = _run(spark, "shadow_windows", X.shadow_windows(sc), "update", ["window_start"])
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("total_cases").cast("long").alias("total_cases"),
+                      F.round(F.col("_agree") / F.col("total_cases") * 100, 1).alias("agreement_pct"),
+                      F.round(F.col("_diff_max"), 4).alias("max_score_diff"))
+
+
+sql("stream_shadow_windows", """
+WITH s AS (SELECT ts, value / (SELECT max(value) FROM events) AS p FROM events),
+e AS (SELECT ts, p, sqrt(p) AS q, floor(epoch(ts) / 86400) AS dn FROM s),
+w AS (SELECT (dn - o) AS start_day, p, q FROM e, range(0, 7) r(o))
+SELECT TIMESTAMP '1970-01-01 00:00:00' + to_days(CAST(start_day AS INTEGER)) AS window_start,
+  count(*) AS total_cases,
+  round(sum(CASE WHEN (p >= 0.6) = (q >= 0.6) THEN 1 ELSE 0 END) / count(*) * 100, 1) AS agreement_pct,
+  round(max(abs(p - q)), 4) AS max_score_diff
+FROM w GROUP BY start_day
+""")

@@ -118,6 +118,23 @@ def running_weekly_counts(stream: DataFrame, key: str, ts: str = "ts", event: st
         step, out_schema, "total long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def shadow_windows(stream: DataFrame, ts: str = "scored_at", production: str = "production_score",
+                   shadow: str = "shadow_score", watermark: str = "8 days",
+                   length: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """Trailing 7-day shadow comparison, streamed (X7, A8): sliding windows
+    of ``length`` every ``slide`` with count, agreement %, mean / max absolute
+    difference; state bounded by the watermark."""
+    diff = F.abs(F.col(production) - F.col(shadow))
+    agree_ = (F.col(production) >= 0.6) == (F.col(shadow) >= 0.6)
+    return (stream.withWatermark(ts, watermark)
+            .groupBy(F.window(ts, length, slide).alias("w"))
+            .agg(F.count(F.lit(1)).alias("total_cases"),
+                 F.sum(F.when(agree_, 1).otherwise(0)).alias("_agree"),
+                 F.sum(diff).alias("_diff_sum"), F.max(diff).alias("_diff_max"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "total_cases", "_agree", "_diff_sum", "_diff_max"))
+
+
 def alert_stream(stream: DataFrame, static: DataFrame, key: str, score: str,
                  vulnerability: str = "vulnerability_index", cases: str = "case_count",
                  threshold: float = 0.6, defaults: dict | None = None) -> DataFrame:
