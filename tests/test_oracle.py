@@ -14,6 +14,8 @@ duckdb = pytest.importorskip("duckdb")
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 
 
 @pytest.fixture(scope="module")
@@ -42,9 +44,11 @@ def test_query_matches_oracle(spark, con, name):
     if name not in ORACLE:
         assert len(cols) > 0
         return
-    cur = con.execute(ORACLE[name])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = con.sql(ORACLE[name])
+    types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    ocols = list(rel.columns)
+    orows = rel.fetchall()
     assert sorted(cols) == sorted(ocols)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == types
     assert len(rows) == len(orows)
     assert digest(cols, rows)[0] == digest(ocols, orows)[0]

@@ -132,7 +132,7 @@ def ranked_importance(df: DataFrame, feature: str = "feature", value: str = "imp
     (``order`` column) or the feature name (W8).  One row per feature."""
     tie = F.col(order) if order else F.col(feature)
     return df.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.col(value).desc(), tie)))
+        Window.orderBy(F.col(value).desc(), tie)).cast("long"))
 
 
 def attribution_drift(base: DataFrame, cur: DataFrame, feature: str = "feature",

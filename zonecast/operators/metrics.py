@@ -231,7 +231,7 @@ def label_correlation(df: DataFrame, cols: Sequence[str], label: str,
     long = g.select(*by, F.inline(rows))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(
         F.abs("r").desc(), F.col("_pos"))
-    return long.withColumn("rank", F.row_number().over(w)).drop("_pos")
+    return long.withColumn("rank", F.row_number().over(w).cast("long")).drop("_pos")
 
 
 def histogram(df: DataFrame, col: str, lo, hi, n: int, by: Sequence[str] = ()) -> DataFrame:

@@ -358,7 +358,7 @@ def _split_sql() -> str:
             cond.append(f"CAST(o_orderdate AS DATE) <= DATE '{hi}'")
         parts.append(f"SELECT '{n}' AS split, CAST(o_orderstatus = 'F' AS INTEGER) AS label FROM orders WHERE {' AND '.join(cond)}")
     return ("WITH s AS (" + "\nUNION ALL\n".join(parts) + ")\n"
-            "SELECT split, count(*) AS n_rows, sum(label) AS n_pos, round(avg(label), 4) AS pos_rate "
+            "SELECT split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos, round(avg(label), 4) AS pos_rate "
             "FROM s GROUP BY split")
 
 
@@ -384,5 +384,5 @@ f AS (SELECT CAST(fold AS INTEGER) AS fold, 'train' AS role, date, label FROM r,
       UNION ALL
       SELECT CAST(fold AS INTEGER), 'val', date, label FROM r, range(1, 6) g(fold) WHERE blk = fold)
 SELECT fold, role, count(*) AS n_rows, count(DISTINCT date) AS n_dates, min(date) AS min_date,
-       max(date) AS max_date, sum(label) AS n_pos FROM f GROUP BY fold, role
+       max(date) AS max_date, CAST(sum(label) AS BIGINT) AS n_pos FROM f GROUP BY fold, role
 """)
