@@ -376,3 +376,28 @@ def test_overlap_and_label_single_pass(spark):
            for r in P.overlap_and_label(spine, hits, "zone").collect()}
     assert out == {("z", day(0)): (1.5, 0, 1), ("z", day(7)): (2.5, 1, 0), ("z", day(14)): (3.5, 0, 0),
                    ("y", day(0)): (0.0, 0, 0)}
+
+
+def test_date_and_text_coercions(spark):
+    from zonecast.operators import reshape as RS
+    from zonecast.sources import readers as RD
+    df = spark.createDataFrame([("2019", "2", "29", "2019-03-01", None), ("2020", "2", "29", "bad", 5),
+                                ("x", "1", "1", None, 7)], "y string, m string, d string, s string, n int")
+    r = df.select(C.ymd_date("y", "m", "d").alias("ymd"), C.to_date_or_null("s").alias("dt"),
+                  C.text("n").alias("t")).collect()
+    assert [x["ymd"] for x in r] == [None, dt.date(2020, 2, 29), None]      # 2019-02-29 is not a date
+    assert [x["dt"] for x in r] == [dt.date(2019, 3, 1), None, None]
+    assert [x["t"] for x in r] == [None, "5", "7"]                           # null stays null, not 'nan'
+    m = df.select(RS.literal_map({"S24": "Changi"})[F.lit("S24")].alias("v")).first()["v"]
+    assert m == "Changi"
+    hdr = spark.createDataFrame([(1, 2)], "` Year ` int, `Day  ` int")
+    assert RD.clean_header(hdr, {"Year": "year"}).columns == ["year", "Day"]
+
+
+def test_keep_last_and_inner_by(spark):
+    from zonecast.operators import joins as J
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, t int, v string")
+    last = {r["k"]: r["v"] for r in J.keep_last(df, ["k"], F.col("t")).collect()}
+    assert last == {"a": "y", "b": "z"}
+    other = spark.createDataFrame([("a", 10)], "k string, w int")
+    assert J.inner_by(df, other, "k").count() == 2
