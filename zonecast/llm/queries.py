@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import quality_rules
+from . import chat_format, quality_rules, sharding
 from .util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,19 @@ def op1_quality_rules(spark, sf_dir):
 
 
 ORACLE["op1_quality_rules"] = f"SELECT {', '.join(QUALITY_COLUMNS)} FROM ({quality_rules.feature_sql()})"
+
+
+@query
+def op7_chat_formatting(spark, sf_dir):
+    rows = chat_format.with_probe(table(spark, sf_dir, "conversations"))
+    return chat_format.read_back(chat_format.format_turns(rows))
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.assign_shards(docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")))
+    return out.select("doc_id", "n_bytes", "shard", "shard_depth", "shard_bytes", "shard_rows")
+
+
+ORACLE["op8_sharding"] = sharding.shard_sql()
