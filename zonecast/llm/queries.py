@@ -11,8 +11,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import chat_format, quality_rules, sharding
-from .util import table
+from . import chat_format, quality_rules, sharding, topk_search, warc
+from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +50,35 @@ def op8_sharding(spark, sf_dir):
 
 
 ORACLE["op8_sharding"] = sharding.shard_sql()
+
+
+@query
+def op3_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLE["op3_exact_topk"] = topk_search.topk_sql()
+
+
+@query
+def op2_warc(spark, sf_dir):
+    folder = scratch_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.read_warc(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _base32_sql(hex_digest: str) -> str:
+    """DuckDB SQL: base32 of a SHA-1 in hex, five bits at a time."""
+    return (f"list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+            f"(('0x' || substr({hex_digest}, (k // 4 * 5 + 1)::INTEGER, 5))::BIGINT >> (15 - k % 4 * 5) & 31)::INTEGER + 1, 1)), "
+            f"'string_agg', '')")
+
+
+ORACLE["op2_warc"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, {_base32_sql("sha1(coalesce(html, ''))")} AS payload_digest
+           FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS rep FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = rep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = rep THEN NULL ELSE rep END AS refers_to FROM r"""

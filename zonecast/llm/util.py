@@ -26,10 +26,15 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared scratch folder."""
+    return f"{scratch_path(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared scratch folder and read
     back: lineage is cut, an executor lost later costs nothing upstream."""
-    path = f"{scratch_path(df.sparkSession, 'llm')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
