@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import chat_format, quality_rules, sharding, topk_search, warc
+from . import bpe, chat_format, quality_rules, sharding, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(fn):
     return fn
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUALITY_COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                    "base_failed", "kept", "n_lines", "n_marks", "n_stop_words"]
 
@@ -82,3 +89,13 @@ WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
 r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS rep FROM p)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = rep THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = rep THEN NULL ELSE rep END AS refers_to FROM r"""
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    path = vocabulary("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs, path), path)
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
