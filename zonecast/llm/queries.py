@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, quality_rules, sharding, topk_search, warc
+from . import bpe, chat_format, packing, quality_rules, sharding, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,9 @@ def op6_bpe(spark, sf_dir):
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
