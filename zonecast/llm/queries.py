@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, packing, quality_rules, sharding, topk_search, warc
+from . import bpe, chat_format, packing, quality_rules, sharding, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,11 @@ def op6_bpe(spark, sf_dir):
 def op10_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    folder = scratch_folder(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_token_files(docs, folder, vocabulary("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, folder)
