@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, packing, quality_rules, sharding, token_files, topk_search, warc
+from . import bpe, chat_format, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op9_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     token_files.write_token_files(docs, folder, vocabulary("byte_bpe_50k.json"))
     return token_files.read_token_files(spark, folder)
+
+
+@query
+def op5_ngram_jaccard(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
