@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
+from . import bpe, chat_format, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,13 @@ def op9_token_files(spark, sf_dir):
 @query
 def op5_ngram_jaccard(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs)
+    return out.select("doc_id", "n_lines", "n_same", "n_near", F.md5("text").alias("kept_md5"))
+
+
+ORACLE["op4_line_dedup"] = line_dedup.line_sql()

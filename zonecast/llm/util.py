@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +43,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def row_key(doc_id, text):
     """64-bit key of a row, equal for rows that repeat each other."""
     return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), doc_id.isNull(), F.coalesce(text, F.lit("")))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs whose frames are
+    no longer referred to, between two phases that shuffle much."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
