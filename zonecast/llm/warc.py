@@ -126,21 +126,26 @@ def _write(folder: str, file_bytes: int):
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roll, done, last = None, [], None
+        roll, done, last, known = None, [], None, None
         for b in batches:
-            for shard, page_id, url, html, rep, alone in zip(*(b.column(c).to_pylist() for c in (
-                    "shard", "page_id", "url", "html", "rep", "alone")), strict=True):
+            for shard, page_id, url, html, sha1, rep, met in zip(*(b.column(c).to_pylist() for c in (
+                    "shard", "page_id", "url", "html", "digest", "rep", "met")), strict=True):
+                if met:  # this payload has several records, and ``rep`` is its response
+                    known = (page_id, sha1, rep)
+                    continue
                 if roll is None or roll.shard != shard:
                     if roll is not None:
                         roll.close()
                         done += roll.done
                     roll = _Roll(folder, shard, file_bytes)
                 payload = (html or "").encode()
-                digest = base32_sha1(payload)
-                # rows equal in id and payload stand together: the first is the response
-                first, last = page_id == rep and last != (page_id, digest), (page_id, digest)
-                kind = "response" if alone or first else "revisit"
-                roll.add(record_bytes(page_id, url, payload, digest, kind, rep))
+                kind, refers = "response", None
+                if known is not None and known[:2] == (page_id, sha1):
+                    # rows equal in id and payload stand together: the first is the response
+                    if page_id != known[2] or last == (page_id, sha1):
+                        kind, refers = "revisit", known[2]
+                last = (page_id, sha1)
+                roll.add(record_bytes(page_id, url, payload, base32_sha1(payload), kind, refers))
         if roll is not None:
             roll.close()
             done += roll.done
@@ -180,18 +185,21 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: in
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select("page_id", "url", "html", F.sha1(html).alias("digest"), F.octet_length(html).alias("size"))
     slice_of, table = _shard_table(keyed, shard_bytes)
-    table = written(table, "warc-shards")
+    table = written(table, "warc-shards")  # two numbers for each SHARD_BYTES / SLICES of payload
     n = (table.agg(F.max(F.col("base") + F.col("span"))).first()[0] or 1)
     # of each payload met more than once: the response's id; a partial maximum, however hot the payload
     reps = (keyed.groupBy("digest", "size").agg(F.max("page_id").alias("rep"), F.count(F.lit(1)).alias("n"))
             .where((F.col("n") > 1) & (F.col("size") >= min_bytes)).select("digest", "rep", F.lit(True).alias("met")))
-    marked = keyed.join(reps, "digest", "left").withColumn("slice", slice_of).join(table, "slice")
     part = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint") * F.col("span") / F.lit(1 << 32))
-    rows = marked.select((F.col("base") + part).cast("bigint").alias("shard"), "page_id", "url", "html", "digest",
-                         F.when(F.col("met"), F.col("rep")).otherwise(F.col("page_id")).alias("rep"),
-                         F.col("met").isNull().alias("alone"))
-    rows = rows.repartitionByRange(max(1, n), "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
-    files = rows.select("shard", "page_id", "url", "html", "rep", "alone").mapInArrow(
+    placed = keyed.withColumn("slice", slice_of).join(table, "slice").withColumn("shard", (F.col("base") + part).cast("bigint"))
+    # payloads move once, to their shard; what is known of repeated ones joins
+    # narrow rows and travels to the same place, sorted before the payloads
+    known = placed.select("shard", "page_id", "digest").join(reps, "digest").select(
+        "shard", "page_id", "digest", "rep", "met", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
+    rows = placed.select("shard", "page_id", "digest", F.lit(None).cast("bigint").alias("rep"), F.lit(False).alias("met"), "url", "html")
+    rows = known.unionByName(rows).repartitionByRange(max(1, n), "shard").sortWithinPartitions(
+        "shard", "page_id", "digest", F.col("met").desc(), "url")
+    files = rows.select("shard", "page_id", "url", "html", "digest", "rep", "met").mapInArrow(
         _write(folder.rstrip("/"), file_bytes), MANIFEST)
     manifest = written(files, "warc-manifest")
     # complete or absent: Spark's committer writes it, after every file has its final name
