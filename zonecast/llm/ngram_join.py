@@ -37,18 +37,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .util import written
+from .util import free_name, release, row_key, written
 from .words import U, mix, pieces, word_hashes
 
 BUCKETS = 1 << 20
 CHUNK = 1 << 14  # buckets a row of counts holds
 RANGES = 32  # of the suffix filter
 BITMAP = 1 << 23
-SETS = "doc_id bigint, cls bigint, size int, ranges array<int>, prefix array<bigint>"
+SETS = "key bigint, doc_id bigint, cls bigint, size int, ranges array<int>, prefix array<bigint>"
 
 
 def need(num: int, den: int, sizes):
@@ -138,11 +138,12 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 prefix.append(s[first].astype(np.int64))
             if cls:
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int32()),
+                    [b.column(2), b.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int32()),
                      pa.array(ranges, pa.list_(pa.int32())), pa.array(prefix, pa.list_(pa.int64()))],
-                    names=["doc_id", "cls", "size", "ranges", "prefix"])
+                    names=["key", "doc_id", "cls", "size", "ranges", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, SETS)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"),
+                       row_key(docs["doc_id"], docs["text"])).mapInArrow(run, SETS)
 
 
 def _may_link(num: int, den: int, a: str, b: str) -> Column:
@@ -221,8 +222,8 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def link_components(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(members, components): doc_id, cls and size per document; cls and
-    component (smallest doc_id) per class."""
+    """(members, components): key, doc_id, cls and size per document; cls,
+    label (of its component) and component (smallest doc_id) per class."""
     docs = docs.select("doc_id", "text")
     sets = written(prefixes(docs, n, num, den), "jaccard-sets")
     classes = written(sets.where("size > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(
@@ -238,6 +239,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFr
     star = written(_suffix_filter(star, classes, num, den), "jaccard-star")
     links = written(_verified(docs, star, classes, n, num, den), "jaccard-links")
     first = written(components(links.toDF("u", "v")), "jaccard-components")
+    release(docs.sparkSession)  # the first wave's shuffle files
 
     # second wave: pairs across components
     labelled = grams.join(first.toDF("cls", "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
@@ -253,7 +255,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFr
 
     labels = classes.select("cls", "low").join(joined.toDF("cls", "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     lows = labels.groupBy("label").agg(F.min("low").alias("component"))
-    return sets.select("doc_id", "cls", "size"), labels.join(lows, "label").select("cls", "component")
+    return sets.select("key", "doc_id", "cls", "size"), labels.join(lows, "label").select("cls", "label", "component")
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -262,3 +264,18 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     return members.join(found, "cls", "left").select(
         "doc_id", F.col("size").cast("bigint").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without those that link, over any number of links,
+    to a document with a smaller (doc_id, row key); of repeated rows one
+    stays.  Documents that link with nothing by definition all stay."""
+    key, alone, nth = (free_name(docs, x) for x in ("key", "alone", "nth"))
+    members, found = link_components(docs, n, num, den)
+    members = members.join(found, "cls", "left")
+    least = (members.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("least"))
+             .select(F.col("least.key").alias(key), F.lit(False).alias(alone)))
+    keep = members.where("label IS NULL").select(F.col("key").alias(key), F.lit(True).alias(alone)).distinct().union(least)
+    rows = docs.withColumn(key, row_key(docs["doc_id"], docs["text"])).join(keep, key)
+    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1))))
+    return rows.where(F.col(alone) | (F.col(nth) == 1)).select(*docs.columns)
