@@ -147,7 +147,10 @@ def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     row travels as one struct, so that no column name can clash."""
     row = "__row" if text != "__row" else "__row_"
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(f"`{text}`").alias("__t"))
-    return quality_features(packed, "__t", rules).where("kept").select(f"{row}.*")
+    # a filter that reads a nondeterministic column stays above the projections;
+    # pushed down it would repeat every feature's expression inside itself
+    judged = quality_features(packed, "__t", rules).withColumn("__part", F.spark_partition_id())
+    return judged.where(F.col("kept") & (F.col("__part") >= 0)).select(f"{row}.*")
 
 
 def feature_sql(source: str = "documents") -> str:
