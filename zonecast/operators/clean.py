@@ -107,9 +107,10 @@ def min_support(df: DataFrame, by: Sequence[str], n: int = 10) -> DataFrame:
 
 
 def trailing(df: DataFrame, ts: str, days: int, ref) -> DataFrame:
-    """Rows with ``ts`` in the last ``days`` days before the reference time
+    """Rows with ``ts`` in the last ``days`` days up to the reference time
     (F9); ``ref`` is a parameter, never ``now()``, so runs repeat."""
-    return df.where(F.col(ts) >= (F.lit(ref).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")))
+    at = F.lit(ref).cast("timestamp")
+    return df.where((F.col(ts) >= at - F.expr(f"INTERVAL {int(days)} DAYS")) & (F.col(ts) <= at))
 
 
 def above(df: DataFrame, col: str, t: float = 0.5) -> DataFrame:

@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import canonical, clip_upper, density, to_number
+from ..functions.columns import canonical, clip_upper, density, to_date_or_null, to_number
 from . import clean as CL
 from . import index as IX
 from . import panel as P
@@ -42,7 +42,7 @@ RAINFALL_CAP = 300.0                  # fixed: rainfall clip (mm)
 def silver_clusters(bronze: DataFrame, folder: str = RELIABLE_FOLDER,
                     order: Sequence[str] = ("source_file",)) -> tuple[DataFrame, DataFrame]:
     """Cleaned cluster rows and the per-rule audit."""
-    typed = (bronze.withColumn("date", F.to_date("date"))
+    typed = (bronze.withColumn("date", to_date_or_null("date"))
              .withColumn("latitude", to_number("latitude")).withColumn("longitude", to_number("longitude"))
              .withColumn("cases", to_number("cases")).withColumn("cluster_id", to_number("cluster_id")))
     rules = [
@@ -66,7 +66,7 @@ def silver_weather(bronze: DataFrame, date: str = "date", rain: str = "rainfall_
                    limit: int = 3) -> DataFrame:
     """National daily rainfall series, gap-filled."""
     df = CL.drop_matching(bronze, ["temp", "wind"])
-    df = df.withColumn(date, F.to_date(date)).withColumn(rain, clip_upper(to_number(rain), RAINFALL_CAP))
+    df = df.withColumn(date, to_date_or_null(date)).withColumn(rain, clip_upper(to_number(rain), RAINFALL_CAP))
     daily = P.daily_mean(df.where(F.col(date).isNotNull()), date, rain, "rainfall_mean_mm")
     full = S.fill_calendar(daily, date)
     # one national series (one row per calendar day): the window is bounded

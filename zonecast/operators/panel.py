@@ -58,19 +58,19 @@ def spine(df: DataFrame, date: str | Column = "date", zones: DataFrame | None =
 
 
 def daily_distinct(df: DataFrame, date: str, col: str, name: str) -> DataFrame:
-    """Distinct count per date, nulls ignored (A1)."""
-    return df.groupBy(date).agg(F.countDistinct(col).alias(name))
+    """Distinct count per date, nulls ignored; rows without a date belong to none (A1)."""
+    return df.where(F.col(date).isNotNull()).groupBy(date).agg(F.countDistinct(col).alias(name))
 
 
 def daily_sum(df: DataFrame, date: str, col: str, name: str) -> DataFrame:
     """Sum per date; an all-null group sums to 0 like pandas (A2)."""
-    return df.groupBy(date).agg(F.coalesce(F.sum(col), F.lit(0)).alias(name))
+    return df.where(F.col(date).isNotNull()).groupBy(date).agg(F.coalesce(F.sum(col), F.lit(0)).alias(name))
 
 
 def daily_mean(df: DataFrame, date: str, col: str, name: str,
                by: Sequence[str] = ()) -> DataFrame:
     """Mean per date (and optional keys), nulls skipped (A3)."""
-    return df.groupBy(*by, date).agg(F.avg(col).alias(name))
+    return df.where(F.col(date).isNotNull()).groupBy(*by, date).agg(F.avg(col).alias(name))
 
 
 def rolling_mean_rows(df: DataFrame, order: str, col: str, windows: dict[str, int],
@@ -170,6 +170,7 @@ def zone_day(events: DataFrame, date: Column, zone: str, value: str, hit: Column
     combine), so a hot zone is reduced before the shuffle."""
     return (events.select(date.alias("date"), F.col(zone), F.col(value).alias("_v"),
                           hit.cast("int").alias("_hit"))
+            .where(F.col("date").isNotNull())
             .groupBy("date", zone)
             .agg(F.sum("_v").alias("value_sum"), F.count(F.lit(1)).alias("n_events"),
                  F.max("_hit").alias("hit")))

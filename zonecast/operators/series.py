@@ -77,8 +77,9 @@ def interpolate(df: DataFrame, date: str, value: str, limit: int = 3,
 def fill_series(df: DataFrame, date: str, value: str, by: Sequence[str] = (), limit: int = 3,
                 raw: str | None = None, out: str | None = None) -> DataFrame:
     """Calendar reindex + limited forward fill + linear interpolation in one
-    generator pass (U9, W4, W5), per key from its first to its last valid
-    day.  Each valid day is paired with the next valid day (``lead`` over the
+    generator pass (U9, W4, W5), per key from its first to its last day, valid or
+    not: days before the first valid one are null, days after the last one
+    carry its value on.  Each valid day is paired with the next valid day (``lead`` over the
     valid rows only) and emits every day of the segment [p, n) with its
     filled value -- the same rule as ``interpolate``, without a calendar join
     or a window over the reindexed rows.  ``raw`` keeps the original value
@@ -86,14 +87,22 @@ def fill_series(df: DataFrame, date: str, value: str, by: Sequence[str] = (), li
     raw = raw or value
     out = out or value
     day = day_number(F.col(date))
-    valid = df.where(F.col(value).isNotNull() & F.col(date).isNotNull()) \
+    days = df.where(F.col(date).isNotNull()) \
         .select(*by, F.col(date).alias("_d"), day.alias("_pd"), F.col(value).alias("_pv"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pd")
-    seg = valid.withColumn("_nd", F.lead("_pd").over(w)).withColumn("_nv", F.lead("_pv").over(w))
-    span = F.coalesce(F.col("_nd") - F.col("_pd"), F.lit(1))
-    rows = seg.withColumn("_k", F.explode(F.sequence(F.lit(0), span - 1)))
+    every = Window.partitionBy(*by) if by else Window.partitionBy()
+    days = (days.withColumn("_lo", F.min("_pd").over(every)).withColumn("_hi", F.max("_pd").over(every))
+            .withColumn("_first", F.min(F.when(F.col("_pv").isNotNull(), F.col("_pd"))).over(every)))
+    # valid days; of a key without any, its first day stands for all
+    lone = F.col("_first").isNull() & (F.col("_pd") == F.col("_lo"))
+    w = every.orderBy("_pd")
+    seg = (days.where(F.col("_pv").isNotNull() | lone)
+           .withColumn("_nd", F.lead("_pd").over(w)).withColumn("_nv", F.lead("_pv").over(w)))
+    start = F.when(F.col("_pd") == F.col("_first"), F.col("_lo") - F.col("_pd")).otherwise(F.lit(0))
+    end = F.coalesce(F.col("_nd") - 1, F.col("_hi")) - F.col("_pd")
+    rows = seg.withColumn("_k", F.explode(F.sequence(start, end)))
     gap = F.col("_k")
-    filled = (F.when(gap == 0, F.col("_pv"))
+    filled = (F.when(gap < 0, F.lit(None))
+              .when(gap == 0, F.col("_pv"))
               .when(gap <= limit, F.col("_pv"))
               .when(F.col("_nd").isNull(), F.col("_pv"))
               .otherwise(F.col("_pv") + (F.col("_nv") - F.col("_pv")) * (gap - limit)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import action_for, agree, alert_flag, alert_score, tier
+from .clean import trailing
 
 # Fixed defaults for keys the online store does not know (reference values).
 ONLINE_DEFAULTS = {"case_count": 1, "vulnerability_index": 0.5}
@@ -72,7 +73,7 @@ def shadow_summary(df: DataFrame, ts: str, production: str = "production_score",
     One aggregation pass."""
     src = df
     if ref is not None:
-        src = df.where(F.col(ts) >= F.lit(ref).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS"))
+        src = trailing(df, ts, days, ref)
     diff = F.abs(F.col(production) - F.col(shadow))
     out = src.agg(
         F.count(F.lit(1)).alias("total_cases"),

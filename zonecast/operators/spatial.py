@@ -92,7 +92,7 @@ def ring_signed_area(ring: Column) -> Column:
 def polygon_area(poly: Column) -> Column:
     """|shell| minus |holes| in the coordinate units squared."""
     areas = F.transform(poly, lambda r: F.abs(ring_signed_area(r)))
-    return F.aggregate(F.slice(areas, 2, 1_000_000), areas[0], lambda a, x: a - x)
+    return F.aggregate(F.slice(areas, F.lit(2), F.size(areas)), areas[0], lambda a, x: a - x)
 
 
 def polygon_centroid(poly: Column) -> Column:

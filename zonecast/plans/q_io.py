@@ -34,8 +34,7 @@ def _land_snapshots(spark, sf_dir) -> str:
         F.date_format("ts", "yyMMdd").cast("int").cast("string").alias("date_raw"),
         F.month("ts").cast("string").alias("month_num"))
     path = scratch_path(spark, f"snapshots-{uuid.uuid4().hex[:12]}/snapshots")
-    SK.write_layer(rows.repartition(4),
-                   path, fmt="csv", header=False)
+    SK.write_layer(rows, path, fmt="csv", header=False)
     return path
 
 

@@ -168,7 +168,7 @@ WITH s AS (SELECT ts AS scored_at, value / (SELECT max(value) FROM events) AS p,
 t AS (SELECT *, CASE WHEN p >= 0.6 THEN 'High' WHEN p >= 0.3 THEN 'Medium' ELSE 'Low' END AS pt,
                 CASE WHEN q >= 0.6 THEN 'High' WHEN q >= 0.3 THEN 'Medium' ELSE 'Low' END AS qt,
                 (p >= {d(0.6)}) = (q >= {d(0.6)}) AS agreement
-      FROM s WHERE scored_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY)
+      FROM s WHERE scored_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY AND scored_at <= TIMESTAMP '2024-01-31 00:00:00')
 SELECT count(*) AS total_cases,
   round(avg(CASE WHEN agreement THEN 1.0 ELSE 0.0 END) * 100, 1) AS agreement_pct,
   round(avg(abs(p - q)), 4) AS avg_score_diff, round(max(abs(p - q)), 4) AS max_score_diff,

@@ -76,7 +76,7 @@ def trailing_events(spark, sf_dir):
 
 
 sql("trailing_events", """
-SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY
+SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY AND ts <= TIMESTAMP '2024-01-31 00:00:00'
 """)
 
 

@@ -47,8 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect: no JVM context here
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="zonecast-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share") from None
         return conf_dir
     current = sc.getCheckpointDir()
     if current:
@@ -56,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

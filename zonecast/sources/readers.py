@@ -207,12 +207,15 @@ def carry_header(df: DataFrame, name: str = "name", order: str = "idx", by: Sequ
 def read_station_csv(spark: SparkSession, path: str | Sequence[str],
                      header_map: Mapping[str, str] = STATION_HEADER_MAP,
                      na: Sequence[str] = STATION_NA, station_pattern: str = r"DAILYDATA_([^_]+)_",
-                     max_cols: int = 32) -> DataFrame:
+                     max_cols: int | None = None) -> DataFrame:
     """Station-month CSVs whose headers differ file by file (S15): each
     file's own header maps names to positions; only mapped columns that
     exist are kept (others null); NA markers -> null; numbers coerced;
-    station id from the file name; rows without year/month/day dropped."""
+    station id from the file name; rows without year/month/day dropped.
+    Unless ``max_cols`` is given, the widest header sizes the lines."""
     ln = _lines(spark, path)
+    if max_cols is None:
+        max_cols = ln.where(F.col("idx") == 0).agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
     ddl = ", ".join(f"_c{i} STRING" for i in range(max_cols))
     parsed = ln.withColumn("_a", F.from_csv("line", ddl))
     arr = F.array(*[F.trim(F.col(f"_a._c{i}")) for i in range(max_cols)])

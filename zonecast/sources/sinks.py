@@ -49,10 +49,9 @@ def absent_rows(new: DataFrame, existing: DataFrame | None, key: Sequence[str])
 def insert_absent(new: DataFrame, path: str, key: Sequence[str], spark=None) -> int:
     """Append only rows whose key is not stored yet; returns rows added."""
     spark = spark or new.sparkSession
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stored = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    existing = spark.read.parquet(path) if stored else None  # a table that can't be read is an error
     # pin the rows (reliable checkpoint in the shared folder) so the anti
     # join does not re-read the target while it is being appended to
     rows = cut_lineage(absent_rows(new, existing, key))

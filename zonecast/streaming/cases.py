@@ -80,8 +80,9 @@ def running_weekly_counts(stream: DataFrame, key: str, ts: str = "ts", event: st
     group is ordered by (event time, event id) and cumulated on top of the
     stored total, which is then saved.  An event-time timeout at the end of
     the week drops the state once the watermark passes it, so state stays
-    bounded by the open weeks.  A group holds one key's events of one
-    micro-batch only."""
+    bounded by the open weeks.  A task holds one key's events of one
+    micro-batch (narrow rows), however many Arrow batches they come in; the
+    trigger's size limits bound a micro-batch."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -98,8 +99,12 @@ def running_weekly_counts(stream: DataFrame, key: str, ts: str = "ts", event: st
             return
         total = state.get[0] if state.exists else 0
         end_ms = None
-        for pdf in batches:
-            pdf = pdf.sort_values([ts, event], kind="mergesort")
+        # Arrow delivers a large group in several batches, in no order: the
+        # order of events holds over all of them
+        whole = [pdf for pdf in batches if len(pdf)]
+        if whole:
+            pdf = pd.concat(whole, ignore_index=True).sort_values([ts, event], kind="mergesort")
+            del whole
             run = total + pdf[count_col].astype("int64").cumsum()
             total = int(run.iloc[-1])
             end_ms = int(pd.Timestamp(pdf["_week_end"].iloc[0]).value // 1_000_000)
