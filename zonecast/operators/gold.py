@@ -149,7 +149,7 @@ def gold_features(clusters: DataFrame, weather: DataFrame, population: DataFrame
                                "population_density_norm": weights["weights"]["population_density"]})
     pts = clusters.select("date", "cluster_id", F.col("longitude").alias("x"), F.col("latitude").alias("y"))
     hits = G.points_in_polygons(pts, subzones.select(zone, "geometry"), "x", "y", "geometry", cell)
-    g = P.overlap_and_label(g, hits.select("date", zone), zone, "date", label_days) \
+    g = P.overlap_and_label(g, hits.select("date", zone).distinct(), zone, "date", label_days) \
         .withColumn("cluster_proximity", F.lit(0))
     if proximity:
         return add_proximity(g, clusters, subzones).select(*GOLD_COLUMNS, "cluster_proximity_2km"), weights

@@ -12,22 +12,12 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .guards import broadcast_if_small
 
-DIM_BROADCAST_ROWS = 2_000_000
-
-
-def checked_dim(dim: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after counting it under ``max_rows``."""
-    n = dim.limit(max_rows + 1).count()
-    return broadcast_if_small(dim, n, max_rows)
-
-
-def lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str], probe: str,
-           max_rows: int = DIM_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def lookup(df: DataFrame, dim: DataFrame, key: str | Sequence[str], probe: str) -> tuple[DataFrame, DataFrame]:
     """Left lookup of a dimension (J1) and the count of unmatched rows (A34):
-    ``probe`` is a dimension column that is null exactly when unmatched."""
-    joined = df.join(checked_dim(dim, max_rows), key, "left")
+    ``probe`` is a dimension column that is null exactly when unmatched.  The
+    planner broadcasts the dimension if its measured bytes allow."""
+    joined = df.join(dim, key, "left")
     unmatched = joined.agg(F.count_if(F.col(probe).isNull()).alias("n_unmatched"))
     return joined, unmatched
 

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import numpy_bin
-from .joins import checked_dim
 from .ordering import prefix_sums
 from ..session import cut_lineage
 
@@ -75,7 +74,7 @@ def attach_totals(df: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFr
     """Attach per-group totals: a counted (then broadcast) lookup per group,
     or literal scalars from the single row when there is no grouping."""
     if by:
-        return df.join(checked_dim(totals), list(by), "left")
+        return df.join(totals, list(by), "left")
     row = totals.first()
     out = df
     for k, v in (row.asDict() if row is not None else {}).items():

@@ -98,8 +98,8 @@ def top_k(df: DataFrame, col: str, k: int, where: Column | None = None,
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Repeatable sample of at most n rows without replacement (T6): the n
-    smallest seeded hashes of the key, a per-partition top-n merge."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    smallest md5 hashes of key and seed, a per-partition top-n merge."""
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 

@@ -8,8 +8,6 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PIVOT_VALUES = 10_000
-
 
 def unpivot_features(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
                      var: str = "feature", val: str = "value") -> DataFrame:
@@ -21,14 +19,10 @@ def unpivot_features(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
 def pivot_mean(df: DataFrame, row: str, col: str, value: str,
                values: Sequence | None = None) -> DataFrame:
     """Long -> wide mean with 0 fill (U7).  The distinct pivot values are
-    taken from the data when not given; their number is checked so the
-    output schema stays bounded."""
+    taken from the data when not given: they become columns, so a caller with
+    very many of them keeps the long form."""
     if values is None:
-        vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-                .limit(MAX_PIVOT_VALUES + 1).collect()]
-        if len(vals) > MAX_PIVOT_VALUES:
-            raise ValueError("too many pivot values")
-        values = sorted(vals)
+        values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
     return df.groupBy(row).pivot(col, list(values)).agg(F.avg(value)).fillna(0)
 
 

@@ -21,7 +21,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import checked_dim
 
 # Fixed values of the SVY21 projection (EPSG:3414): WGS84 ellipsoid,
 # transverse Mercator with these origin, scale and false offsets.
@@ -38,7 +37,6 @@ SVY21 = {
 
 # Polygon-cell rows carry their geometry, so the broadcast bound is set in
 # rows well below the generic dimension limit.
-MAX_CELL_ROWS = 200_000
 
 
 # ------------------------------------------------------------ predicates
@@ -222,7 +220,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
     # the polygon side (zones x covered cells) is small: counted, then
     # broadcast under the limit, so a hot cell holding many points never
     # has to be shuffled into one task
-    cells = checked_dim(polygon_cells(polygons, geom, cell), MAX_CELL_ROWS)
+    cells = polygon_cells(polygons, geom, cell)
     cand = pts.join(cells, ["_cx", "_cy"])
     return cand.where(contains(F.col(geom), F.col(x), F.col(y))).drop("_cx", "_cy")
 
@@ -244,7 +242,7 @@ def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, c
            .withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
            .withColumn("_gx", F.floor(F.col("_cx") / r) + F.col("_dx"))
            .withColumn("_gy", F.floor(F.col("_cy") / r) + F.col("_dy")))
-    pairs = pts.join(checked_dim(cen), [*by, "_gx", "_gy"])
+    pairs = pts.join(cen, [*by, "_gx", "_gy"])
     dx, dy = F.col("_px") - F.col("_cx"), F.col("_py") - F.col("_cy")
     d2 = dx * dx + dy * dy
     grp = list(dict.fromkeys([*keys, *by]))

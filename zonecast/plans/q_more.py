@@ -22,6 +22,12 @@ def sample_rows(spark, sf_dir):
     return O.sample_n(li, "_k", 500, seed=42).drop("_k")
 
 
+sql("sample_rows", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+ORDER BY md5(l_orderkey || '-' || l_linenumber || ':42'), l_orderkey || '-' || l_linenumber LIMIT 500
+""")
+
+
 @query("best_zone")
 def best_zone(spark, sf_dir):
     """Highest-scoring zone per nation, lowest key on ties."""
@@ -60,14 +66,15 @@ FROM events GROUP BY event_type
 
 @query("zone_area_km2")
 def zone_area_km2(spark, sf_dir):
-    """WGS84 polygons derived from the embeddings (8 vertices each, mapped
-    to a 0.2-degree box around 1.35N 103.8E), projected to SVY21 and
-    measured in km2, with validity screening (G2, G3, G4)."""
+    """WGS84 polygons derived from the embeddings (a vertex per pair of
+    components, mapped to a 0.2-degree box around 1.35N 103.8E), projected to
+    SVY21 and measured in km2, with validity screening (G2, G3, G4)."""
     e = table(spark, sf_dir, "embeddings")
     emb = F.col("embedding")
-    ring = F.transform(F.sequence(F.lit(0), F.lit(8)),
-                       lambda i: F.array(F.lit(103.8) + emb[(i % 8) * 2].cast("double") * 0.2,
-                                         F.lit(1.35) + emb[(i % 8) * 2 + 1].cast("double") * 0.2))
+    n = F.floor(F.size(emb) / 2).cast("int")
+    ring = F.transform(F.sequence(F.lit(0), n),
+                       lambda i: F.array(F.lit(103.8) + emb[(i % n) * 2].cast("double") * 0.2,
+                                         F.lit(1.35) + emb[(i % n) * 2 + 1].cast("double") * 0.2))
     polys = e.select("vec_id", F.array(ring).alias("geometry"))
     out = G.screen_polygons(G.area_km2(polys), "geometry")
     return out.select("vec_id", "area_km2", "valid", "invalid_reason")

@@ -16,13 +16,13 @@ from .tables import table
 @query("ffill_only")
 def ffill_only(spark, sf_dir):
     """Per-supplier daily mean quantity, calendar-complete per supplier,
-    forward-filled at most 3 days (W4 alone; longer gaps stay null)."""
+    forward-filled at most 3 days (W4 alone; longer gaps stay null, and their days stay)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", F.to_date("l_shipdate").alias("date"), "l_quantity")
     daily = li.groupBy("l_suppkey", "date").agg(F.avg("l_quantity").alias("qty_mean"))
     full = S.fill_calendar(daily, "date", ["l_suppkey"])
     out = S.ffill_limit(full, "date", "qty_mean", 3, ["l_suppkey"], "qty_ffill")
-    return out.select("l_suppkey", "date", rnd("qty_ffill")).where(F.col("qty_ffill").isNotNull())
+    return out.select("l_suppkey", "date", rnd("qty_ffill"))
 
 
 sql("ffill_only", f"""
@@ -35,7 +35,7 @@ w AS (SELECT *,
   last_value(CASE WHEN qty IS NOT NULL THEN date END IGNORE NULLS) OVER (PARTITION BY l_suppkey ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pd
   FROM s)
 SELECT l_suppkey, date, round(CASE WHEN qty IS NOT NULL THEN qty WHEN date - pd <= 3 THEN pv END, {R}) AS qty_ffill
-FROM w WHERE qty IS NOT NULL OR date - pd <= 3
+FROM w
 """)
 
 
