@@ -31,12 +31,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .util import free_name
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_CHARS = 6_000_000
@@ -222,28 +221,43 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the text column replaced by its ids (array of int), last."""
-    rest = [c for c in docs.columns if c != text]
-    spare = [free_name(docs, f"c{i}_") for i in range(len(rest))]  # any names may clash in the input
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the text column replaced by its ids (array of int), last;
+    and, if ``decoded`` names a column, by the text that these ids decode to.
+    Input columns of these names are replaced."""
+    new = [ids] + ([decoded] if decoded else [])
+    rest = [c for c in docs.columns if c != text and c.lower() not in {n.lower() for n in new}]
+    spare = [f"c{i}_" for i in range(len(rest))]  # any names may clash in the input
     packed = docs.select(docs[text].cast("string").alias("t_"), *[docs[c].alias(s) for c, s in zip(rest, spare, strict=True)])
+    names = [*spare, "ids_"] + (["decoded_"] if decoded else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in batches:
-            texts = [t or "" for t in b.column(0).to_pylist()]
-            lengths, data = np.zeros(len(texts) + 1, np.int64), []
-            for i, x in enumerate(bpe.encode(texts)):
-                lengths[i + 1] = len(x) // 4
-                data.append(x)
-            values = pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32())
-            column = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], column], names=[*spare, "ids_"])
-
-    schema = T.StructType([packed.schema[s] for s in spare] + [T.StructField("ids_", T.ArrayType(T.IntegerType()))])
-    out = packed.mapInArrow(run, schema)
-    return out.toDF(*[c for c in rest if c != ids], ids) if ids not in rest else \
-        out.select(*[out[s].alias(c) for c, s in zip(rest, spare, strict=True) if c != ids], out["ids_"].alias(ids))
+        for whole in batches:
+            for b in by_chars(whole):
+                data = list(bpe.encode([t or "" for t in b.column(0).to_pylist()]))
+                ends = np.cumsum([0, *(len(x) // 4 for x in data)])
+                values = np.frombuffer(b"".join(data), "<i4")
+                columns = [*b.columns[1:], pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))]
+                if decoded:
+                    columns.append(pa.array([bpe.decode(values[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = T.StructType([*(packed.schema[s] for s in spare), T.StructField("ids_", T.ArrayType(T.IntegerType())),
+                           *([T.StructField("decoded_", T.StringType())] if decoded else [])])
+    return packed.mapInArrow(run, schema).toDF(*rest, *new)
+
+
+def by_chars(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose first column holds about TEXT_CHARS bytes, so
+    that what is made of them stays small too."""
+    size = np.cumsum([0 if n is None else n for n in pc.binary_length(b.column(0)).to_pylist()])
+    at = 0
+    while at < b.num_rows:
+        before = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + TEXT_CHARS, side="right")))
+        yield b.slice(at, end - at)
+        at = end
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -256,9 +270,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for b in batches:
-            column = b.column(where).fill_null([])
-            values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-            texts = [bpe.decode(values[i:j]) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+            texts = [bpe.decode(np.array(x or [], np.int64)) for x in b.column(where).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*spare, "text_"])
 
     schema = T.StructType([*packed.schema.fields, T.StructField("text_", T.StringType())])

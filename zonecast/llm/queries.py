@@ -95,7 +95,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = rep THEN 'res
 def op6_bpe(spark, sf_dir):
     path = vocabulary("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.encode(docs, path, decoded="decoded")  # one pass; bpe.decode does the second half alone
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
