@@ -192,7 +192,7 @@ def decode_run(blocks: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
         code, span = code - r * start.astype(U), r * length.astype(U)
         full = np.flatnonzero(span < U(WHOLE))
         if len(full):
-            code[full] = code[full] << U(32) | words[full, at[full]]
+            code[full] = code[full] << U(32) | words[full, np.minimum(at[full], words.shape[1] - 1)]  # damaged data may ask for more
             at[full] += 1
             span[full] <<= U(32)
         grid[:, t] = x
