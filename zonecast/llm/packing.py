@@ -3,11 +3,12 @@
 Pieces (documents, or parts of those over the capacity) are dealt into parts
 of about PART_PIECES.  Each part is packed best-fit decreasing, and lower
 bounds from dual-feasible functions of its length histogram say how few bins
-any packing needs.  A part that meets its bound is done.  A part with a gap
-keeps its exactly full bins and gives the documents of the others away; what
-all such parts give is dealt anew, into fewer parts with another mix, and
-packed again.  That ends when nothing is given away, when one part remains
-(no other documents to exchange with), or after ROUNDS rounds.
+any packing needs.  A part that meets its bound is done.  Parts with a gap keep
+only pieces that fill a bin alone and give away the others; what all such parts
+give is dealt anew, with another mix and into half as many parts or fewer, and
+packed again.  That ends when nothing is given away, when
+one part remains (no other documents to exchange with), or after ROUNDS
+rounds, so that no part exceeds PART_PIECES * 2 ** (ROUNDS - 1) pieces.
 
 Only narrow rows (ids of piece and document, lengths, checksums) are moved;
 texts and token ids stay in the task that reads them.  Rounds are written to
@@ -34,8 +35,8 @@ from .util import written
 
 CAPACITY = 2048
 END_ID = 0
-PART_PIECES = 100_000
-ROUNDS = 6
+PART_PIECES = 200_000
+ROUNDS = 4
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, slot bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint, done boolean"
 NAMES = ["doc_id", "piece", "start", "length", "ids_crc32", "slot"]
@@ -122,11 +123,10 @@ def _pack_part(capacity: int, turn: int, last: bool):
         lengths = table.column("length").to_numpy()
         bin_of, offset = best_fit_decreasing(lengths, capacity)
         n_bins = int(bin_of.max()) + 1
-        filled = np.bincount(bin_of, weights=lengths, minlength=n_bins)
         if last or n_bins == lower_bound(lengths, capacity):
             done = np.ones(len(lengths), bool)
         else:
-            done = (filled == capacity)[bin_of]
+            done = lengths == capacity
         ids = (turn << 56) + (part << 28) + bin_of
         out = table.select(NAMES)
         for name, column in (("sequence_id", ids), ("offset", offset), ("done", done)):
@@ -138,12 +138,12 @@ def _pack_part(capacity: int, turn: int, last: bool):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """``pieces`` with the sequence each one goes to and its offset there."""
-    left, done = written(pieces, "pack-pieces"), []
+    left, done, parts = written(pieces, "pack-pieces"), [], 1 << 62
     for turn in range(1, rounds + 1):
         n = left.count()
         if not n and done:
             break
-        parts = max(1, -(-n // part_pieces))
+        parts = max(1, min(-(-n // part_pieces), -(-parts // 2)))
         part = F.pmod(F.xxhash64("doc_id", "piece", "slot", F.lit(turn)), F.lit(parts))
         packed = left.groupBy(part.alias("part")).applyInArrow(
             _pack_part(capacity, turn, parts == 1 or turn == rounds), PACKED)
