@@ -36,25 +36,20 @@ def spine(df: DataFrame, date: str | Column = "date", zones: DataFrame | None =
           zone: str = "subzone_name", date_name: str = "date") -> DataFrame:
     """Panel spine: every distinct snapshot date x every distinct zone.
 
-    Built without a Cartesian join: each zone row generates the calendar days
-    between the first and last snapshot (``sequence``/``explode``, a
-    generator), and a semi join on date keeps only snapshot days.  The set of
-    snapshot days is bounded by the calendar span; it is broadcast only when
-    that span is below ``MAX_BROADCAST_DATES`` (checked from a 1-row
-    aggregate), otherwise the semi join shuffles on date.
+    Each zone row explodes the array of snapshot dates.  The array is bounded
+    by the calendar span (it comes to the driver as one row), and the output
+    is zones x snapshot dates by definition.
     """
     dates = distinct_values(df, date, date_name)
     zone_src = zones if zones is not None else df
     zone_set = distinct_values(zone_src, zone, zone)
-    bounds = dates.agg(F.min(date_name).alias("lo"), F.max(date_name).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+    days = [r[0] for r in dates.orderBy(date_name).collect()]
+    if not days:
         return zone_set.withColumn(date_name, F.lit(None).cast("date")).limit(0) \
             .select(date_name, zone)
-    span = (bounds["hi"] - bounds["lo"]).days + 1
-    cal = zone_set.withColumn(
-        date_name, F.explode(F.sequence(F.lit(bounds["lo"]), F.lit(bounds["hi"]))))
-    keep = broadcast_if_small(dates, span, MAX_BROADCAST_DATES)
-    return cal.join(keep, date_name, "left_semi").select(date_name, zone)
+    kind = dates.schema[date_name].dataType.simpleString()
+    array = F.transform(F.lit([str(d) for d in days]), lambda d: d.cast(kind))
+    return zone_set.withColumn(date_name, F.explode(array)).select(date_name, zone)
 
 
 def daily_distinct(df: DataFrame, date: str, col: str, name: str) -> DataFrame:

@@ -31,35 +31,26 @@ def flatten_readings(payload: DataFrame, stations: str = "data.stations",
                      value: str = "value", station_id: str = "id",
                      station_name: str = "name", ts: str = "timestamp") -> DataFrame:
     """Nested station payload -> one row per (reading time, station, value)
-    (S13).  ``readings[].data[]`` is exploded twice; the station list is
-    exploded and joined back by id (both come from the same payload row, so
-    the join key includes the payload id)."""
-    p = payload.withColumn("_pid", F.monotonically_increasing_id())
-    st = p.select("_pid", F.explode(F.col(stations)).alias("_s")).select(
-        "_pid", F.col(f"_s.{station_id}").alias("station_id"),
-        F.col(f"_s.{station_name}").alias("station_name"))
-    rd = (p.select("_pid", F.explode(F.col(readings)).alias("_r"))
-           .select("_pid", F.col(f"_r.{ts}").alias("reading_ts"),
-                   F.explode("_r.data").alias("_d"))
-           .select("_pid", "reading_ts", F.col(f"_d.{key}").alias("station_id"),
-                   F.col(f"_d.{value}").cast("double").alias("value")))
-    return rd.join(st, ["_pid", "station_id"], "left").drop("_pid")
+    (S13).  ``readings[].data[]`` is exploded twice; a station's name is
+    looked up in the payload's own list, in the same row."""
+    rd = (payload.select(F.col(stations).alias("_s"), F.explode(F.col(readings)).alias("_r"))
+          .select("_s", F.col(f"_r.{ts}").alias("reading_ts"), F.explode("_r.data").alias("_d"))
+          .withColumn("station_id", F.col(f"_d.{key}")))
+    at = F.array_position(F.col(f"_s.{station_id}"), F.col("station_id")) - 1
+    return rd.select("reading_ts", "station_id", F.col(f"_d.{value}").cast("double").alias("value"),
+                     F.get(F.col(f"_s.{station_name}"), at.cast("int")).alias("station_name"))
 
 
 def flatten_readings_v1(payload: DataFrame) -> DataFrame:
     """v1 payload: ``metadata.stations[]{id,name,location{latitude,longitude}}``
     and ``items[].readings[]{station_id,value}`` (S14)."""
-    p = payload.withColumn("_pid", F.monotonically_increasing_id())
-    st = p.select("_pid", F.explode("metadata.stations").alias("_s")).select(
-        "_pid", F.col("_s.id").alias("station_id"), F.col("_s.name").alias("station_name"),
-        F.col("_s.location.latitude").cast("double").alias("latitude"),
-        F.col("_s.location.longitude").cast("double").alias("longitude"))
-    rd = (p.select("_pid", F.explode("items").alias("_i"))
-           .select("_pid", F.col("_i.timestamp").alias("reading_ts"),
-                   F.explode("_i.readings").alias("_r"))
-           .select("_pid", "reading_ts", F.col("_r.station_id").alias("station_id"),
-                   F.col("_r.value").cast("double").alias("value")))
-    return rd.join(st, ["_pid", "station_id"], "left").drop("_pid")
+    rd = (payload.select(F.col("metadata.stations").alias("_s"), F.explode("items").alias("_i"))
+          .select("_s", F.col("_i.timestamp").alias("reading_ts"), F.explode("_i.readings").alias("_r"))
+          .withColumn("station_id", F.col("_r.station_id")))
+    st = F.get(F.col("_s"), (F.array_position(F.col("_s.id"), F.col("station_id")) - 1).cast("int"))
+    return rd.select("reading_ts", "station_id", F.col("_r.value").cast("double").alias("value"),
+                     st["name"].alias("station_name"), st["location"]["latitude"].cast("double").alias("latitude"),
+                     st["location"]["longitude"].cast("double").alias("longitude"))
 
 
 def rollup_readings(df: DataFrame, date: str, station: str, metric: str, value: str,

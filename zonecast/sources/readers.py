@@ -262,12 +262,23 @@ def read_features(spark: SparkSession, path: str | Sequence[str],
                     F.col("f.geometry.coordinates").alias("_coords"))
 
 
+def read_feature_lines(spark: SparkSession, path: str | Sequence[str],
+                       props: Mapping[str, str] | None = None) -> DataFrame:
+    """GeoJSON text sequence (one Feature per line) in the shape of
+    ``read_features``; files split over tasks (S7)."""
+    f = spark.read.schema(GEOJSON_SCHEMA["features"].dataType.elementType).json(
+        path if isinstance(path, str) else list(path))
+    sel = [F.col("properties").getItem(k).alias(v) for k, v in dict(props or {}).items()]
+    return f.select(*sel, F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("_coords"))
+
+
 def read_polygons(spark: SparkSession, path: str | Sequence[str],
-                  props: Mapping[str, str] | None = None) -> DataFrame:
+                  props: Mapping[str, str] | None = None, lines: bool = False) -> DataFrame:
     """GeoJSON polygons typed as MultiPolygon parts (S8): a Polygon becomes
     a one-part MultiPolygon; the result has one row per part with
-    ``geometry`` = ARRAY<ARRAY<ARRAY<DOUBLE>>> and ``part`` index."""
-    f = read_features(spark, path, props)
+    ``geometry`` = ARRAY<ARRAY<ARRAY<DOUBLE>>> and ``part`` index.
+    ``lines`` reads a text sequence instead of collections."""
+    f = (read_feature_lines if lines else read_features)(spark, path, props)
     poly = F.from_json("_coords", "array<array<array<double>>>")
     multi = F.from_json("_coords", "array<array<array<array<double>>>>")
     parts = F.when(F.col("geometry_type") == "Polygon", F.array(poly)) \

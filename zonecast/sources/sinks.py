@@ -58,3 +58,15 @@ def insert_absent(new: DataFrame, path: str, key: Sequence[str], spark=None) ->
     n = rows.count()
     rows.write.mode("append").parquet(path)
     return n
+
+
+def feature_json(props: Sequence[str], geometry: str, kind: str = "Polygon"):
+    """A row as GeoJSON Feature text (K3)."""
+    return F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.struct(*[F.col(p) for p in props]).alias("properties"),
+        F.struct(F.lit(kind).alias("type"), F.col(geometry).alias("coordinates")).alias("geometry")))
+
+
+def write_features(df: DataFrame, path: str, props: Sequence[str], geometry: str, kind: str = "Polygon") -> None:
+    """GeoJSON text sequence: one Feature per line, one file per task (K3)."""
+    df.select(feature_json(props, geometry, kind).alias("value")).write.mode("overwrite").text(path)
