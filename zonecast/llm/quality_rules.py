@@ -111,8 +111,10 @@ def quality_features(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...
                      .otherwise(F.split(bare, f"[{SPACE_CLASS}]+")).alias(words))
     df = df.withColumn(lines, F.filter(F.split(F.col(t), "\n"), lambda x: x.rlike(f"[^{SPACE_CLASS}]")))
     df = df.withColumn(hashes, F.transform(F.col(words), lambda w: F.xxhash64(w)))
+    # the partition id keeps a caller's filter on a feature above this point;
+    # below it, the filter would work out the windows again for each use
     df = df.withColumn(win, F.when(
-        F.size(hashes) > WINDOW,
+        (F.size(hashes) > WINDOW) & (F.spark_partition_id() >= 0),
         F.transform(F.sequence(F.lit(0), F.size(hashes) - WINDOW),
                     lambda i: F.xxhash64(*[F.get(F.col(hashes), i + k) for k in range(WINDOW)])))
         .otherwise(F.array().cast("array<bigint>")))
