@@ -32,89 +32,101 @@ ORDERS = 3
 WHOLE = 1 << 32
 LITERAL = 1 / 16  # of the mass at least stays with the order-0 classes
 CLASS_STARTS = np.array([0, 64, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 4096, 8192, 16384, 32768, 49152, 65536])
+CLASSES = len(CLASS_STARTS) - 1
+WIDTH = np.diff(CLASS_STARTS)
+CLASS_OF = np.repeat(np.arange(CLASSES), WIDTH)
+REFRESH = 16  # steps between refreshes of the class counts' running sums
 U = np.uint64
 
 
 class _Model:
     def __init__(self, lanes: int):
-        self.lanes = lanes
-        self.expected = np.zeros(ORDERS * lanes * SLOTS, np.uint16)
-        self.sure = np.zeros(ORDERS * lanes * SLOTS, np.uint8)
+        rows, orders = np.arange(lanes), np.arange(ORDERS)[:, None]
+        self.table = np.zeros(ORDERS * lanes * SLOTS, np.uint32)  # expected id, and above it how sure
         self.chance = np.tile((np.arange(SURE) + 0.5) / (SURE + 1), ORDERS * lanes)
         self.weight = np.full((ORDERS, lanes), 1 / ORDERS)
-        # running counts of the classes; column 16 is their sum
-        self.counts = np.tile(np.arange(len(CLASS_STARTS)), (lanes, 1)).astype(np.int64)
-        self.columns = np.arange(len(CLASS_STARTS))
-        self.total = len(CLASS_STARTS) - 1
-        self.rows = np.arange(lanes)
-        self.base = (np.arange(ORDERS)[:, None] * lanes + self.rows) * SLOTS
-        self.chance_base = (np.arange(ORDERS)[:, None] * lanes + self.rows) * SURE
-        self.context = np.zeros((ORDERS, lanes), np.int64)  # slot by order
+        self.base = (orders * lanes + rows) * SLOTS
+        self.chance_base = (orders * lanes + rows) * SURE
+        self.at = self.base.copy()
         self.last = np.zeros(lanes, np.int64)
-        self.class_of = np.repeat(np.arange(16), np.diff(CLASS_STARTS))
-        self.width = np.diff(CLASS_STARTS)
+        # class counts, and their running sums as of the last refresh
+        self.seen = np.ones((lanes, CLASSES), np.int64)
+        self.sums = np.zeros((lanes, CLASSES + 1), np.int64)
+        self.seen_row, self.sums_row = rows * CLASSES, rows * (CLASSES + 1)
+        self.steps = 0
+        self._refresh()
+
+    def _refresh(self) -> None:
+        np.cumsum(self.seen, axis=1, out=self.sums[:, 1:])
+        self.total = CLASSES + self.steps
 
     def predict(self) -> None:
-        """Expected ids and their shares of WHOLE; equal ids count under the
-        lowest row."""
-        self.at = self.base + self.context
-        self.ids = self.expected[self.at].astype(np.int64)
-        self.sureness = self.sure[self.at].astype(np.int64)
+        """Expected ids and where their shares of WHOLE end; equal ids count
+        under the lowest order of rows."""
+        slot = self.table.take(self.at)
+        self.ids = (slot & np.uint32(0xFFFF)).astype(np.int64)
+        self.sureness = (slot >> np.uint32(16)).astype(np.int64)
         self.chance_at = self.chance_base + self.sureness
-        self.p = self.chance[self.chance_at]
-        mass = self.weight * self.p
-        same = self.ids[1] == self.ids[0]
-        mass[0] += mass[1] * same
-        mass[1] *= ~same
-        same0, same1 = self.ids[2] == self.ids[0], self.ids[2] == self.ids[1]
-        mass[0] += mass[2] * same0
-        mass[1] += mass[2] * (same1 & ~same0)
-        mass[2] *= ~(same0 | same1)
-        share = (mass * (WHOLE * (1 - LITERAL))).astype(np.int64)
-        self.ends = np.cumsum(share, axis=0)
+        self.p = self.chance.take(self.chance_at)
+        share = (self.weight * self.p * (WHOLE * (1 - LITERAL))).astype(np.int64)
+        one, two = self.ids[1] == self.ids[0], self.ids[2] == self.ids[0]
+        share[0] += share[1] * one + share[2] * two
+        share[1] *= ~one
+        two_one = (self.ids[2] == self.ids[1]) & ~two
+        share[1] += share[2] * two_one
+        share[2] *= ~(two | two_one)
         self.share = share
-        self.rest = WHOLE - self.ends[2]
-        self.unit = self.rest // self.total
+        self.ends = [share[0], share[0] + share[1], share[0] + share[1] + share[2]]
+        self.unit = (WHOLE - self.ends[2]) // self.total
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length of each id's interval."""
-        k = self.class_of[x]
-        low = self.counts[self.rows, k]
-        slot = self.unit * (self.counts[self.rows, k + 1] - low) // self.width[k]
-        start = self.ends[2] + self.unit * low + (x - CLASS_STARTS[k]) * slot
-        length = slot
+        self.k = CLASS_OF.take(x)
+        at = self.sums_row + self.k
+        low = self.sums.take(at)
+        self.count, self.width = self.sums.take(at + 1) - low, WIDTH.take(self.k)
+        length = self.unit * self.count // self.width
+        start = self.ends[2] + self.unit * low + (x - CLASS_STARTS.take(self.k)) * length
+        self.hit = self.ids == x
         for i in (2, 1, 0):
-            hit = (x == self.ids[i]) & (self.share[i] > 0)
-            start = np.where(hit, self.ends[i] - self.share[i], start)
-            length = np.where(hit, self.share[i], length)
+            here = self.hit[i] & (self.share[i] > 0)
+            np.copyto(start, self.ends[i] - self.share[i], where=here)
+            np.copyto(length, self.share[i], where=here)
         return start, length
 
     def find(self, v: np.ndarray) -> np.ndarray:
         """Id in whose interval each value lies."""
         u = np.maximum(v - self.ends[2], 0)
-        k = np.minimum((self.counts[:, 1:] <= (u // self.unit)[:, None]).sum(axis=1), 15)
-        low = self.counts[self.rows, k]
-        slot = self.unit * (self.counts[self.rows, k + 1] - low) // self.width[k]
-        x = CLASS_STARTS[k] + np.minimum((u - self.unit * low) // slot, self.width[k] - 1)
+        q = u // self.unit
+        k = np.zeros(len(v), np.int64)
+        for half in (8, 4, 2, 1):  # the last class whose running sum is at most q
+            k += half * (self.sums.take(self.sums_row + k + half) <= q)
+        low = self.sums.take(self.sums_row + k)
+        width = WIDTH.take(k)
+        slot = self.unit * (self.sums.take(self.sums_row + k + 1) - low) // width
+        x = CLASS_STARTS.take(k) + np.minimum((u - self.unit * low) // slot, width - 1)
         for i in (2, 1, 0):
-            x = np.where(v < self.ends[i], self.ids[i], x)
+            np.copyto(x, self.ids[i], where=v < self.ends[i])
         return x
 
     def update(self, x: np.ndarray) -> None:
-        k = self.class_of[x]
-        literal = (self.counts[self.rows, k + 1] - self.counts[self.rows, k]) / (self.total * self.width[k])
-        hit = self.ids == x
-        self.weight *= np.where(hit, self.p, 0.0) + (1 - self.p) * literal
+        """Learns the ids whose intervals were asked for last."""
+        literal = self.count / (self.width * self.total)
+        self.weight *= self.hit * self.p + (1 - self.p) * literal
         self.weight *= (1 - SHARE) / (self.weight[0] + self.weight[1] + self.weight[2])
         self.weight += SHARE / ORDERS
-        self.chance[self.chance_at] = self.p + (hit * 0.998 + 0.001 - self.p) * RATE
-        new = ~hit & (self.sureness == 0)
-        self.expected[self.at] = np.where(new, x, self.ids)
-        self.sure[self.at] = np.where(hit, np.minimum(self.sureness + 1, SURE - 1), self.sureness >> 1)
-        self.counts += self.columns > k[:, None]
-        self.total += 1
-        self.context[1] = (x * 40503 >> 4) & (SLOTS - 1)
-        self.context[2] = ((x * 40503 + self.last * 30029 + (self.last >> 3)) >> 2) & (SLOTS - 1)
+        self.chance.put(self.chance_at, self.p + (self.hit * 0.998 + 0.001 - self.p) * RATE)
+        ids = np.where(self.hit | (self.sureness > 0), self.ids, x)
+        sure = np.where(self.hit, np.minimum(self.sureness + 1, SURE - 1), self.sureness >> 1)
+        self.table.put(self.at, ids | sure << 16)
+        at = self.seen_row + self.k
+        self.seen.put(at, self.seen.take(at) + 1)
+        self.steps += 1
+        if self.steps % REFRESH == 0:
+            self._refresh()
+        mixed = x * 40503
+        self.at[1] = self.base[1] + ((mixed >> 4) & (SLOTS - 1))
+        self.at[2] = self.base[2] + ((mixed + self.last * 30029 + (self.last >> 3) >> 2) & (SLOTS - 1))
         self.last = x
 
 
@@ -141,7 +153,7 @@ def encode_run(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     words = np.zeros((lanes, steps + 3), np.uint32)
     n_words = np.zeros(lanes, np.int64)
     for t in range(steps):
-        x = grid[:, t]
+        x = np.ascontiguousarray(grid[:, t])
         model.predict()
         start, length = model.interval(x)
         r = span >> U(32)
