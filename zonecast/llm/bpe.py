@@ -36,9 +36,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .util import tidy
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_CHARS = 6_000_000
+CACHE_CHARS = 3_000_000
 TEXT_CHARS = 2_000_000  # of text looked at together
 TREE_CELLS = 1 << 19  # leaves of the trees merged together
 NONE = np.iinfo(np.int64).max
@@ -245,7 +247,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", dec
 
     schema = T.StructType([*(packed.schema[s] for s in spare), T.StructField("ids_", T.ArrayType(T.IntegerType())),
                            *([T.StructField("decoded_", T.StringType())] if decoded else [])])
-    return packed.mapInArrow(run, schema).toDF(*rest, *new)
+    return packed.mapInArrow(tidy(run), schema).toDF(*rest, *new)
 
 
 def by_chars(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -274,4 +276,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*spare, "text_"])
 
     schema = T.StructType([*packed.schema.fields, T.StructField("text_", T.StringType())])
-    return packed.mapInArrow(run, schema).toDF(*rest, text)
+    return packed.mapInArrow(tidy(run), schema).toDF(*rest, text)

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .util import tidy
+
 # The template.
 TURN_MARK = b"### "
 ROLE_END = b": "
@@ -122,7 +124,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     grouped by conversation and in order within each Spark partition."""
     rows = conversations.select("conv_id", "turn", "role", "text")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.mapInArrow(_format, FORMATTED)
+    return rows.mapInArrow(tidy(_format), FORMATTED)
 
 
 _TURN = re.compile(rb"### ((?:[^\\:]|\\.)*): ((?:[^\\]|\\.)*?)</turn>\n", re.S)
@@ -190,7 +192,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """Digests per conversation, parsed from what ``format_turns`` returned.
     A digest over a conversation's turns is sequential, so one task reads a
     conversation; it holds one batch at a time, however many turns it has."""
-    return formatted.mapInArrow(_read, DIGESTS)
+    return formatted.mapInArrow(tidy(_read), DIGESTS)
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ Each of the first two kinds of group is a clique, so its earliest line stands
 for it.  A task therefore links the other lines of a group to the earliest at
 once and passes only that one on: however often a line or its near copies
 occur, a key leaves a task once.  Keys travel packed by hash bucket (numpy
-arrays in binary columns); the buckets' tasks link what meets there.
+arrays in binary columns, 32 bits of each hash besides the bucket's); the
+buckets' tasks link what meets there, and chance meetings fail verification.
 
 Links between different lines are verified on their words; the texts of lines
 that take part are read again, told by a bitmap of fixed size, and the join
@@ -28,6 +29,7 @@ treated alike; other columns pass through whatever their names.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .util import free_name, release, row_key, written
+from .util import free_name, release, row_key, tidy, written
 from .words import IS_SPACE, U, mix, pieces, powers, word_hashes
 
 MIN_WORDS = 8
-WORDS_TOGETHER = 2_000_000  # whose variants a task holds
-VARIANTS_PER_BUCKET = 2_000_000
+WORDS_TOGETHER = 1_000_000  # whose variants a task holds
+VARIANTS_PER_BUCKET = 1_000_000
 BITMAP = 1 << 23
-HASH_BYTES = 5  # that travel; the bucket gives more bits
 Q, Q2 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 Q_INVERSE, Q2_INVERSE = pow(Q, -1, 1 << 64), pow(Q2, -1, 1 << 64)
-PACKED = "bucket int, docs binary, lines binary, wholes binary, variants binary, links binary"
+PACKED = "bucket int, docs binary, lines binary, wholes binary, variants binary, hashes binary, links binary"
 LINKS = ("later_key bigint, later_line int, earlier_key bigint, earlier_line int, same boolean")
 LINE = np.dtype([("doc", "<u4"), ("line", "<u4")])
 DOC = np.dtype([("null", "u1"), ("id", "<i8"), ("key", "<i8")])
@@ -54,15 +55,17 @@ LINK = np.dtype([("later_key", "<i8"), ("later_line", "<i4"), ("earlier_key", "<
 
 
 def planes(*arrays: np.ndarray) -> bytes:
-    """The arrays' bytes, least significant plane of each first, which block
-    compression likes."""
+    """The arrays' bytes, least significant plane of each first, compressed:
+    differences and places of words take few bits."""
     out = [np.array([len(arrays[0])], "<u8").tobytes()]
     for a in arrays:
-        out.append(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes())
-    return b"".join(out)
+        raw = np.ascontiguousarray(a)
+        out.append(np.ascontiguousarray(raw.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes())
+    return zlib.compress(b"".join(out), 1)
 
 
 def unplanes(data: bytes, *dtypes: str) -> list[np.ndarray]:
+    data = zlib.decompress(data)
     n, at, out = int(np.frombuffer(data, "<u8", 1)[0]), 8, []
     for d in map(np.dtype, dtypes):
         raw = np.frombuffer(data, np.uint8, n * d.itemsize, at).reshape(d.itemsize, n)
@@ -132,7 +135,8 @@ def _link_rows(doc: np.ndarray, lines: np.ndarray, later: np.ndarray, earlier: n
         out[f"{name}_key"] = doc["key"][lines["doc"][of]]
         out[f"{name}_line"] = lines["line"][of]
     out["same"] = same
-    return out
+    # repeated rows are one document: a line isn't later than itself
+    return out[(out["later_key"] != out["earlier_key"]) | (out["later_line"] != out["earlier_line"])]
 
 
 def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
@@ -173,14 +177,13 @@ def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
         d = doc[used_docs]
         yield (k, planes(d["null"], d["id"].astype("<i8"), d["key"].astype("<i8")), planes(delta, lines["line"][used].astype("<u4")),
                planes(where[:len(w)].astype("<u4"), whole[w], second[w]),
-               planes(np.diff(where[len(w):], prepend=0).astype("<i4"), place[v].astype("<u4"),
-                      *(((key[v] >> U(8 * i)) & U(255)).astype(np.uint8) for i in range(HASH_BYTES))),
-               own.tobytes())
+               planes(np.diff(where[len(w):], prepend=0).astype("<i4"), place[v].astype("<u4")),
+               key[v].astype("<u4").tobytes(), own.tobytes())
 
 
 def _emit(n_buckets: int):
     names = [x.split(" ")[0] for x in PACKED.split(", ")]
-    types = [pa.int32(), *[pa.binary()] * 5]
+    types = [pa.int32(), *[pa.binary()] * 6]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, turn = [], 0, 0
@@ -214,13 +217,14 @@ def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         null, id_, k = unplanes(row["docs"], "u1", "<i8", "<i8")
         delta, number = unplanes(row["lines"], "<u4", "<u4")
         line, whole, second = unplanes(row["wholes"], "<u4", "<u8", "<u8")
-        d_line, place, *hashes = unplanes(row["variants"], "<i4", "<u4", *["u1"] * HASH_BYTES)
+        d_line, place = unplanes(row["variants"], "<i4", "<u4")
+        hashes = np.frombuffer(row["hashes"], "<u4").astype(U)
         d, l = np.zeros(len(null), DOC), np.zeros(len(number), LINE)
         d["null"], d["id"], d["key"] = null, id_, k
         l["doc"], l["line"] = np.cumsum(delta) + n_docs, number
         doc.append(d), lines.append(l)
         wholes.append((line.astype(np.int64) + n_lines, whole, second))
-        variants_.append((np.cumsum(d_line) + n_lines, sum((h.astype(U) << U(8 * i) for i, h in enumerate(hashes)), np.zeros(len(place), U)), place))
+        variants_.append((np.cumsum(d_line) + n_lines, hashes, place))
         n_docs, n_lines = n_docs + len(d), n_lines + len(l)
     doc, lines = np.concatenate(doc), np.concatenate(lines)
     w_line, whole, second = (np.concatenate(c) for c in zip(*wholes, strict=True))
@@ -238,7 +242,7 @@ def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
     first, later, earlier = clique_links(whole ^ mix(second), w_line)
     links.append(_link_rows(doc, lines, later, earlier, True))
-    w_line, w_key = w_line[first], whole[first] & U((1 << 8 * HASH_BYTES) - 1)
+    w_line, w_key = w_line[first], whole[first] & U(0xFFFFFFFF)
     first, later, earlier = clique_links(mix(v_key + (place.astype(U) << U(42))), v_line)
     links.append(_link_rows(doc, lines, later, earlier, False))
     # a whole line that equals another line's variant; of each variant and place the earliest
@@ -288,7 +292,7 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_slots(b.column(0).to_numpy(), b.column(1).to_numpy()))], names=["slot"])
 
-    words = ends.mapInArrow(slots, "slot bigint").groupBy(F.shiftright("slot", 6).alias("w")).agg(
+    words = ends.mapInArrow(tidy(slots), "slot bigint").groupBy(F.shiftright("slot", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("v"))
     bits = np.zeros(BITMAP // 64, np.int64)
     for r in words.collect():  # BITMAP bits, whatever the number of lines
@@ -310,7 +314,7 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(found, pa.binary())],
                                                  names=["key", "line", "words"])
 
-    found = docs.mapInArrow(texts, "key bigint, line int, words binary").join(ends, ["key", "line"], "left_semi").dropDuplicates(["key", "line"])
+    found = docs.mapInArrow(tidy(texts), "key bigint, line int, words binary").join(ends, ["key", "line"], "left_semi").dropDuplicates(["key", "line"])
     found = written(found, "line-texts")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +324,7 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
 
     return (links.join(found.toDF("later_key", "later_line", "x"), ["later_key", "later_line"])
             .join(found.toDF("earlier_key", "earlier_line", "y"), ["earlier_key", "earlier_line"])
-            .select("later_key", "later_line", "x", "y").mapInArrow(verify, "later_key bigint, later_line int"))
+            .select("later_key", "later_line", "x", "y").mapInArrow(tidy(verify), "later_key bigint, later_line int"))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
@@ -328,7 +332,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     goes; near is false if an earlier line has the same words."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = 1 << max(0, (size // 6 // VARIANTS_PER_BUCKET)).bit_length()
-    packed = docs.mapInArrow(_emit(n_buckets), PACKED)
+    packed = docs.mapInArrow(tidy(_emit(n_buckets)), PACKED)
     links = written(packed.groupBy("bucket").applyInArrow(_meet, LINKS), "line-links")
     release(docs.sparkSession)  # the packed keys' shuffle files
     same = links.where("same").select(F.col("later_key").alias("key"), F.col("later_line").alias("line"))
@@ -369,7 +373,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     schema = T.StructType([T.StructField("row_", joined.schema[row].dataType), T.StructField("text_", T.StringType()),
                            *(T.StructField(c, T.LongType()) for c in counts)])
-    out = joined.mapInArrow(cut, schema)
+    out = joined.mapInArrow(tidy(cut), schema)
     return out.select(*[F.col("text_").alias(c) if c == text else F.col("row_").getField(c).alias(c) for c in rest], *counts)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .util import written
+from .util import tidy, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -68,7 +68,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=NAMES)
 
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(tidy(run), PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import mixcoder, tokens
-from .util import written
+from .util import tidy, written
 from .warc import file_system
 
 END_ID = 2
@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    manifest = written(rows.mapInArrow(run, MANIFEST), "token-manifest")
+    manifest = written(rows.mapInArrow(tidy(run), MANIFEST), "token-manifest")
     manifest.orderBy("part", "number").write.mode("overwrite").json(f"{folder.rstrip('/')}/manifest")
     return manifest
 
@@ -198,4 +198,4 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return files.select("file", "before").repartition(n, "file").mapInArrow(run, schema)
+    return files.select("file", "before").repartition(n, "file").mapInArrow(tidy(run), schema)

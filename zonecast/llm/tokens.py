@@ -22,8 +22,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_CHARS = 6_000_000
-TEXT_CHARS = 4_000_000  # of text looked at together
+CACHE_CHARS = 3_000_000
+TEXT_CHARS = 1_000_000  # of text looked at together
 JOINED = 256  # pieces encoded as one text
 CUT = re.compile(" (?=[!-~À-ɏ])")
 NO_CUT = re.compile(" (?![!-~À-ɏ])")

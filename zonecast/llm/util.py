@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
+import time
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +52,33 @@ def row_key(doc_id, text):
 
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished jobs whose frames are
-    no longer referred to, between two phases that shuffle much."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    no longer referred to, between two phases that shuffle much.  The cleaner
+    works in the background, hence the second round."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``; when a task ends, the memory it freed goes
+    back to the system, as the worker waits on beside others."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return tidied
+
+
+def rows_of(b: pa.RecordBatch, n: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``n`` rows."""
+    for at in range(0, b.num_rows, n):
+        yield b.slice(at, n)

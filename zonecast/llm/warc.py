@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.guards import require_columns
-from .util import written
+from .util import tidy, written
 
 FILE_BYTES = 16 << 20  # compressed; a file ends at the first record past it
 SHARD_BYTES = 64 << 20  # of payload in a shard, about
@@ -200,7 +200,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: in
     rows = known.unionByName(rows).repartitionByRange(max(1, n), "shard").sortWithinPartitions(
         "shard", "page_id", "digest", F.col("met").desc(), "url")
     files = rows.select("shard", "page_id", "url", "html", "digest", "rep", "met").mapInArrow(
-        _write(folder.rstrip("/"), file_bytes), MANIFEST)
+        tidy(_write(folder.rstrip("/"), file_bytes)), MANIFEST)
     manifest = written(files, "warc-manifest")
     # complete or absent: Spark's committer writes it, after every file has its final name
     manifest.orderBy("file").write.mode("overwrite").json(f"{folder.rstrip('/')}/manifest")
@@ -284,4 +284,4 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the files that the manifest in ``folder`` lists."""
     files = spark.read.schema(MANIFEST).json(f"{folder.rstrip('/')}/manifest")
     n = spark.sparkContext.defaultParallelism
-    return files.repartition(max(1, n), "file").mapInArrow(_read(folder.rstrip('/')), RECORDS)
+    return files.repartition(max(1, n), "file").mapInArrow(tidy(_read(folder.rstrip('/'))), RECORDS)
