@@ -18,8 +18,9 @@ documents link when ``den * intersection >= num * union``.
    components, filtered alike, are verified too.  What isn't verified lies in
    one component already, so components are those of all links.
 
-The suffix filter compares n-gram counts per hash range: the sum of their
-differences is at most the symmetric difference, whose size a link bounds.
+The suffix filter compares PARITY bits: bit k is the parity of the n-grams that
+hash to k.  Bits that differ between two sets are at most their symmetric
+difference, whose size a link bounds.
 Pairs are verified once, on whole sets, by the classes' smallest documents.
 Sets are hashed anew in the tasks that read the texts; a bitmap of fixed size
 tells them which documents take part, and the join drops its false hits.
@@ -41,14 +42,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .util import free_name, release, row_key, written
+from .util import free_name, release, row_key, rows_of, tidy, written
 from .words import U, mix, pieces, word_hashes
 
 BUCKETS = 1 << 20
 CHUNK = 1 << 14  # buckets a row of counts holds
-RANGES = 32  # of the suffix filter
+PARITY = 2048  # bits of the suffix filter; FOLDED to 256 they travel with the n-grams
+FOLDED = ["p0", "p1", "p2", "p3"]
 BITMAP = 1 << 23
-SETS = "key bigint, doc_id bigint, cls bigint, size int, ranges array<int>, prefix array<bigint>"
+SETS = ("key bigint, doc_id bigint, cls bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
+        "parity array<bigint>, prefix array<bigint>")
 
 
 def need(num: int, den: int, sizes):
@@ -107,7 +110,7 @@ def gram_order(docs: DataFrame, n: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(scaled)], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    rows = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    rows = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(tidy(count), schema).repartition("chunk").mapInArrow(tidy(add), schema)
     out = np.zeros(BUCKETS, np.uint8)
     for r in rows.collect():  # BUCKETS bytes in all
         out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["counts"]), np.uint8)
@@ -120,30 +123,32 @@ def _class_of(s: np.ndarray) -> int:
 
 
 def prefixes(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """SETS: per document its class, set size, counts per hash range and
-    prefix (both without entries for an empty set)."""
+    """SETS: per document its class, set size, parity bits and prefix."""
     order = docs.sparkSession.sparkContext.broadcast(gram_order(docs, n).tobytes())  # BUCKETS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(order.value, np.uint8)
         for b in batches:
-            cls, size, ranges, prefix = [], [], [], []
+            cls, size, folded, parity, prefix = [], [], [], [], []
             for s in ngram_sets(_texts(b.column(1)), n):
                 k = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
                 keys = rank[(s & U(BUCKETS - 1)).astype(np.int64)]
                 first = np.argsort(keys, kind="stable")[:k]  # s is sorted, so ties go by hash
                 cls.append(_class_of(s))
                 size.append(len(s))
-                ranges.append(np.bincount((s >> U(59)).astype(np.int64), minlength=RANGES).astype(np.int32) if len(s) else [])
+                odd = (np.bincount((s >> U(53)).astype(np.int64), minlength=PARITY) & 1).astype(np.uint8)
+                parity.append(np.packbits(odd, bitorder="little").view("<i8"))
+                folded.append(np.bitwise_xor.reduce(parity[-1].reshape(-1, len(FOLDED)), axis=0))
                 prefix.append(s[first].astype(np.int64))
             if cls:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(2), b.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int32()),
-                     pa.array(ranges, pa.list_(pa.int32())), pa.array(prefix, pa.list_(pa.int64()))],
-                    names=["key", "doc_id", "cls", "size", "ranges", "prefix"])
+                     *(pa.array(c) for c in np.ascontiguousarray(np.array(folded).T)),
+                     pa.array(parity, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
+                    names=["key", "doc_id", "cls", "size", *FOLDED, "parity", "prefix"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"),
-                       row_key(docs["doc_id"], docs["text"])).mapInArrow(run, SETS)
+                       row_key(docs["doc_id"], docs["text"])).mapInArrow(tidy(run), SETS)
 
 
 def _may_link(num: int, den: int, a: str, b: str) -> Column:
@@ -155,15 +160,21 @@ def _may_link(num: int, den: int, a: str, b: str) -> Column:
     return length & (most * (num + den) >= (x + y) * num)
 
 
-def _suffix_filter(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose counts per hash range differ by no more than a link allows."""
-    side = classes.select("cls", "size", "ranges")
-    a = side.select(*[F.col(c).alias(f"a_{c}" if c != "cls" else "a") for c in side.columns])
-    b = side.select(*[F.col(c).alias(f"b_{c}" if c != "cls" else "b") for c in side.columns])
-    differ = F.aggregate(F.zip_with("a_ranges", "b_ranges", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+def _may_link_still(num: int, den: int, differ: Column) -> Column:
+    """The suffix filter, given how many parity bits of a and b differ."""
     total = F.col("a_size") + F.col("b_size")
-    return (pairs.join(a, "a").join(b, "b")
-            .where((total - differ) * (num + den) >= total * num * 2).select("a", "b"))
+    return (total - differ) * (num + den) >= total * num * 2
+
+
+def _folded_differ() -> Column:
+    return sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in FOLDED), F.lit(0))
+
+
+def _suffix_filter(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose parity bits leave room for a link."""
+    a, b = classes.select("cls", "size", "parity").toDF("a", "a_size", "a_bits"), classes.select("cls", "size", "parity").toDF("b", "b_size", "b_bits")
+    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return pairs.join(a, "a").join(b, "b").where(_may_link_still(num, den, differ)).select("a", "b")
 
 
 def _taking_part(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -201,11 +212,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, num
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("low"), docs["text"].cast("string").alias("text"),
                         F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(BITMAP)).alias("slot")).where("low IS NOT NULL")
-    found = texts.mapInArrow(sets, "low bigint, cls bigint, grams binary").join(members, ["cls", "low"], "left_semi").dropDuplicates(["cls"])
+    found = texts.mapInArrow(tidy(sets), "low bigint, cls bigint, grams binary").join(members, ["cls", "low"], "left_semi").dropDuplicates(["cls"])
     found = written(found.select("cls", "grams"), "jaccard-sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in rows_of(whole, 500)):
             ok = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -214,7 +225,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, num
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
     left, right = found.toDF("a", "x"), found.toDF("b", "y")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(verify), "a bigint, b bigint")
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -227,27 +238,33 @@ def link_components(docs: DataFrame, n: int, num: int, den: int) -> tuple[DataFr
     docs = docs.select("doc_id", "text")
     sets = written(prefixes(docs, n, num, den), "jaccard-sets")
     classes = written(sets.where("size > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(
-        F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("ranges").alias("ranges"),
+        F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("parity").alias("parity"),
+        *[F.first(c).alias(c) for c in FOLDED],
         F.first("prefix").alias("prefix")), "jaccard-classes")
-    grams = classes.select("cls", "size", F.posexplode("prefix").alias("pos", "gram"))
 
-    # first wave: to the class that has the n-gram earliest
+    # prefix n-grams that several classes share, with the class that has each one earliest
+    grams = classes.select("cls", "size", F.posexplode("prefix").alias("pos", "gram"))
     pivots = (grams.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("pos", "cls", "size")).alias("p"))
               .where("k > 1").select("gram", F.col("p.cls").alias("q"), F.col("p.pos").alias("q_pos"), F.col("p.size").alias("q_size")))
-    star = (grams.select("gram", "cls", F.col("pos").alias("c_pos"), F.col("size").alias("c_size")).join(pivots, "gram")
-            .where(F.col("cls") != F.col("q")).where(_may_link(num, den, "c", "q")).select(*_pair("cls", "q")).distinct())
-    star = written(_suffix_filter(star, classes, num, den), "jaccard-star")
+    shared = written(grams.join(pivots, "gram"), "jaccard-grams")
+    release(docs.sparkSession)
+
+    # first wave: every class with its n-grams' pivots
+    star = shared.withColumnsRenamed({"pos": "c_pos", "size": "c_size"}).where("cls <> q").where(_may_link(num, den, "c", "q"))
+    star = written(_suffix_filter(star.select(*_pair("cls", "q")).distinct(), classes, num, den), "jaccard-star")
     links = written(_verified(docs, star, classes, n, num, den), "jaccard-links")
     first = written(components(links.toDF("u", "v")), "jaccard-components")
     release(docs.sparkSession)  # the first wave's shuffle files
 
     # second wave: pairs across components
-    labelled = grams.join(first.toDF("cls", "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    known = classes.select("cls", *FOLDED).join(first.toDF("cls", "comp"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    labelled = shared.select("gram", "cls", "pos", "size").join(known, "cls")
     still = labelled.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("gram")
     some = labelled.join(still, "gram")
-    a = some.select("gram", F.col("cls").alias("a"), F.col("pos").alias("a_pos"), F.col("size").alias("a_size"), F.col("comp").alias("a_comp"))
-    b = some.select("gram", F.col("cls").alias("b"), F.col("pos").alias("b_pos"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"))
-    cross = a.join(b, (a["gram"] == b["gram"]) & (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & _may_link(num, den, "a", "b"))
+    a, b = (some.select(F.col("gram").alias(f"{s}_gram"), F.col("cls").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("pos", "size", "comp", *FOLDED)])
+            for s in ("a", "b"))
+    cross = a.join(b, (F.col("a_gram") == F.col("b_gram")) & (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp"))
+                   & _may_link(num, den, "a", "b") & _may_link_still(num, den, _folded_differ()))
     cross = cross.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")  # those are verified
     cross = written(_suffix_filter(cross, classes, num, den), "jaccard-cross")
     more = written(_verified(docs, cross, classes, n, num, den), "jaccard-more")
