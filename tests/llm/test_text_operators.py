@@ -149,6 +149,16 @@ def test_lines_packed_in_small_runs_link_alike():
     assert one
 
 
+def test_repeated_rows_keep_the_first_of_repeated_lines(spark):
+    twice = "a b c d e f g h\nx\na b c d e f g h"
+    close = "b b c d e f g h\ny\nb b c d e f g k"
+    rows = [(i, t) for i, t in ((1, twice), (2, close), (None, "z z\nz z")) for _ in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (r.text, r.n_same, r.n_near) for r in line_dedup.dedup_lines(df).collect()}
+    want = {i: v for (i, _), v in brute_lines(rows).items()}
+    assert got == want and want[1] == ("a b c d e f g h\nx", 1, 0) and want[None] == ("z z", 1, 0)
+
+
 def test_lines_of_nothing(spark):
     out = line_dedup.dedup_lines(spark.createDataFrame([], "doc_id bigint, text string"))
     assert out.count() == 0

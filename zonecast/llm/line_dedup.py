@@ -141,7 +141,8 @@ def _link_rows(doc: np.ndarray, lines: np.ndarray, later: np.ndarray, earlier: n
 
 def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
     """PACKED rows of some documents (null flag, id, key, text)."""
-    docs.sort(key=lambda d: (not d[0], d[1], d[2]))
+    # repeated rows are one document: a second copy's lines aren't later than the first's
+    docs = sorted({d[:3]: d for d in docs}.values(), key=lambda d: (not d[0], d[1], d[2]))
     doc = np.array([d[:3] for d in docs], DOC)
     split = [d[3].split(b"\n") for d in docs]
     count = np.array([len(x) for x in split])
