@@ -226,6 +226,13 @@ def test_keep_one(spark):
     assert ngram_join.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_leaves_null_ids(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (2, long + " x"), (None, long), (None, long), (None, long + " x"), (3, "other words that link with nothing here")]
+    out = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(str(x) for x in rows if x[0] != 2)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(110)] + [(i, i + 1) for i in range(300, 330)]

@@ -289,7 +289,8 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     stays.  Documents that link with nothing by definition all stay."""
     key, alone, nth = (free_name(docs, x) for x in ("key", "alone", "nth"))
     members, found = link_components(docs, n, num, den)
-    members = members.join(found, "cls", "left")
+    # rows with a null doc_id link with nothing, whatever their text
+    members = members.join(found, "cls", "left").withColumn("label", F.when(F.col("doc_id").isNotNull(), F.col("label")))
     least = (members.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("least"))
              .select(F.col("least.key").alias(key), F.lit(False).alias(alone)))
     keep = members.where("label IS NULL").select(F.col("key").alias(key), F.lit(True).alias(alone)).distinct().union(least)
