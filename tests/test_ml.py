@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from zonecast.operators import ml as ML
 from zonecast.operators import split as SP
+from zonecast.plans import q_ml
 
 
 def test_platt_recovers_a_known_sigmoid(spark):
@@ -44,3 +45,16 @@ def test_weighted_gbt_search_and_importance(spark):
                            2, "gbt")
     assert res.count() == 2 and res.where("mean_f2 > 0.5").count() >= 1
     assert ML.draw_params({"a": ("int", 1, 3)}, 3, 1) == ML.draw_params({"a": ("int", 1, 3)}, 3, 1)
+
+
+def test_promotion_gate_reads_a_later_slice_and_computed_importances(spark, monkeypatch):
+    ev = [("calib", 0.9, 0.9), ("test", 0.9, 0.9), ("oot", 0.5, 0.6)]
+    monkeypatch.setattr(q_ml, "model_eval", lambda *_: spark.createDataFrame(ev, "split string, recall double, auc double"))
+    imp = [("a", None), ("b", None)]
+    monkeypatch.setattr(q_ml, "perm_importance", lambda *_: spark.createDataFrame(imp, "feature string, importance double"))
+    r = q_ml.promotion_gate(spark, "").first()
+    assert r["recall_oot"] == 0.5 and not r["oot_drop_pass"] and not r["importance_pass"] and not r["promote"]
+    days = [(f"2024-01-{d:02d}",) for d in range(1, 31)]
+    monkeypatch.setattr(q_ml, "risk_panel", lambda *_: spark.createDataFrame(days, "date string").withColumn("date", F.to_date("date")))
+    spans = {x.split: (str(x.lo), str(x.hi)) for x in q_ml.model_table(spark, "").groupBy("split").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()}
+    assert spans["calib"] < spans["test"] < spans["oot"]
