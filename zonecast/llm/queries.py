@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
+from . import bpe, chat_format, conversation_repair, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,12 @@ def op4_line_dedup(spark, sf_dir):
 
 
 ORACLE["op4_line_dedup"] = line_dedup.line_sql()
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(rows)
+
+
+ORACLE["op11_conversation_repair"] = conversation_repair.repair_sql()
