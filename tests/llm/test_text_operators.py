@@ -280,3 +280,31 @@ def test_pipeline_stages(spark):
             assert set(after) == {d for d, _, c in found if c == d}
     packed = pipeline.STAGES[-1][1](spark, state, "").collect()
     assert {x.doc_id for x in packed} == {x.doc_id for x in state.collect()}
+
+
+# ------------------------------------------------------------ word hashes
+def thue_morse(n, zero="a", one="b"):
+    return [one if bin(i).count("1") % 2 else zero for i in range(n)]
+
+
+def test_words_and_lines_of_alike_structure_stay_apart(spark):
+    for n in (1 << 10, 1 << 11, 1 << 12):
+        word, other = "".join(thue_morse(n)), "".join(thue_morse(n, "b", "a"))
+        assert len(set(words.word_hashes([word.encode(), other.encode()], lower=True)[0].tolist())) == 2
+    line, turned = " ".join(thue_morse(1024, "foo", "bar")), " ".join(thue_morse(1024, "bar", "foo"))
+    docs = spark.createDataFrame(list(enumerate([word, other, line, turned], 1)), "doc_id bigint, text string")
+    assert [(r.n_same, r.n_near) for r in line_dedup.dedup_lines(docs).collect()] == [(0, 0)] * 4
+    pair = spark.createDataFrame([(1, "one two " + word), (2, "one two " + other)], "doc_id bigint, text string")
+    assert {r.component_id for r in ngram_join.jaccard_components(pair).collect()} == {1, 2}
+    assert ngram_join.keep_one(pair).count() == 2
+
+
+def test_words_hash_alike_wherever_they_stand():
+    r = random.Random(2)
+    texts_ = [" ".join("".join(r.choice("abé漢") for _ in range(r.choice([1, 3, 64, 65, 200]))) for _ in range(r.randint(0, 9))).encode() for _ in range(60)]
+    h, at = words.word_hashes(texts_, lower=True)
+    seen = {}
+    for i, t in enumerate(texts_):
+        for w, x in zip(t.split(), h[at[i]:at[i + 1]].tolist(), strict=True):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen)

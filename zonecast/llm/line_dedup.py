@@ -19,8 +19,9 @@ buckets' tasks link what meets there, and chance meetings fail verification.
 
 Links between different lines are verified on their words; the texts of lines
 that take part are read again, told by a bitmap of fixed size, and the join
-drops its false hits.  Equal lines are told by 128 bits of hash, of which 64
-aren't used to find them.
+drops its false hits.  Equal lines are told by 128 bits of hash: two hashes of
+independent random values per byte and place (see ``words``), one of which
+isn't used to find them.
 
 Defined cases: a null text has no lines and stays null; a null doc_id comes
 first; rows with equal id and text are one document, whose repeated rows are
@@ -39,14 +40,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .util import free_name, release, row_key, tidy, written
-from .words import IS_SPACE, U, mix, pieces, powers, word_hashes
+from .words import GOLDEN, IS_SPACE, MORE_VALUES, U, Words, mix, pieces
 
 MIN_WORDS = 8
 WORDS_TOGETHER = 1_000_000  # whose variants a task holds
 VARIANTS_PER_BUCKET = 1_000_000
 BITMAP = 1 << 23
-Q, Q2 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-Q_INVERSE, Q2_INVERSE = pow(Q, -1, 1 << 64), pow(Q2, -1, 1 << 64)
 PACKED = "bucket int, docs binary, lines binary, wholes binary, variants binary, hashes binary, links binary"
 LINKS = ("later_key bigint, later_line int, earlier_key bigint, earlier_line int, same boolean")
 LINE = np.dtype([("doc", "<u4"), ("line", "<u4")])
@@ -80,24 +79,25 @@ def variants(lines: list[bytes]) -> tuple[np.ndarray, ...]:
     left out."""
     out = []
     for a, b in pieces(lines):
-        h, at = word_hashes(lines[a:b], lower=False)
+        words = Words(lines[a:b])
+        h, at = words.hashes(lower=False), words.first
         start, end = at[:-1], at[1:]
         n = end - start
         has = np.flatnonzero(n > 0)
-        length = len(h) + 1
-        sums, sums2 = np.zeros(length, U), np.zeros(length, U)
-        np.cumsum(h * powers(Q, length)[:-1], out=sums[1:])
-        np.cumsum(mix(h) * powers(Q2, length)[:-1], out=sums2[1:])
-        back = powers(Q_INVERSE, length + 1)
+        place = (np.arange(len(h)) - np.repeat(start, n)).astype(U) * GOLDEN
+        # a line is the sum of its words, each mixed with its place; after the word left out the places are one less
+        sums, moved, sums2 = np.zeros((3, len(h) + 1), U)
+        np.cumsum(mix(h + place), out=sums[1:])
+        np.cumsum(mix(h + (place - GOLDEN)), out=moved[1:])
+        np.cumsum(mix(words.hashes(False, MORE_VALUES) + place), out=sums2[1:])
         s, e = start[has], end[has]
         short = (n[has] < MIN_WORDS).astype(U) * U(0x632BE59BD9B4E019)  # their wholes equal no variant
-        whole = mix((sums[e] - sums[s]) * back[s] + n[has].astype(U) + short)
-        second = mix((sums2[e] - sums2[s]) * powers(Q2_INVERSE, length)[s] + n[has].astype(U))
+        whole = mix(sums[e] - sums[s] + n[has].astype(U) + short)
+        second = mix(sums2[e] - sums2[s] + n[has].astype(U))
         long = np.flatnonzero(n >= MIN_WORDS)
         line = np.repeat(long, n[long])
         word = np.arange(len(line)) - np.repeat(np.cumsum(n[long]) - n[long], n[long]) + start[line]
-        left = (sums[word] - sums[start[line]]) * back[start[line]]
-        right = (sums[end[line]] - sums[word + 1]) * back[start[line] + 1]
+        left, right = sums[word] - sums[start[line]], moved[end[line]] - moved[word + 1]
         key = mix(left + right + (n[line] - 1).astype(U))
         out.append((has + a, whole, second, line + a, key, (word - start[line]).astype(np.uint32)))
     if not out:
@@ -164,14 +164,13 @@ def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
     w_bucket = (whole >> shift).astype(np.int64) if shift is not None else np.zeros(len(whole), np.int64)
     v_bucket = (key >> shift).astype(np.int64) if shift is not None else np.zeros(len(key), np.int64)
     w_order, v_order = np.argsort(w_bucket, kind="stable"), np.argsort(v_bucket, kind="stable")
-    w_cut = np.searchsorted(w_bucket[w_order], np.arange(n_buckets + 1))
-    v_cut = np.searchsorted(v_bucket[v_order], np.arange(n_buckets + 1))
     linked = np.concatenate(links)
-    for k in range(n_buckets):
-        w, v = w_order[w_cut[k]:w_cut[k + 1]], v_order[v_cut[k]:v_cut[k + 1]]
-        own = linked if k == turn % n_buckets else linked[:0]  # links ride along to any one bucket
-        if not len(w) and not len(v) and not len(own):
-            continue
+    # links ride along to any one bucket
+    met = np.unique(np.concatenate([w_bucket, v_bucket, np.full(min(1, len(linked)), turn % n_buckets)]))
+    w_cut, v_cut = ((np.searchsorted(x, met), np.searchsorted(x, met, side="right")) for x in (w_bucket[w_order], v_bucket[v_order]))
+    for i, k in enumerate(met.tolist()):
+        w, v = w_order[w_cut[0][i]:w_cut[1][i]], v_order[v_cut[0][i]:v_cut[1][i]]
+        own = linked if k == turn % n_buckets else linked[:0]
         used, where = np.unique(np.concatenate([w_line[w], v_line[v]]), return_inverse=True)
         used_docs, doc_at = np.unique(lines["doc"][used], return_inverse=True)
         delta = np.diff(doc_at, prepend=0).astype("<u4")

@@ -65,7 +65,8 @@ def ngram_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
     factors = mix(np.arange(1, n + 1).astype(U)) | U(1)
     for a, b in pieces(texts):
         h, at = word_hashes(texts[a:b], lower=True)
-        grams = sum((h[k:len(h) - n + 1 + k] * factors[k] for k in range(n)), np.zeros(max(0, len(h) - n + 1), U))
+        m = max(0, len(h) - n + 1)
+        grams = sum((h[k:k + m] * factors[k] for k in range(n)), np.zeros(m, U))
         grams = mix(grams)
         for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if j - i >= n:
