@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, conversation_repair, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
+from . import bpe, chat_format, conversation_repair, decontamination, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,11 @@ def op11_conversation_repair(spark, sf_dir):
 
 
 ORACLE["op11_conversation_repair"] = conversation_repair.repair_sql()
+
+
+@query
+def op13_decontamination(spark, sf_dir):
+    return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_decontamination"] = decontamination.contamination_sql()
