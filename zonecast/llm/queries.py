@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from . import bpe, chat_format, conversation_repair, decontamination, line_dedup, ngram_join, packing, quality_rules, sharding, token_files, topk_search, warc
+from . import bpe, chat_format, conversation_repair, decontamination, line_dedup, ngram_join, packing, quality_rules, sharding, spelling, token_files, topk_search, warc
 from .util import scratch_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,11 @@ def op13_decontamination(spark, sf_dir):
 
 
 ORACLE["op13_decontamination"] = decontamination.contamination_sql()
+
+
+@query
+def op12_spelling(spark, sf_dir):
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_spelling"] = spelling.spelling_sql(conversation_repair.CRC_SQL, conversation_repair.crc32_sql("key"))
