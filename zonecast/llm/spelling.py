@@ -301,12 +301,15 @@ def _near(table: pa.Table) -> pa.Table:
 def near_words(words: DataFrame) -> DataFrame:
     """word, n_near, near_n, near (its most frequent near word, ties to the
     least) of the ``words`` (word, n; distinct) that have near words."""
-    shared = words.sparkSession.sparkContext.broadcast(top_trees(words))  # bounded by the sample
+    trees = top_trees(words)
+    shared = words.sparkSession.sparkContext.broadcast(trees)  # bounded by the sample
+    # a cell's rows are few and its search is long: tasks by the number of cells, not by bytes
+    n_tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), sum(len(_leaves(t)) for t in trees.values()))
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _visits(shared.value)(batches)
 
-    met = words.select("word", "n").mapInArrow(tidy(visits), VISITS).groupBy("length", "cell").applyInArrow(_near, NEAR)
+    met = words.select("word", "n").mapInArrow(tidy(visits), VISITS).repartition(n_tasks, "length", "cell").groupBy("length", "cell").applyInArrow(_near, NEAR)
     met = met.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("form_n")).alias("m"), "form")).alias("best"))
     return met.select("word", "n_near", (-F.col("best.m")).alias("near_n"), F.col("best.form").alias("near"))
 
