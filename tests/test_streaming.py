@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.streaming import cases as X
+from zonecast.streaming import scoring as SC
 
 SCHEMA = T.StructType([T.StructField("zone", T.StringType()),
                        T.StructField("ts", T.TimestampNTZType()),
@@ -90,8 +91,8 @@ def test_running_weekly_count_carries_state_across_batches(spark):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{d}/in/b{i}")
         time.sleep(1.1)
     s = X.case_stream(spark, f"{d}/in/*", schema, max_files=1)
-    run = X.running_weekly_counts(s, "zone")
-    out = _run(spark, d, run, "append")
+    X.run_available(s.writeStream.foreachBatch(SC.EventSink(f"{d}/run", "zone")), f"{d}/ckpt")
+    out = SC.read_log(spark, f"{d}/run", "events")
     got = {r["event_id"]: r["running_count"] for r in out.collect()}
     # week of 01-07 22:00: 1, 1+2, then 3+1 in the next micro-batch; 01-15 opens a new week
     assert got == {1: 1, 2: 3, 3: 4, 4: 1, 5: 1}

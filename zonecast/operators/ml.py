@@ -25,6 +25,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,10 @@ def _estimator(family: str, label: str, params: Mapping | None):
         # probability vector cannot be normalised; require a minimum weight
         p.setdefault("minWeightFractionPerNode", 0.001)
         return RandomForestClassifier(**common, **p)
+    if family == "linear":
+        # linear probability model in closed form (normal equations)
+        return LinearRegression(featuresCol="_features", labelCol=label, weightCol="_weight",
+                                solver="normal", regParam=0.0, **p)
     raise ValueError(family)
 
 
@@ -88,10 +93,12 @@ def fit_classifier(df: DataFrame, features: Sequence[str], label: str, family: s
 
 def predict_scores(model: PipelineModel, df: DataFrame, features: Sequence[str],
                    name: str = "score") -> DataFrame:
-    """Positive-class probability as a double column."""
+    """Positive-class probability as a double column; a linear model's
+    prediction clipped to [0, 1].  Works on streaming frames alike."""
     out = model.transform(df.fillna(0, subset=list(features)))
-    keep = [c for c in df.columns]
-    return out.select(*keep, vector_to_array("probability")[1].alias(name))
+    score = vector_to_array("probability")[1] if "probability" in out.columns \
+        else F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction")))
+    return out.select(*df.columns, score.alias(name))
 
 
 def calibrate(scored: DataFrame, score: str, label: str) -> DataFrame:

@@ -54,32 +54,37 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
     current row), optionally restarting per ``by`` group; ``<col>_tot``
     carries the group total.
 
-    With ``by`` groups of bounded size use a plain partitioned window; for a
-    global order the rows are range-partitioned on (by, order), summed per
-    partition, and each row gets the totals of all earlier partitions of its
-    group (broadcast, one row per partition x group)."""
+    The rows are range-partitioned on (by, order) and summed per partition, so
+    a hot group is spread over partitions.  Only groups that go on beyond a
+    partition need other partitions' totals: each partition has at most two of
+    them, so the broadcast table has at most two rows per partition, however
+    many groups there are.  Null ``by`` values are a group."""
     n = partitions or _default_parts(df)
     keys = [F.col(b) for b in by]
     ordered = df.repartitionByRange(n, *keys, *order)
     tagged = cut_lineage(ordered.withColumn("_pid", F.spark_partition_id()))
-    w_in = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0)
+    w_all_in = Window.partitionBy("_pid", *by)
+    w_in = w_all_in.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged
     for c in cols:
-        local = local.withColumn(c + "_loc", F.sum(c).over(w_in))
+        local = local.withColumn(c + "_loc", F.sum(c).over(w_in)).withColumn(c + "_own", F.sum(c).over(w_all_in))
     part_tot = tagged.groupBy("_pid", *by).agg(*[F.sum(c).alias(c + "_pt") for c in cols])
-    # one row per partition x group: these windows are bounded by that count
+    # one row per partition x group: a group's window is bounded by the partition count
     w_off = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*by)
-    offs = part_tot.select("_pid", *by,
+    offs = part_tot.select(F.col("_pid").alias("_opid"), *[F.col(x).alias(f"_o_{x}") for x in by],
+                           F.count(F.lit(1)).over(w_all).alias("_parts"),
                            *[F.coalesce(F.sum(c + "_pt").over(w_off), F.lit(0)).alias(c + "_off")
                              for c in cols],
-                           *[F.sum(c + "_pt").over(w_all).alias(c + "_tot") for c in cols])
-    out = local.join(F.broadcast(offs), ["_pid", *by])
+                           *[F.sum(c + "_pt").over(w_all).alias(c + "_tot") for c in cols]).where("_parts > 1")
+    same = F.col("_pid") == F.col("_opid")
+    for x in by:
+        same = same & F.col(x).eqNullSafe(F.col(f"_o_{x}"))
+    out = local.join(F.broadcast(offs), same, "left")
     for c in cols:
-        out = out.withColumn(c + suffix, F.col(c + "_loc") + F.col(c + "_off")) \
-            .drop(c + "_loc", c + "_off")
-    return out.drop("_pid")
+        out = out.withColumn(c + suffix, F.col(c + "_loc") + F.coalesce(c + "_off", F.lit(0))) \
+            .withColumn(c + "_tot", F.coalesce(c + "_tot", c + "_own")).drop(c + "_loc", c + "_off", c + "_own")
+    return out.drop("_pid", "_opid", "_parts", *[f"_o_{x}" for x in by])
 
 
 def ranked(df: DataFrame, score: str, key: str, name: str = "rank") -> DataFrame:

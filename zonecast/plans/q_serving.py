@@ -21,7 +21,8 @@ from .tables import table
 def zone_scores(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     b = c.agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi")).first()
-    score = (F.col("c_acctbal") - F.lit(b["lo"])) / (F.lit(b["hi"]) - F.lit(b["lo"]))
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
+    score = F.try_divide(F.col("c_acctbal") - lo, hi - lo)  # null if all balances are equal
     return c.select("c_custkey", "c_name", "c_nationkey", score.alias("score")) \
         .withColumn("risk_tier", tier("score"))
 
@@ -144,8 +145,7 @@ FROM a""")
 
 def _shadow_src(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    mx = ev.agg(F.max("value")).first()[0]
-    prod = F.col("value") / F.lit(float(mx))
+    prod = F.try_divide("value", F.lit(ev.agg(F.max("value")).first()[0]).cast("double"))
     s = ev.select(F.col("ts").cast("timestamp").alias("scored_at"), "user_id",
                   prod.alias("production_score"), F.sqrt(prod).alias("shadow_score"),
                   F.col("event_type").alias("shadow_model_version"))

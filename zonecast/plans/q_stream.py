@@ -13,8 +13,9 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..streaming import cases as X
+from ..streaming import scoring as SC
 from .oracle import sql
 from .registry import query
 from .tables import table
@@ -71,24 +72,27 @@ sql("stream_running_counts", "SELECT user_id, count(*) AS case_count FROM events
 
 
 def _static_features(spark, sf_dir):
-    """Per zone: min-max scaled mean event value as the vulnerability index."""
+    """Per zone: min-max scaled mean event value as the vulnerability index,
+    written once (micro-batches read the file); and the largest value."""
     ev = table(spark, sf_dir, "events")
-    m = ev.groupBy("user_id").agg(F.avg("value").alias("_m"))
-    b = m.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi")).first()
-    vi = F.round((F.col("_m") - F.lit(b["lo"])) / (F.lit(b["hi"]) - F.lit(b["lo"]) + F.lit(1e-9)), 4)
-    return m.select("user_id", vi.alias("vulnerability_index"))
+    m = cut_lineage(ev.groupBy("user_id").agg(F.avg("value").alias("_m"), F.max("value").alias("_x")))
+    b = m.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi"), F.max("_x").alias("mx")).first()
+    lo, hi, mx = (F.lit(x).cast("double") for x in b)
+    vi = F.round((F.col("_m") - lo) / (hi - lo + F.lit(1e-9)), 4)
+    path = scratch_path(spark, f"static-{uuid.uuid4().hex[:12]}")
+    return SC.pin_gold(m.select("user_id", vi.alias("vulnerability_index")), path), mx
 
 
 @query("stream_alerts")
 def stream_alerts(spark, sf_dir):
     """Per event: stream-static join, score, alert score, strict threshold;
     only triggered alerts are written (X4, X5, J11, P20-P22)."""
-    mx = table(spark, sf_dir, "events").agg(F.max("value")).first()[0]
+    static, mx = _static_features(spark, sf_dir)
     s = _events_stream(spark, sf_dir)
-    s = s.withColumn("score", F.col("value") / F.lit(float(mx))) \
+    s = s.withColumn("score", F.try_divide("value", mx)) \
         .withColumn("case_count", F.coalesce(F.get_json_object("props", "$.k").try_cast("int"),
                                              F.lit(1)))
-    a = X.alert_stream(s, _static_features(spark, sf_dir), "user_id", "score")
+    a = X.alert_stream(s, static, "user_id", "score")
     a = a.select("event_id", "user_id", "case_count", "vulnerability_index", "alert_score",
                  "alert_triggered", "risk_tier", "action")
     return _run(spark, "alerts", a, "append", None, only="alert_triggered")
@@ -117,13 +121,15 @@ def stream_running_alerts(spark, sf_dir):
     """Per event: increment the zone's weekly counter, then score with the
     counter value (X2, X3, X4, J11): alert score from the running weekly
     count, static vulnerability, strict threshold; only alerts are written."""
-    mx = table(spark, sf_dir, "events").agg(F.max("value")).first()[0]
-    s = _events_stream(spark, sf_dir).withColumn("score", F.col("value") / F.lit(float(mx)))
-    run = X.running_weekly_counts(s, "user_id", carry=["score"])
-    a = X.alert_stream(run, _static_features(spark, sf_dir), "user_id", "score", cases="running_count")
-    a = a.select("event_id", "user_id", "running_count", "vulnerability_index", "alert_score",
-                 "alert_triggered", "risk_tier")
-    return _run(spark, "running_alerts", a, "append", None, only="alert_triggered")
+    static, mx = _static_features(spark, sf_dir)
+    root = scratch_path(spark, f"running-{uuid.uuid4().hex[:12]}")
+    sink = SC.EventSink(
+        f"{root}/stream", "user_id",
+        enrich=lambda e: X.alert_stream(e.withColumn("score", F.try_divide("value", mx)), static, "user_id", "score", cases="running_count"),
+        logs={"alerts": lambda e: e.where("alert_triggered")})
+    X.run_available(_events_stream(spark, sf_dir).writeStream.foreachBatch(sink), f"{root}/ckpt")
+    return SC.read_log(spark, f"{root}/stream", "alerts").select(
+        "event_id", "user_id", "running_count", "vulnerability_index", "alert_score", "alert_triggered", "risk_tier")
 
 
 sql("stream_running_alerts", """
@@ -147,9 +153,9 @@ FROM a WHERE alert_score > CAST(0.6 AS DOUBLE)
 def stream_shadow_windows(spark, sf_dir):
     """Production vs shadow scores on the event stream, in sliding 7-day
     windows every day (X7): agreement % and absolute score differences."""
-    mx = table(spark, sf_dir, "events").agg(F.max("value")).first()[0]
+    mx = F.lit(table(spark, sf_dir, "events").agg(F.max("value")).first()[0]).cast("double")
     s = _events_stream(spark, sf_dir)
-    p = F.col("value") / F.lit(float(mx))
+    p = F.try_divide("value", mx)
     sc = s.select(F.col("ts").alias("scored_at"), p.alias("production_score"),
                   F.sqrt(p).alias("shadow_score"))
     out = _run(spark, "shadow_windows", X.shadow_windows(sc), "update", ["window_start"])

@@ -7,8 +7,8 @@
   store.  The weekly reset (Monday 06:00 UTC+8 = Sunday 22:00 UTC) is a
   tumbling 7-day window whose start is shifted by 94 hours from the epoch
   (a Thursday); the watermark bounds the state.
-* ``running_weekly_counts``: per event, the zone's weekly count after the
-  event (``applyInPandasWithState`` with an end-of-week event-time timeout).
+* The per-event counter (the zone's weekly count after the event), stored
+  models in the stream, shadow logs and scores on demand are in ``scoring``.
 * ``alert_stream``: stream-static join of each event with the zone's
   static features, score, alert score, strict threshold, tier and action.
 * ``write_idempotent``: ``foreachBatch`` sink that writes each micro-batch
@@ -70,59 +70,6 @@ def weekly_counts(stream: DataFrame, key: str, ts: str = "ts", count_col: str =
             .select(key, F.col("w.start").alias("week_start"), "case_count"))
 
 
-def running_weekly_counts(stream: DataFrame, key: str, ts: str = "ts", event: str = "event_id",
-                          count_col: str = "case_count", watermark: str = "8 days",
-                          offset: str = WEEK_START_OFFSET, carry: Sequence[str] = ()) -> DataFrame:
-    """Per event: the zone's case count for the current reset week *after*
-    adding this event (X2 + X3: counter increment, then read).
-
-    ``applyInPandasWithState`` keyed by (zone, week): each micro-batch
-    group is ordered by (event time, event id) and cumulated on top of the
-    stored total, which is then saved.  An event-time timeout at the end of
-    the week drops the state once the watermark passes it, so state stays
-    bounded by the open weeks.  A task holds one key's events of one
-    micro-batch (narrow rows), however many Arrow batches they come in; the
-    trigger's size limits bound a micro-batch."""
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    week = F.window(ts, WEEK, WEEK, offset)
-    src = (stream.withWatermark(ts, watermark)
-           .select(F.col(key), week.start.alias("week_start"), week.end.alias("_week_end"),
-                   F.col(ts), F.col(event), F.col(count_col).cast("int").alias(count_col),
-                   *[F.col(c) for c in carry]))
-    types = dict(src.dtypes)
-
-    def step(keys, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        total = state.get[0] if state.exists else 0
-        end_ms = None
-        # Arrow delivers a large group in several batches, in no order: the
-        # order of events holds over all of them
-        whole = [pdf for pdf in batches if len(pdf)]
-        if whole:
-            pdf = pd.concat(whole, ignore_index=True).sort_values([ts, event], kind="mergesort")
-            del whole
-            run = total + pdf[count_col].astype("int64").cumsum()
-            total = int(run.iloc[-1])
-            end_ms = int(pd.Timestamp(pdf["_week_end"].iloc[0]).value // 1_000_000)
-            out = {key: pdf[key], "week_start": pdf["week_start"], ts: pdf[ts],
-                   event: pdf[event], count_col: pdf[count_col], "running_count": run}
-            out.update({c: pdf[c] for c in carry})
-            yield pd.DataFrame(out)
-        state.update((total,))
-        if end_ms is not None:
-            state.setTimeoutTimestamp(end_ms)
-
-    out_schema = (f"{key} {types[key]}, week_start timestamp, {ts} timestamp, {event} {types[event]}, "
-                  f"{count_col} int, running_count long"
-                  + "".join(f", {c} {types[c]}" for c in carry))
-    return src.groupBy(key, "week_start").applyInPandasWithState(
-        step, out_schema, "total long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def shadow_windows(stream: DataFrame, ts: str = "scored_at", production: str = "production_score",
                    shadow: str = "shadow_score", watermark: str = "8 days",
                    length: str = "7 days", slide: str = "1 day") -> DataFrame:
