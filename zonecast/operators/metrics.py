@@ -29,18 +29,20 @@ def _zdiv(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def binary_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5,
+def binary_metrics(df: DataFrame, score: str, label: str, threshold: float | Column = 0.5,
                    by: Sequence[str] = (), beta: float = 2.0, digits: int = 4,
                    single_class_zero: bool = True) -> DataFrame:
     """Confusion counts at ``score >= threshold`` and precision / recall /
-    F1 / F-beta (zero division -> 0), rounded (A10, A11).
+    F1 / F-beta (zero division -> 0), rounded (A10, A11).  ``threshold`` may
+    be a column, the same for all rows of a group (a threshold per model).
 
     ``single_class_zero`` keeps the reference's behaviour when only one
     class occurs among labels and predictions: all four counts are 0."""
-    pred = F.col(score) >= F.lit(threshold)
+    cut = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    pred = F.col(score) >= cut
     y = F.col(label) == 1
     g = df.groupBy(*by) if by else df.groupBy()
-    a = g.agg(F.count_if(pred & y).alias("tp"), F.count_if(pred & ~y).alias("fp"),
+    a = g.agg(F.max(cut).alias("threshold"), F.count_if(pred & y).alias("tp"), F.count_if(pred & ~y).alias("fp"),
               F.count_if(~pred & ~y).alias("tn"), F.count_if(~pred & y).alias("fn"),
               F.count(F.lit(1)).alias("n_rows"), F.count_if(y).alias("n_positive"))
     if single_class_zero:
@@ -55,7 +57,9 @@ def binary_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5
     def fbeta(bb: float) -> Column:
         return _zdiv(F.lit(1.0 + bb) * tp, F.lit(bb) * (tp + fn) + (tp + fp))
 
-    return a.select(*by, F.lit(float(threshold)).alias("threshold"), "n_rows", "n_positive",
+    if not isinstance(threshold, Column):
+        a = a.withColumn("threshold", F.lit(float(threshold)))  # also where there are no rows
+    return a.select(*by, "threshold", "n_rows", "n_positive",
                     "tp", "fp", "tn", "fn",
                     F.round(_zdiv(tp, tp + fp), digits).alias("precision"),
                     F.round(_zdiv(tp, tp + fn), digits).alias("recall"),
@@ -110,6 +114,16 @@ def average_precision(df: DataFrame, score: str, label: str, by: Sequence[str] =
     return cp.where(F.col("P") > 0).groupBy(*by).agg(F.sum(term).alias("avg_precision"))
 
 
+def rank_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """ROC AUC and average precision from one curve (A12, A13): both are null
+    where a group lacks a class they need."""
+    cp = curve_points(df, score, label, by)
+    area = F.sum(F.col("pos") * (F.col("N") - F.col("fp")) + F.lit(0.5) * F.col("pos") * F.col("neg"))
+    gain = F.sum(F.try_divide("pos", "P") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
+    return cp.groupBy(*by, "P", "N").agg(area.alias("_area"), gain.alias("avg_precision")).select(
+        *by, F.try_divide(F.col("_area"), F.col("P").cast("double") * F.col("N")).alias("auc"), "avg_precision")
+
+
 def pr_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall at every distinct score used as threshold."""
     cp = curve_points(df, score, label, by)

@@ -9,19 +9,25 @@ with row counts."""
 
 from __future__ import annotations
 
+import uuid
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
+from ..operators import candidates as CD
 from ..operators import drift as D
-from ..operators import metrics as M
 from ..operators import ml as ML
+from ..operators import model_store as MS
 from ..operators import ordering as O
 from ..operators import split as SP
+from ..session import cut_lineage, scratch_path
 from .queries import risk_panel
 from .registry import query, rnd
 
 FEATURES = ["active_roll2w", "active_roll4w", "value_sum", "value_roll2w_log",
             "value_roll4w_log", "active_cluster_overlap"]
 GBT_PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}
+RF_PARAMS = {"maxIter": 30, "maxDepth": 5}
 SEARCH_SPACE = {"maxIter": ("int", 5, 20), "maxDepth": ("int", 2, 5),
                 "stepSize": ("log", 0.05, 0.3), "subsamplingRate": ("float", 0.6, 1.0),
                 "pos_weight": ("float", 1.0, 10.0)}
@@ -52,7 +58,7 @@ def rf_scores(spark, sf_dir):
     """Second model family: random forest with class weight (M1)."""
     mt = model_table(spark, sf_dir)
     model = ML.fit_classifier(mt.where("split = 'train'"), FEATURES, "label", "rf",
-                              {"maxIter": 30, "maxDepth": 5})
+                              RF_PARAMS)
     return ML.predict_scores(model, mt, FEATURES).select("date", "user_id", "split",
                                                          rnd("score", 4), "label")
 
@@ -68,39 +74,76 @@ def platt(spark, sf_dir):
     return out.select("date", "user_id", rnd("score", 4), rnd("score_cal", 4), "label")
 
 
+class Fitted:
+    """The panel, written once, and the candidates fitted on it: shared by the
+    steps of one query."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def table(self):
+        """The model table; the validation days are halved into calibration
+        and threshold days."""
+        mt = model_table(self.spark, self.sf_dir)
+        path = scratch_path(self.spark, f"model-table-{uuid.uuid4().hex[:12]}")
+        mt.write.parquet(path)
+        t = self.spark.read.schema(mt.schema).parquet(path)
+        first = t.where("split = 'calib'").agg(F.min("date")).first()[0]
+        half = F.when(F.datediff("date", F.lit(first).cast("date")) < 3, "calib").otherwise("thresh")
+        return t.withColumn("half", F.when(F.col("split") == "calib", half))
+
+    @cached_property
+    def models(self):
+        """Two calibrated families (M1, M3)."""
+        train, calib = self.table.where("split = 'train'"), self.table.where("half = 'calib'")
+        return {"gbt": MS.train_model(train, FEATURES, "label", "gbt", "gbt-1", GBT_PARAMS, calib=calib),
+                "rf": MS.train_model(train, FEATURES, "label", "rf", "rf-1", RF_PARAMS, calib=calib)}
+
+    @cached_property
+    def evaluated(self):
+        keep = ["date", "user_id", "split", "half", "label"]
+        long = cut_lineage(CD.candidate_scores(self.table, self.models, keep))
+        return cut_lineage(CD.evaluate_candidates(long, "label", "split", F.col("half") == "thresh", 0.80, "calib"))
+
+    @property
+    def best(self):
+        return self.models[CD.best_model(self.evaluated, "split", "calib").first()["model"]]
+
+
 @query("model_eval")
-def model_eval(spark, sf_dir):
-    """Metrics per split at the threshold picked on the calib slice (recall
-    floor 0.8), plus AUC and average precision (M5, A10-A15)."""
-    mt = model_table(spark, sf_dir)
-    model = ML.fit_classifier(mt.where("split = 'train'"), FEATURES, "label", "gbt", GBT_PARAMS)
-    s = ML.predict_scores(model, mt, FEATURES)
-    curve = M.pr_curve(s.where("split = 'calib'"), "score", "label")
-    t = M.pick_threshold(curve, 0.80).first()
-    thr = float(t["threshold"]) if t is not None and t["threshold"] is not None else 0.5
-    bm = M.binary_metrics(s, "score", "label", thr, ["split"])
-    auc = M.roc_auc(s, "score", "label", ["split"])
-    ap = M.average_precision(s, "score", "label", ["split"])
-    return bm.join(auc, "split", "left").join(ap, "split", "left") \
-        .withColumn("auc", F.round("auc", 4)).withColumn("avg_precision", F.round("avg_precision", 4))
+def model_eval(spark, sf_dir, fitted=None):
+    """Every calibrated candidate on every split, at the threshold picked on
+    the threshold days (recall floor 0.8): counts, metrics, AUC, average
+    precision, and which one is chosen (M5, T7, A10-A15)."""
+    ev = (fitted or Fitted(spark, sf_dir)).evaluated
+    return ev.select("model", "split", rnd("threshold"), "n_rows", "n_positive", "tp", "fp", "tn", "fn", "precision", "recall", "f1", "f_beta",
+                     rnd("auc", 4), rnd("avg_precision", 4), "meets_target", "is_best")
 
 
 @query("promotion_gate")
 def promotion_gate(spark, sf_dir):
-    """Gate on test vs the out-of-time slice after it, with the importances
-    counted that were computed (M6)."""
-    ev = model_eval(spark, sf_dir)
+    """Gate of the chosen model on test vs the out-of-time slice after it,
+    with the importances counted that were computed (M6)."""
+    fitted = Fitted(spark, sf_dir)
+    ev = model_eval(spark, sf_dir, fitted)
+    if "is_best" in ev.columns:
+        ev = ev.where("is_best")
     test = ev.where("split = 'test'").select("recall", "auc")
     oot = ev.where("split = 'oot'").select("recall", "auc")
-    importances = perm_importance(spark, sf_dir).where("importance IS NOT NULL").count()
+    importances = perm_importance(spark, sf_dir, fitted).where("importance IS NOT NULL").count()
     return D.promotion_gate(test, oot, importance_rows=importances)
 
 
 @query("perm_importance")
-def perm_importance(spark, sf_dir):
-    """AUC drop per shuffled feature on the test slice (M7)."""
-    mt = model_table(spark, sf_dir)
-    model = ML.fit_classifier(mt.where("split = 'train'"), FEATURES, "label", "gbt", GBT_PARAMS)
+def perm_importance(spark, sf_dir, fitted=None):
+    """AUC drop per shuffled feature on the test slice, for the chosen
+    model's trees or, alone, the boosted trees (M7)."""
+    if fitted is not None:
+        model, mt = fitted.best.pipeline, fitted.table
+    else:
+        mt = cut_lineage(model_table(spark, sf_dir))
+        model = ML.fit_classifier(mt.where("split = 'train'"), FEATURES, "label", "gbt", GBT_PARAMS)
     return ML.permutation_importance(model, mt.where("split = 'test'"), FEATURES, "label",
                                      ["date", "user_id"])
 

@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import candidates as CD
 from ..operators import model_store as MS
 from ..operators import panel as P
 from ..operators import serving as SV
@@ -26,7 +27,7 @@ from ..streaming import cases as X
 from ..streaming import scoring as SC
 from .oracle import sql
 from .q_stream import _events_stream
-from .registry import query, rnd
+from .registry import R, query, rnd
 from .tables import table
 
 LABEL_DAYS, TRAIN_DAYS, CALIB_DAYS = 14, 16, 22
@@ -38,7 +39,7 @@ def zone_days(spark, sf_dir):
     one follows within 14 days; pinned."""
     zd = P.zone_day(table(spark, sf_dir, "events"), F.to_date("ts"), "user_id", "value", F.col("event_type") == "error")
     w = Window.partitionBy("user_id").orderBy(F.datediff("date", F.lit("1970-01-01"))).rangeBetween(1, LABEL_DAYS)
-    days = zd.select("date", "user_id", F.col("value_sum").alias("day_value"), F.col("n_events").cast("double").alias("day_events"),
+    days = zd.select("date", "user_id", F.round("value_sum", 4).alias("day_value"), F.col("n_events").cast("double").alias("day_events"),
                      F.coalesce(F.max("hit").over(w), F.lit(0)).alias("label"))
     return cut_lineage(days)
 
@@ -139,7 +140,7 @@ def stream_linear_alerts(spark, sf_dir):
 
 
 LINEAR_SQL = f"""
-zd AS (SELECT CAST(ts AS DATE) AS date, user_id, sum(value) AS v, CAST(count(*) AS DOUBLE) AS n,
+zd AS (SELECT CAST(ts AS DATE) AS date, user_id, round(sum(value), 4) AS v, CAST(count(*) AS DOUBLE) AS n,
          max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS hit FROM events WHERE ts IS NOT NULL GROUP BY ALL),
 days AS (SELECT *, coalesce(max(hit) OVER (PARTITION BY user_id ORDER BY date
            RANGE BETWEEN INTERVAL 1 DAY FOLLOWING AND INTERVAL {LABEL_DAYS} DAY FOLLOWING), 0) AS label FROM zd),
@@ -234,3 +235,83 @@ SELECT user_id, round(production_score, 4) AS model_score, round(vulnerability_i
   alert_score > CAST(0.6 AS DOUBLE) AS alert_triggered, {TIER_SQL.format("production_score")} AS risk_tier
 FROM a
 """)
+
+
+# ------------------------------------------------------- candidates, compared
+def linear_candidates(spark, sf_dir):
+    """The two linear models on every zone day: splits by day, the validation
+    days halved into calibration and threshold days; written once."""
+    days = zone_days(spark, sf_dir)
+    d0 = days.agg(F.min("date")).first()[0]
+    off = F.datediff(F.col("date"), F.lit(d0).cast("date"))
+    panel = days.withColumn("split", F.when(off < TRAIN_DAYS, "train").when(off < CALIB_DAYS, "val").when(off < CALIB_DAYS + 4, "test").otherwise("oot")) \
+        .withColumn("picks", (off >= TRAIN_DAYS + 3) & (off < CALIB_DAYS))
+    train = panel.where("split = 'train'")
+    models = {"value": MS.train_model(train, FEATURES[:1], "label", "linear", "value-1", pos_weight=1.0),
+              "events": MS.train_model(train, FEATURES[1:], "label", "linear", "events-1", pos_weight=1.0)}
+    long = cut_lineage(CD.candidate_scores(panel, models, ["date", "user_id", "split", "picks", "label"]))
+    return CD.evaluate_candidates(long, "label", "split", F.col("picks"), 0.80, "val")
+
+
+@query("candidate_eval")
+def candidate_eval(spark, sf_dir):
+    """Every (model, split) of the closed-form candidates at the model's own
+    threshold (M5, A10-A15)."""
+    ev = linear_candidates(spark, sf_dir)
+    return ev.select("model", "split", rnd("threshold"), "n_rows", "n_positive", "tp", "fp", "tn", "fn", "precision", "recall", "f1", "f_beta",
+                     rnd("auc", 4), rnd("avg_precision", 4), "meets_target", "is_best")
+
+
+def _zero_div(a, b):
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0)"
+
+
+CANDIDATE_SQL = f"""
+{LINEAR_SQL},
+o AS (SELECT date_diff('day', (SELECT min(date) FROM days), date) AS off, v, n, label FROM days),
+p AS (SELECT CASE WHEN off < {TRAIN_DAYS} THEN 'train' WHEN off < {CALIB_DAYS} THEN 'val' WHEN off < {CALIB_DAYS + 4} THEN 'test' ELSE 'oot' END AS split,
+        off >= {TRAIN_DAYS + 3} AND off < {CALIB_DAYS} AS picks, v, n, label FROM o),
+l AS (SELECT 'value' AS model, 0 AS rank, split, picks, label, greatest(0, least(1, vb + va * v)) AS score FROM p, fit
+      UNION ALL SELECT 'events', 1, split, picks, label, greatest(0, least(1, nb + na * n)) FROM p, fit),
+pc AS (SELECT model, score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg FROM l WHERE picks GROUP BY ALL),
+pr AS (SELECT model, score AS threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model) AS P FROM pc
+       WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+pt AS (SELECT model, threshold, {_zero_div("tp", "tp + fp")} AS precision, CASE WHEN P = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / P END AS recall FROM pr),
+th AS (SELECT model, bool_or(recall >= 0.8) AS meets_target, coalesce(arg_min(threshold, (-precision, threshold)) FILTER (recall >= 0.8),
+         arg_min(threshold, (abs(recall - 0.8), threshold))) AS threshold FROM pt GROUP BY model),
+c0 AS (SELECT model, rank, split, threshold, meets_target, count(*) AS n_rows, count(*) FILTER (label = 1) AS n_positive,
+         count(*) FILTER (score >= threshold AND label = 1) AS tp0, count(*) FILTER (score >= threshold AND label <> 1) AS fp0,
+         count(*) FILTER (score < threshold AND label <> 1) AS tn0, count(*) FILTER (score < threshold AND label = 1) AS fn0
+       FROM l JOIN th USING (model) GROUP BY ALL),
+c1 AS (SELECT *, NOT ((tp0 + fp0 + fn0) > 0 AND (tn0 + fp0 + fn0) > 0) AS one FROM c0),
+c AS (SELECT model, rank, split, threshold, meets_target, n_rows, n_positive, CASE WHEN one THEN 0 ELSE tp0 END AS tp, CASE WHEN one THEN 0 ELSE fp0 END AS fp,
+        CASE WHEN one THEN 0 ELSE tn0 END AS tn, CASE WHEN one THEN 0 ELSE fn0 END AS fn FROM c1),
+m AS (SELECT *, round({_zero_div("tp", "tp + fp")}, 4) AS precision, round({_zero_div("tp", "tp + fn")}, 4) AS recall,
+        round({_zero_div("2.0 * tp", "1.0 * (tp + fn) + (tp + fp)")}, 4) AS f1, round({_zero_div("5.0 * tp", "4.0 * (tp + fn) + (tp + fp)")}, 4) AS f_beta FROM c),
+sc AS (SELECT model, split, score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg FROM l GROUP BY ALL),
+cp AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model, split) AS P, sum(neg) OVER (PARTITION BY model, split) AS N
+       FROM sc WINDOW w AS (PARTITION BY model, split ORDER BY score DESC)),
+r AS (SELECT model, split, sum(pos * (N - fp) + 0.5 * pos * neg) / nullif(CAST(P AS DOUBLE) * N, 0) AS auc,
+        CASE WHEN P > 0 THEN sum(CAST(pos AS DOUBLE) / P * (CAST(tp AS DOUBLE) / (tp + fp))) END AS avg_precision FROM cp GROUP BY model, split, P, N),
+best AS (SELECT arg_min(model, (-precision, rank)) AS best FROM m WHERE split = 'val')"""
+
+sql("candidate_eval", f"""
+WITH {CANDIDATE_SQL}
+SELECT m.model, m.split, round(threshold, {R}) AS threshold, n_rows, n_positive, tp, fp, tn, fn, precision, recall, f1, f_beta,
+  round(auc, 4) AS auc, round(avg_precision, 4) AS avg_precision, meets_target, m.model = best AS is_best
+FROM m LEFT JOIN r ON r.model = m.model AND r.split = m.split, best
+""")
+
+
+@query("best_model")
+def best_model(spark, sf_dir):
+    """The chosen candidate: highest validation precision at the recall floor,
+    the first on ties (T7)."""
+    ev = CD.best_model(linear_candidates(spark, sf_dir), "split", "val")
+    return ev.select("model", rnd("threshold"), "precision", "recall", "meets_target")
+
+
+sql("best_model", f"""
+WITH {CANDIDATE_SQL}
+SELECT model, round(threshold, {R}) AS threshold, precision, recall, meets_target FROM m, best WHERE split = 'val' AND model = best
+""")

@@ -20,10 +20,10 @@ def query(name: str):
     caller's zone."""
     def deco(fn: Query) -> Query:
         @functools.wraps(fn)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def run(spark: SparkSession, sf_dir: str, *shared) -> DataFrame:
             if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
                 spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            return fn(spark, sf_dir, *shared)
         REGISTRY[name] = run
         return run
     return deco
