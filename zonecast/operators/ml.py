@@ -6,8 +6,8 @@
   on a held-out slice with Platt's smoothed targets (each row twice, label 1
   with weight t and label 0 with weight 1 - t).
 * ``permutation_importance``: drop in AUC when one feature column is
-  shuffled -- the shuffle is a join on a seeded random order, computed with
-  ``ordering.global_index`` (no single-task window).
+  shuffled -- donors are rows shifted along one seeded random order
+  (``ordering.global_index``), all features in one job.
 * ``search_params``: seeded random search; every (trial, fold) is a Spark ML
   fit on the fold's rows; the objective is mean F2 at 0.5 over folds.
 
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
+from ..session import cut_lineage
 from .ordering import global_index
 
 # Fixed: the reference's search space (GBM libraries); Spark parameter names
@@ -130,20 +131,31 @@ def apply_calibration(scored: DataFrame, score: str, ab: DataFrame,
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str],
                            label: str, key: Sequence[str], seed: int = 42) -> DataFrame:
     """AUC drop per feature when that column is shuffled across rows (M7, a
-    model-agnostic stand-in for per-row attributions).  The shuffle pairs
-    row i of a seeded hash order with row i of the key order."""
-    base = M.roc_auc(predict_scores(model, df, features), "score", label).first()["auc"]
-    keyed = global_index(df, [F.col(k) for k in key], "_pos")
-    rows = []
-    for f in features:
-        donor = global_index(df.select(*key, f).withColumn("_h", F.xxhash64(*key, F.lit(seed))),
-                             [F.col("_h")] + [F.col(k) for k in key], "_pos") \
-            .select("_pos", F.col(f).alias("_shuf"))
-        perm = keyed.join(donor, "_pos").withColumn(f, F.col("_shuf")).drop("_shuf", "_pos")
-        auc = M.roc_auc(predict_scores(model, perm, features), "score", label).first()["auc"]
-        rows.append((f, float(base) if base is not None else None,
-                     float(auc) if auc is not None else None))
-    out = df.sparkSession.createDataFrame(rows, "feature string, base_auc double, perm_auc double")
+    model-agnostic companion of the trees' own attributions).
+
+    Rows get one index in a seeded hash order.  Feature j's donor is the row
+    some places further on, another distance for every feature, so each
+    feature's values are permuted.  Rows send their values to the places that
+    need them (one shuffle for all features), every row is scored once as it is
+    and once per feature, and one grouped curve gives all areas."""
+    cols = [f"_x{i}" for i in range(len(features))]
+    rows = df.select(F.xxhash64(*key, F.lit(seed)).alias("_h"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
+                     F.col(label).alias("_label"), *[F.col(f).cast("double").alias(c) for f, c in zip(features, cols)])
+    indexed = global_index(rows, [F.col("_h"), *[F.col(f"_k{i}") for i in range(len(key))]], "_pos")
+    n = max(1, indexed.count())
+    own = F.struct(F.col("_pos").alias("at"), F.lit(-1).alias("j"), F.struct("_label", *cols).alias("row"), F.lit(None).cast("double").alias("value"))
+    given = [F.struct(F.pmod(F.col("_pos") - F.lit((i + 1) * n // (len(cols) + 1)), F.lit(n)).alias("at"), F.lit(i).alias("j"),
+                      F.lit(None).cast(rows.select(F.struct("_label", *cols)).schema[0].dataType).alias("row"), F.col(c).alias("value"))
+             for i, c in enumerate(cols)]
+    met = indexed.select(F.inline(F.array(own, *given))).groupBy("at").agg(
+        F.max("row").alias("row"), *[F.max(F.when(F.col("j") == i, F.col("value"))).alias(f"_d{i}") for i in range(len(cols))])
+    each = met.select("row.*", *[f"_d{i}" for i in range(len(cols))], F.explode(F.lit(list(range(-1, len(cols))))).alias("_j"))
+    tried = each.select("_j", F.col("_label").alias(label),
+                        *[F.when(F.col("_j") == i, F.col(f"_d{i}")).otherwise(F.col(c)).alias(f) for i, (f, c) in enumerate(zip(features, cols))])
+    auc = cut_lineage(M.roc_auc(predict_scores(model, tried, features), "score", label, ["_j"]))  # one row per feature
+    base = auc.where("_j = -1").select("auc").first()
+    names = df.sparkSession.createDataFrame(list(enumerate(features)), "_j int, feature string")
+    out = names.join(auc, "_j", "left").select("feature", F.lit(base and base["auc"]).cast("double").alias("base_auc"), F.col("auc").alias("perm_auc"))
     return out.withColumn("importance", F.col("base_auc") - F.col("perm_auc"))
 
 

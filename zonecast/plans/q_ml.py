@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
+from ..operators import attribution as A
 from ..operators import candidates as CD
 from ..operators import drift as D
 from ..operators import ml as ML
@@ -21,6 +22,7 @@ from ..operators import model_store as MS
 from ..operators import ordering as O
 from ..operators import split as SP
 from ..session import cut_lineage, scratch_path
+from .oracle import sql
 from .queries import risk_panel
 from .registry import query, rnd
 
@@ -148,6 +150,66 @@ def perm_importance(spark, sf_dir, fitted=None):
                                      ["date", "user_id"])
 
 
+def _stored_candidates(fitted):
+    """The candidates saved and loaded, with their node tables."""
+    root = scratch_path(fitted.spark, f"candidates-{uuid.uuid4().hex[:12]}")
+    out = {}
+    for name, model in fitted.models.items():
+        MS.save_model(fitted.spark, model, f"{root}/{name}")
+        loaded = MS.load_model(fitted.spark, f"{root}/{name}")
+        out[name] = loaded, cut_lineage(A.node_table(fitted.spark, f"{root}/{name}", loaded))
+    return out
+
+
+@query("tree_importance")
+def tree_importance(spark, sf_dir):
+    """Mean absolute tree contribution per feature and candidate on the test
+    days, the top eight of each (M7, T4)."""
+    fitted = Fitted(spark, sf_dir)
+    test = fitted.table.where("split = 'test'")
+    parts = [A.mean_abs_attribution(test, m, nodes).withColumn("model", F.lit(name)) for name, (m, nodes) in _stored_candidates(fitted).items()]
+    ranked = [D.ranked_importance(p, "feature", "importance").where(F.col("rank") <= 8) for p in parts]
+    out = ranked[0]
+    for r in ranked[1:]:
+        out = out.unionByName(r)
+    return out.select("model", "feature", rnd("importance", 6), "rank")
+
+
+@query("attribution_parity")
+def attribution_parity(spark, sf_dir):
+    """Per candidate and split: rows, and those on which bias plus the tree
+    contributions equal the fitted model's margin (M7)."""
+    fitted = Fitted(spark, sf_dir)
+    out = None
+    for name, (m, nodes) in _stored_candidates(fitted).items():
+        phi = A.contributions(A.margin(m, fitted.table), m, nodes)
+        total = F.aggregate("phi", F.col("bias"), lambda s, x: s + x)
+        part = phi.groupBy(F.lit(name).alias("model"), "split").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(total - F.col("margin")) < 1e-9).alias("n_equal"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+sql("attribution_parity", """
+WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events WHERE ts IS NOT NULL),
+s AS (SELECT date_diff('day', (SELECT min(date) FROM d), date) AS off FROM d),
+p AS (SELECT CASE WHEN off < 16 THEN 'train' WHEN off < 22 THEN 'calib' WHEN off < 26 THEN 'test' ELSE 'oot' END AS split,
+        (SELECT count(DISTINCT user_id) FROM events) AS zones FROM s)
+SELECT model, split, sum(zones)::BIGINT AS n_rows, sum(zones)::BIGINT AS n_equal FROM p, (VALUES ('gbt'), ('rf')) m(model) GROUP BY ALL
+""")
+
+
+@query("tree_attribution_drift")
+def tree_attribution_drift(spark, sf_dir):
+    """Tree contributions on the test days against the days after them: rank
+    shift and relative change per feature (M8)."""
+    fitted = Fitted(spark, sf_dir)
+    m, nodes = _stored_candidates(fitted)["gbt"]
+    both = A.mean_abs_attribution(fitted.table.where("split IN ('test', 'oot')"), m, nodes, ["split"])
+    base, now = (both.where(F.col("split") == s).select("feature", "importance") for s in ("test", "oot"))
+    return D.attribution_drift(base, now, "feature", "importance")
+
+
 @query("hpt")
 def hpt(spark, sf_dir):
     """Seeded random search over expanding time folds of the train slice,
