@@ -7,6 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from zonecast.operators import gold as GD
 from zonecast.operators import reshape as RS
 from zonecast.sources import readers as RD
 from zonecast.sources import sinks as SK
@@ -136,3 +137,49 @@ def test_json_report_write(spark, tmp):
     SK.write_layer(rep, f"{tmp}/report", fmt="json")
     back = spark.read.json(f"{tmp}/report").first()
     assert back["check"] == "freshness" and back["passed"] is True
+
+
+def test_a_file_of_several_splits_keeps_its_row_order(spark, tmp):
+    lead = [f"meta {i}" for i in range(12)]
+    body = []
+    for k in range(40):
+        body += [f"Area {k} - Total,{k}," + ",".join(["1"] * 19), ""]
+        body += [f"  Place {k}-{j},{j}," + ",".join(["2"] * 19) for j in range(7)]
+    write(f"{tmp}/pop.csv", "\n".join([*lead, *body, "Values are shown,,"]) + "\n")
+    snap = [f"{9 - i % 10},Road {i % 5},1.3,103.8,{i % 7},{i},9,150703,7" for i in range(300)]
+    write(f"{tmp}/s/csv/150703-clusters.csv", "\n".join(snap) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700"), spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rep = RD.read_layout_report(spark, f"{tmp}/pop.csv")
+        assert spark.read.text(f"{tmp}/pop.csv").rdd.getNumPartitions() > 10
+        rows = rep.collect()
+        assert sorted(r["idx"] for r in rows) == list(range(12, 12 + 40 * 8))
+        got = {r["name"]: r["planning_area"] for r in RD.carry_header(rep).collect()}
+        assert got == {f"Place {k}-{j}": f"Area {k}" for k in range(40) for j in range(7)}
+        raw = RD.read_snapshots(spark, [f"{tmp}/s/csv"], positions=True)
+        bronze = RD.clean_snapshot_rows(raw).withColumn("date", F.col("date").cast("string"))
+        kept, _ = GD.silver_clusters(bronze)
+        first = {}
+        for line in snap:  # the first row of the file stays, not the least
+            c = line.split(",")
+            if int(c[0]) > 0:
+                first.setdefault((int(c[4]), c[1].lower()), (int(c[0]), float(c[5])))
+        assert {(int(r["cluster_id"]), r["location"]): (r["cases"], r["recent_cases"]) for r in kept.collect()} == first
+        assert any(v[0] != 1 for v in first.values())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes"), spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_encodings_are_decided_per_file_and_problems_listed(spark, tmp):
+    row = "4,{},1.358,103.845,{},24,83,150703,7\n"
+    write(f"{tmp}/a/1-clusters.csv", row.format("Caf\u00e9 \u2013 \u6f22 \u20ac", 1) + row.format("plain", 2))
+    write(f"{tmp}/a/2-clusters.csv", row.format("Caf\u00e9 \u2013 \u20ac \u0178", 3) + row.format("plain", 4), encoding="cp1252")
+    write(f"{tmp}/a/3-clusters.csv", row.format("x", 5) + "1,2\n" + '4,"a,b",1,2,6,3,4,150703,7\n')
+    write(f"{tmp}/a/4-clusters.csv", "")
+    raw = {r["cluster_id"]: r["location"] for r in RD.read_snapshots(spark, [f"{tmp}/a"]).collect()}
+    assert raw == {"1": "Caf\u00e9 \u2013 \u6f22 \u20ac", "2": "plain", "3": "Caf\u00e9 \u2013 \u20ac \u0178", "4": "plain", "5": "x", None: "2", "6": "a,b"}
+    problems = {(r["source_file"], r["problem"]): r["n_rows"] for r in RD.snapshot_problems(spark, [f"{tmp}/a"]).collect()}
+    assert problems == {("4-clusters.csv", "empty file"): 0, ("3-clusters.csv", "malformed row"): 1}
+    assert len(RD.C1_CHARS) == len(RD.CP1252_CHARS) == 27
+    assert RD.first_matching_glob(spark, [f"{tmp}/none", f"{tmp}/a"], ["*.txt", "*-clusters.csv"]) == "*-clusters.csv"
+    assert RD.first_matching_glob(spark, [f"{tmp}/none"], ["*.csv"]) is None

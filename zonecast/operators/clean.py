@@ -128,9 +128,10 @@ def search(df: DataFrame, tier_col: str, tier: str, name_col: str, text: str,
 
 
 def impute_group_mean(df: DataFrame, group: str, col: str, out: str | None = None) -> DataFrame:
-    """Fill nulls of ``col`` with the mean of its group (D7).  The group
-    means are a partial aggregate joined back (one row per group), so a
-    group holding a third of all rows is not sent to one task."""
-    means = df.groupBy(group).agg(F.avg(col).alias("_gmean"))
-    return df.join(means, group, "left").withColumn(
-        out or col, F.coalesce(F.col(col).cast("double"), F.col("_gmean"))).drop("_gmean")
+    """Fill nulls of ``col`` with the mean of its group (D7); rows without a
+    group are one group.  The group means are a partial aggregate joined back
+    (one row per group), so a group holding a third of all rows is not sent to
+    one task."""
+    means = df.groupBy(F.col(group).alias("_group")).agg(F.avg(col).alias("_gmean"))
+    return df.join(means, F.col(group).eqNullSafe(F.col("_group")), "left").withColumn(
+        out or col, F.coalesce(F.col(col).cast("double"), F.col("_gmean"))).drop("_gmean", "_group")

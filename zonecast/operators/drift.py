@@ -10,7 +10,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import CSI_ALARM, PSI_ALARM, numpy_bin, psi_flag
 
@@ -28,9 +27,6 @@ def _sides(base: DataFrame, cur: DataFrame, col: str, by: Sequence[str]) -> Data
     return b.unionByName(c)
 
 
-MAX_PSI_GROUPS = 100_000
-
-
 def psi_long(both: DataFrame, bins: int = 10, bounds: tuple[float, float] | None = (0.0, 1.0),
              by: Sequence[str] = (), drop_nulls: bool = False, min_rows: int = 0,
              digits: int = 4) -> DataFrame:
@@ -42,57 +38,39 @@ def psi_long(both: DataFrame, bins: int = 10, bounds: tuple[float, float] | None
     1e-4; psi = sum (a - e) * ln(a / e), rounded.  Groups with fewer than
     ``min_rows`` values on a side (or a missing side) are skipped (F10).
 
-    Two passes over the source whatever the number of groups: pass 1 gets
-    (count, min, max) per group x side -- a handful of rows, read back as a
-    parameter table; pass 2 counts values per group x side x bin with
-    map-side partial aggregation.  Everything after that is bins-sized."""
-    spark = both.sparkSession
+    The source is counted per group x side x bin with map-side partial
+    aggregation: one pass for fixed bounds.  Bins over a group's range need the
+    ranges first; they are joined back as data (a single range, without
+    groups, as two scalars).  Then one row per group holds all its bin counts,
+    so any number of groups runs."""
     src = both.where(F.col("x").isNotNull()) if drop_nulls else both
-    stats = src.groupBy(*by, "side").agg(F.count(F.lit(1)).alias("_len"),
-                                         F.min("x").alias("_lo"), F.max("x").alias("_hi")) \
-        .limit(2 * MAX_PSI_GROUPS + 1).collect()
-    if len(stats) > 2 * MAX_PSI_GROUPS:
-        raise ValueError("too many PSI groups")
-    groups: dict[tuple, dict] = {}
-    for r in stats:
-        g = groups.setdefault(tuple(r[b] for b in by), {"len": {}, "lo": [], "hi": []})
-        g["len"][r["side"]] = r["_len"]
-        if r["_lo"] is not None:
-            g["lo"].append(r["_lo"])
-            g["hi"].append(r["_hi"])
-    params = []
-    for key, g in groups.items():
-        if set(g["len"]) != {"e", "a"} or (min_rows and min(g["len"].values()) < min_rows):
-            continue
-        lo, hi = ((min(g["lo"]), max(g["hi"])) if bounds is None and g["lo"]
-                  else (float(bounds[0]), float(bounds[1])) if bounds is not None else (None, None))
-        for side in ("e", "a"):
-            params.append((*key, side, int(g["len"][side]),
-                           None if lo is None else float(lo), None if hi is None else float(hi)))
-    fields = [T.StructField(b, both.schema[b].dataType) for b in by]
-    pschema = T.StructType(fields + [T.StructField("side", T.StringType()),
-                                     T.StructField("_len", T.LongType()),
-                                     T.StructField("_lo", T.DoubleType()),
-                                     T.StructField("_hi", T.DoubleType())])
-    par = spark.createDataFrame(params, pschema)
-    # the parameter table has one row per group x side (bounded above)
-    binned = src.join(F.broadcast(par), [*by, "side"])
-    counts = (binned.withColumn("bin", numpy_bin("x", F.col("_lo"), F.col("_hi"), bins))
-              .where(F.col("bin").isNotNull())
-              .groupBy(*by, "side", "bin").agg(F.count(F.lit(1)).alias("_c")))
-    grid = par.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    pct = grid.join(counts, [*by, "side", "bin"], "left").select(
-        *by, "side", "bin",
-        F.when(F.coalesce(F.col("_c"), F.lit(0)) == 0, F.lit(EMPTY_SHARE))
-        .otherwise(F.col("_c") / F.col("_len")).alias("_p"))
-    wide = pct.groupBy(*by, "bin").agg(
-        F.max(F.when(F.col("side") == "e", F.col("_p"))).alias("_e"),
-        F.max(F.when(F.col("side") == "a", F.col("_p"))).alias("_a"))
-    term = (F.col("_a") - F.col("_e")) * F.log(F.col("_a") / F.col("_e"))
-    g = wide.groupBy(*by) if by else wide.groupBy()
-    out = g.agg(F.round(F.sum(term), digits).alias("psi"))
-    if not by and not params:
-        out = out.where(F.lit(False))
+    lo = hi = None
+    if bounds is not None:
+        lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
+    elif not by:
+        r = src.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        lo, hi = F.lit(r["lo"]).cast("double"), F.lit(r["hi"]).cast("double")
+    else:
+        spans = src.groupBy(*[F.col(b).alias(f"_b_{b}") for b in by]).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+        same = F.lit(True)
+        for b in by:
+            same = same & F.col(b).eqNullSafe(F.col(f"_b_{b}"))
+        src, lo, hi = src.join(spans, same).drop(*[f"_b_{b}" for b in by]), F.col("_lo"), F.col("_hi")
+    counts = src.select(*by, "side", numpy_bin("x", lo, hi, bins).alias("bin")).groupBy(*by, "side", "bin").agg(F.count(F.lit(1)).alias("_c"))
+
+    def total(side: str, k: int | None = None):
+        mine = (F.col("side") == side) & (F.lit(True) if k is None else F.col("bin") == k)
+        return F.coalesce(F.sum(F.when(mine, F.col("_c"))), F.lit(0))
+
+    g = counts.groupBy(*by) if by else counts.groupBy()
+    wide = g.agg(*[total(s).alias(f"_{s}") for s in "ea"], *[total(s, k).alias(f"_{s}{k}") for s in "ea" for k in range(bins)])
+    wide = wide.where((F.least("_e", "_a") > 0) & (F.least("_e", "_a") >= min_rows))
+
+    def share(side: str, k: int):
+        return F.when(F.col(f"_{side}{k}") == 0, F.lit(EMPTY_SHARE)).otherwise(F.col(f"_{side}{k}") / F.col(f"_{side}"))
+
+    terms = [(share("a", k) - share("e", k)) * F.log(share("a", k) / share("e", k)) for k in range(bins)]
+    out = wide.select(*by, F.round(sum(terms[1:], terms[0]), digits).alias("psi"))
     return out.withColumn("flag", psi_flag("psi"))
 
 

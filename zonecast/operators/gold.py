@@ -40,8 +40,11 @@ RAINFALL_CAP = 300.0                  # fixed: rainfall clip (mm)
 
 
 def silver_clusters(bronze: DataFrame, folder: str = RELIABLE_FOLDER,
-                    order: Sequence[str] = ("source_file",)) -> tuple[DataFrame, DataFrame]:
-    """Cleaned cluster rows and the per-rule audit."""
+                    order: Sequence[str] = ("source_file", "source_block", "source_row")) -> tuple[DataFrame, DataFrame]:
+    """Cleaned cluster rows and the per-rule audit (F1-F4, W10, P6, A27).  Of
+    repeated clusters the first row stays, in the order of the files and of
+    the rows in them (``readers.with_row_position``); without positions, the
+    least by the other columns."""
     typed = (bronze.withColumn("date", to_date_or_null("date"))
              .withColumn("latitude", to_number("latitude")).withColumn("longitude", to_number("longitude"))
              .withColumn("cases", to_number("cases")).withColumn("cluster_id", to_number("cluster_id")))

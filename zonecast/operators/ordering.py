@@ -125,10 +125,25 @@ def best_row(df: DataFrame, col: str, tiebreak: str, by: Sequence[str] = ()) ->
     return grouped.select(*by, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def median_by(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    """Exact median per group."""
-    agg = F.median(col).alias(name)
-    return df.groupBy(*by).agg(agg) if by else df.agg(agg)
+def median_by(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median",
+              partitions: int | None = None) -> DataFrame:
+    """Exact median per group (A33), null for a group without values.
+
+    Rank selection: rows are reduced to counts per value (a partial
+    aggregate), the counts are summed in value order over range partitions,
+    and the one or two middle ranks pick their values.  No task holds a
+    group's values, however many distinct ones there are."""
+    x = F.col(col).cast("double")
+    counts = df.select(*by, x.alias("_x")).groupBy(*by, "_x").agg(F.count("_x").alias("_n"))  # 0 for the null value
+    ranks = prefix_sums(counts, [F.col("_x").asc_nulls_first()], ["_n"], by, partitions=partitions)
+    first, last = F.col("_n_cum") - F.col("_n"), F.col("_n_cum")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first < rank) & (rank <= last), F.col("_x")))
+
+    lower, upper = F.floor((F.col("_n_tot") + 1) / 2), F.floor(F.col("_n_tot") / 2) + 1
+    g = ranks.groupBy(*by) if by else ranks.groupBy()
+    return g.agg(((at(lower) + at(upper)) / 2).alias(name))
 
 
 def nearest_point(curve: DataFrame, col: str, x: float, by: Sequence[str] = ()) -> DataFrame:

@@ -154,7 +154,8 @@ def latest_nonnull(df: DataFrame, key: Sequence[str] | str, order: str,
     keys = [key] if isinstance(key, str) else list(key)
     aggs = [F.max(order).alias(order)]
     for c in cols:
-        aggs.append(F.expr(f"max_by(`{c}`, `{order}`) FILTER (WHERE `{c}` IS NOT NULL)")
+        # of several values at the latest ``order`` the greatest
+        aggs.append(F.expr(f"max_by(`{c}`, struct(`{order}`, `{c}`)) FILTER (WHERE `{c}` IS NOT NULL)")
                     .alias(c))
     return df.groupBy(*keys).agg(*aggs)
 

@@ -91,7 +91,8 @@ def shadow_summary(df: DataFrame, ts: str, production: str = "production_score",
 
 
 def latest_scores(features: DataFrame, key: str, date: str, cols: Sequence[str]) -> DataFrame:
-    """Latest non-null value per key for each feature column (A5 for M4)."""
+    """Latest non-null value per key for each feature column, the greatest on
+    ties (A5 for M4)."""
     aggs = [F.max(date).alias(date)] + [
-        F.expr(f"max_by(`{c}`, `{date}`) FILTER (WHERE `{c}` IS NOT NULL)").alias(c) for c in cols]
+        F.expr(f"max_by(`{c}`, struct(`{date}`, `{c}`)) FILTER (WHERE `{c}` IS NOT NULL)").alias(c) for c in cols]
     return features.groupBy(key).agg(*aggs)

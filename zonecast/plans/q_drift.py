@@ -180,17 +180,8 @@ def retrain_decision(spark, sf_dir):
     p = D.psi(base, cur, "score", 10, (0.0, 1.0))
     b, c = _importances(spark, sf_dir)
     summ = D.attribution_summary(D.attribution_drift(b, c, "feature", "importance", "pos"))
-    return D.retrain_decision(p, summ)
-
-
-sql("retrain_decision", psi_sql(_SCORE_LONG, 10, (0.0, 1.0), []) + f""",
-{_ATTR_CTE}, {_ATTR_SUM},
-ok AS (SELECT n_alarmed = 0 AND top_feature_baseline = top_feature_current AS stable FROM summ)
-SELECT psi, {flag_sql('psi')} AS psi_flag, ok.stable AS attribution_stable,
-  psi > {d(0.2)} AND NOT ok.stable AS retrain_triggered,
-  psi > {d(0.2)} AND ok.stable AS psi_warning,
-  false AS data_quality_warning
-FROM psi, ok""")
+    quality = dq_report(spark, sf_dir).where("check = 'overall'").select(F.col("passed").alias("all_pass"))
+    return D.retrain_decision(p, summ, quality)
 
 
 # ----------------------------------------------------------------- quality
@@ -212,8 +203,8 @@ def dq_report(spark, sf_dir):
     return out.select("check", rnd("metric"), "threshold", "passed")
 
 
-sql("dq_report", f"""
-WITH e AS (SELECT CAST(ts AS DATE) AS date, user_id, value, props, event_type,
+_DQ_CTE = f"""
+e AS (SELECT CAST(ts AS DATE) AS date, user_id, value, props, event_type,
                   CAST(event_type = 'error' AS INTEGER) AS is_error FROM events),
 lt AS (SELECT * FROM e WHERE date = (SELECT max(date) FROM e)),
 exp AS (SELECT count(DISTINCT user_id) AS n FROM e),
@@ -226,7 +217,22 @@ rows AS (
   UNION ALL SELECT 'coverage', CAST(count(DISTINCT user_id) AS DOUBLE), (SELECT n FROM exp) * {d(0.9)},
          count(DISTINCT user_id) >= (SELECT n FROM exp) * {d(0.9)} FROM lt
   UNION ALL SELECT 'activity:value', avg(value), {d(0.5)}, coalesce(avg(value) >= {d(0.5)}, false) FROM lt
-  UNION ALL SELECT 'activity:is_error', avg(CAST(is_error AS DOUBLE)), {d(0.01)}, coalesce(avg(CAST(is_error AS DOUBLE)) >= {d(0.01)}, false) FROM lt)
+  UNION ALL SELECT 'activity:is_error', avg(CAST(is_error AS DOUBLE)), {d(0.01)}, coalesce(avg(CAST(is_error AS DOUBLE)) >= {d(0.01)}, false) FROM lt)"""
+
+# the decision's quality input is the report's overall row
+sql("retrain_decision", psi_sql(_SCORE_LONG, 10, (0.0, 1.0), []) + f""",
+{_ATTR_CTE}, {_ATTR_SUM},
+ok AS (SELECT n_alarmed = 0 AND top_feature_baseline = top_feature_current AS stable FROM summ),
+{_DQ_CTE},
+dq AS (SELECT bool_and(passed) AS passed FROM rows)
+SELECT psi, {flag_sql('psi')} AS psi_flag, ok.stable AS attribution_stable,
+  psi > {d(0.2)} AND NOT ok.stable AS retrain_triggered,
+  psi > {d(0.2)} AND ok.stable AS psi_warning,
+  NOT dq.passed AS data_quality_warning
+FROM psi, ok, dq""")
+
+sql("dq_report", f"""
+WITH {_DQ_CTE}
 SELECT "check", round(metric, {R}) AS metric, threshold, passed FROM rows
 UNION ALL SELECT 'overall', NULL, NULL, bool_and(passed) FROM rows
 """)

@@ -63,7 +63,7 @@ def conjunctive_alerts(spark, sf_dir):
     a = alert_scores(spark, sf_dir)
     z = table(spark, sf_dir, "customer").agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi")).first()
     sc = table(spark, sf_dir, "customer").select(
-        "c_custkey", ((F.col("c_acctbal") - F.lit(z["lo"])) / (F.lit(z["hi"]) - F.lit(z["lo"]))).alias("score"))
+        "c_custkey", F.try_divide(F.col("c_acctbal") - F.lit(z["lo"]).cast("double"), (F.lit(z["hi"]) - F.lit(z["lo"])).cast("double")).alias("score"))
     j = a.join(sc, "c_custkey")
     return j.where(conjunctive_alert("score", "vulnerability_index", "case_count", 0.5, 0.4, 10)) \
         .select("c_custkey", "case_count", "vulnerability_index")

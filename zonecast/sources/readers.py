@@ -1,7 +1,12 @@
 """File sources (S1-S15): every reader declares its schema (all text, then
 ``try_cast``), never infers it, and carries file provenance from the
-``_metadata`` column.  Readers return lazy DataFrames; nothing is read on
-the driver."""
+``_metadata`` column.  Readers return lazy DataFrames; no rows and no file
+lists come to the driver.
+
+Rows have a position without reading files whole: a splittable scan tells the
+file and the start of the split, and rows of a split keep their order, so
+(file, split, order in split) orders a file's rows over all its splits, and
+counts per split, summed, number them."""
 
 from __future__ import annotations
 
@@ -12,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import null_tokens, parse_yymmdd, sentinel_to_null, to_number
+from ..operators.ordering import prefix_sums
 
 # Positional names of the headerless cluster snapshot files,
 # and the names given to the same positions by the older ingester.
@@ -58,66 +64,86 @@ def with_provenance(df: DataFrame) -> DataFrame:
                           F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)))
 
 
-def utf8_files(spark: SparkSession, paths: Sequence[str], glob: str) -> tuple[list[str], list[str]]:
-    """Split files into valid UTF-8 and the rest (S2).  The check runs on
-    the executors (``binaryFile`` + ``is_valid_utf8``); only file paths
-    return to the driver."""
-    b = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(list(paths))
-    rows = b.select("path", F.expr("is_valid_utf8(CAST(content AS STRING))").alias("ok")) \
-        .where(F.col("length") > 0).collect()
-    good = sorted(r["path"] for r in rows if r["ok"])
-    bad = sorted(r["path"] for r in rows if not r["ok"])
-    return good, bad
+def with_row_position(df: DataFrame) -> DataFrame:
+    """``source_block`` and ``source_row``: with ``source_file`` they order the
+    rows of a scan as the files have them, over all splits of a file (W10)."""
+    return (df.withColumn("source_block", F.col("_metadata.file_block_start"))
+              .withColumn("source_row", F.monotonically_increasing_id()))
+
+
+# windows-1252 gives these meanings to the bytes that ISO-8859-1 leaves to control characters
+_C1 = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+C1_CHARS, CP1252_CHARS = "".join(map(chr, _C1)), bytes(_C1).decode("cp1252")
+
+
+def decoded(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
+    """Text columns read as single bytes (ISO-8859-1) in their files' encoding
+    (S2): a file whose bytes are all valid UTF-8 is UTF-8, any other is
+    windows-1252.  The verdict is one aggregate per file, joined back."""
+    def raw(c):
+        return F.encode(F.col(c), "ISO-8859-1").cast("string")
+
+    valid = F.lit(True)
+    for c in columns:
+        valid = valid & F.coalesce(F.is_valid_utf8(raw(c)), F.lit(True))
+    files = df.groupBy(F.col(file).alias("_file")).agg(F.bool_and(valid).alias("_utf8"))
+    j = df.join(files, F.col(file) == F.col("_file"))
+    for c in columns:
+        j = j.withColumn(c, F.when(F.col("_utf8"), raw(c)).otherwise(F.translate(F.col(c), C1_CHARS, CP1252_CHARS)))
+    return j.drop("_file", "_utf8")
 
 
 def first_matching_glob(spark: SparkSession, paths: Sequence[str], globs: Sequence[str]) -> str | None:
     """The first glob that matches at least one file under ``paths`` (S1b:
-    ``*-clusters.csv`` first, else ``*.csv``).  Only file listings are read
-    (``binaryFile`` with the content column pruned)."""
-    for g in globs:
-        try:
-            hit = spark.read.format("binaryFile").option("pathGlobFilter", g).load(list(paths)) \
-                .select("path").limit(1).count()
-        except Exception:  # noqa: BLE001 - no file at all under a path
-            hit = 0
-        if hit:
-            return g
-    return None
+    ``*-clusters.csv`` first, else ``*.csv``).  Only listings are read; a
+    folder that isn't there has no files, any other failure is raised."""
+    return next((g for g in globs if any(len(_listed(spark, p, g)) for p in paths)), None)
+
+
+def _listed(spark: SparkSession, path: str, glob: str):
+    """Hadoop's listing of the files in a folder that match ``glob``."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{glob}")
+    return pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+
+
+def _snapshot_scan(spark: SparkSession, paths: Sequence[str], schema: T.StructType, glob: str, encoding: str) -> DataFrame:
+    return (spark.read.schema(schema).option("header", False).option("encoding", encoding)
+            .option("mode", "PERMISSIVE").option("pathGlobFilter", glob).csv(list(paths)))
 
 
 def read_snapshots(spark: SparkSession, paths: Sequence[str],
                    columns: Sequence[str] = SNAPSHOT_COLUMNS, glob: str = SNAPSHOT_GLOB,
-                   encoding: str | None = None, tokens: Sequence[str] = ("", " ")) -> DataFrame:
+                   encoding: str | None = None, tokens: Sequence[str] = ("", " "),
+                   positions: bool = False) -> DataFrame:
     """Headerless snapshot files from one or more folders as all-string
     columns with provenance (S1, S1b, S3, U1).  Empty files contribute no
-    rows.  ``encoding=None`` reads valid UTF-8 files as UTF-8 and the rest
-    as ISO-8859-1 (S2; Spark rejects windows-1252)."""
-    schema = all_string(columns)
-
-    def rd(files_or_dirs, enc, use_glob=True):
-        # malformed rows become nulls (PERMISSIVE); unreadable files are skipped
-        r = spark.read.schema(schema).option("header", False).option("encoding", enc) \
-            .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", "true")
-        if use_glob:
-            r = r.option("pathGlobFilter", glob)
-        return with_provenance(r.csv(list(files_or_dirs)))
-
-    if encoding is not None:
-        out = rd(paths, encoding)
-    else:
-        good, bad = utf8_files(spark, paths, glob)
-        parts = []
-        if good:
-            parts.append(rd(good, "UTF-8", False))
-        if bad:
-            parts.append(rd(bad, "ISO-8859-1", False))
-        if not parts:
-            return spark.createDataFrame([], schema.add("source_file", "string")
-                                         .add("source_folder", "string"))
-        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows, cells that a row lacks are null (``snapshot_problems`` lists both);
+    a file that can't be read fails the read.  ``encoding=None`` decides per
+    file between UTF-8 and windows-1252 (S2).  ``positions`` keeps the rows'
+    places in their files."""
+    df = with_provenance(_snapshot_scan(spark, paths, all_string(columns), glob, encoding or "ISO-8859-1"))
+    if positions:
+        df = with_row_position(df)
+    if encoding is None:
+        df = decoded(df.withColumn("_path", F.col("_metadata.file_path")), columns, "_path").drop("_path")
     for c in columns:
-        out = out.withColumn(c, null_tokens(c, tokens))
-    return out
+        df = df.withColumn(c, null_tokens(c, tokens))
+    return df
+
+
+def snapshot_problems(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = SNAPSHOT_COLUMNS,
+                      glob: str = SNAPSHOT_GLOB) -> DataFrame:
+    """source_file, problem, n_rows: files without bytes, and rows of more or
+    fewer cells than ``columns``, which the reader keeps with nulls (S1)."""
+    # scans leave files without bytes out; the folder's listing, which a scan's plan needs as well, has them
+    none = [(f.getPath().getName(), "empty file", 0) for p in paths for f in _listed(spark, p, glob) if f.getLen() == 0]
+    empty = spark.createDataFrame(none, "source_file string, problem string, n_rows bigint")
+    # a quoted or plain cell after each delimiter, counted on the text of the lines
+    lines = spark.read.option("pathGlobFilter", glob).text(list(paths)) \
+        .select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("line")).where(F.trim("line") != "")
+    cells = F.size(F.split(F.regexp_replace("line", r'"[^"]*"', ""), ",", -1))
+    odd = lines.where(cells != len(columns)).groupBy("source_file").agg(F.lit("malformed row").alias("problem"), F.count(F.lit(1)).alias("n_rows"))
+    return empty.unionByName(odd.select("source_file", "problem", "n_rows"))
 
 
 def clean_snapshot_rows(df: DataFrame, sentinel_col: str = "recent_cases") -> DataFrame:
@@ -135,7 +161,7 @@ def clean_snapshot_rows(df: DataFrame, sentinel_col: str = "recent_cases") -> Da
         out = out.withColumn(sentinel_col, sentinel_to_null(sentinel_col, -1.0))
     out = out.withColumn("location", F.lower(F.trim("location")))
     order = ["date", "month_num", "cluster_id", "recent_cases", "total_cases", "cases",
-             "location", "latitude", "longitude", "source_file", "source_folder"]
+             "location", "latitude", "longitude", "source_file", "source_folder", "source_block", "source_row"]
     return out.select(*[c for c in order if c in out.columns])
 
 
@@ -159,15 +185,18 @@ def clean_header(df: DataFrame, rename: Mapping[str, str] | None = None) -> Data
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, idx, line) with idx counting non-blank lines per file.  Each
-    file is one small document (a report or a station-month), read whole by
-    one task; files are spread over tasks."""
-    t = spark.read.text(path if isinstance(path, str) else list(path), wholetext=True) \
-        .select(F.col("_metadata.file_path").alias("file"), "value")
-    ln = t.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")) \
-        .where(F.trim("line") != "")
-    w = Window.partitionBy("file").orderBy("pos")
-    return ln.withColumn("idx", F.row_number().over(w) - 1).drop("pos")
+    """(file, idx, line) with idx counting non-blank lines per file.  Files are
+    split over tasks like any text: lines are numbered within their split, and
+    the splits' counts, summed along the file, give each split its offset."""
+    t = spark.read.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line")).where(F.trim("line") != "")
+    # a window's partition is one split of a file, or one row per split
+    numbered = t.withColumn("_n", F.row_number().over(Window.partitionBy("file", "_block").orderBy("_row")))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = t.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_c")) \
+        .select("file", "_block", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    return numbered.join(offsets, ["file", "_block"]).select("file", "line", (F.col("_off") + F.col("_n") - 1).cast("int").alias("idx"))
 
 
 def read_layout_report(spark: SparkSession, path: str | Sequence[str], skip: int = REPORT_SKIP,
@@ -197,11 +226,14 @@ def carry_header(df: DataFrame, name: str = "name", order: str = "idx", by: Sequ
     start with 'Total'; its name (suffix removed) labels the rows below;
     header rows are dropped."""
     n = F.col(name)
-    is_hdr = F.trim(n).endswith("- Total") | (~n.startswith("  ") & ~F.trim(n).startswith("Total"))
-    label = F.when(is_hdr, F.trim(F.replace(F.trim(n), F.lit(suffix), F.lit(""))))
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("_hdr", is_hdr).withColumn(group, F.last(label, ignorenulls=True).over(w))
-    return out.where(~F.col("_hdr")).drop("_hdr").withColumn(name, F.trim(n))
+    is_hdr = F.coalesce(F.trim(n).endswith("- Total") | (~n.startswith("  ") & ~F.trim(n).startswith("Total")), F.lit(False))
+    label = F.trim(F.replace(F.trim(n), F.lit(suffix), F.lit("")))
+    # rows under the k-th header have running header count k, over all splits of a file
+    cum = prefix_sums(df.withColumn("_hdr", is_hdr).withColumn("_h", is_hdr.cast("int")), [F.col(order)], ["_h"], by)
+    cum = cum.drop("_h", "_h_tot")
+    heads = cum.where("_hdr").select(*by, "_h_cum", label.alias(group))
+    out = cum.where(~F.col("_hdr")).join(heads, [*by, "_h_cum"], "left")
+    return out.select(*df.columns, group).withColumn(name, F.trim(n))
 
 
 def read_station_csv(spark: SparkSession, path: str | Sequence[str],
@@ -211,7 +243,7 @@ def read_station_csv(spark: SparkSession, path: str | Sequence[str],
     """Station-month CSVs whose headers differ file by file (S15): each
     file's own header maps names to positions; only mapped columns that
     exist are kept (others null); NA markers -> null; numbers coerced;
-    station id from the file name; rows without year/month/day dropped.
+    station id from the file's path; rows without year/month/day dropped.
     Unless ``max_cols`` is given, the widest header sizes the lines."""
     ln = _lines(spark, path)
     if max_cols is None:
@@ -229,7 +261,7 @@ def read_station_csv(spark: SparkSession, path: str | Sequence[str],
         raw = F.when(pos > 0, F.element_at(F.col("_v"), pos.cast("int")))
         raw = F.when(raw.isin(toks), F.lit(None)).otherwise(raw)
         cols.append(to_number(raw, "double").alias(dst))
-    sid = F.regexp_extract(F.element_at(F.split("file", "/"), -1), station_pattern, 1)
+    sid = F.regexp_extract("file", station_pattern, 1)
     out = body.select(sid.alias("station_id"), *cols)
     out = out.where(F.col("year").isNotNull() & F.col("month").isNotNull() & F.col("day").isNotNull())
     return out.withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int")) \

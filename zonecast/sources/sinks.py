@@ -9,6 +9,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.clean import dedup_first
 from ..session import cut_lineage
 
 
@@ -39,11 +40,18 @@ def append_log(df: DataFrame, path: str, ts_col: str = "logged_at",
 
 def absent_rows(new: DataFrame, existing: DataFrame | None, key: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is neither repeated earlier in ``new`` nor
-    present in ``existing`` (INSERT ... ON CONFLICT DO NOTHING, K7, J9)."""
-    first = new.dropDuplicates(list(key))
+    present in ``existing`` (INSERT ... ON CONFLICT DO NOTHING, K7, J9).  Of a
+    key's rows in ``new`` the first in the order of its other columns (nulls
+    first) stays, the same one in every run; null keys are one key."""
+    others = [c for c in new.columns if c not in key]
+    first = dedup_first(new, list(key), others) if others else new.distinct()
     if existing is None:
         return first
-    return first.join(existing.select(*key).distinct(), list(key), "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return first.join(known, same, "left_anti")
 
 
 def insert_absent(new: DataFrame, path: str, key: Sequence[str], spark=None) -> int:
