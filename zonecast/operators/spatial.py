@@ -6,9 +6,10 @@ exploded into parts first.  All geometry work is column expressions over
 arrays (``aggregate``/``transform`` higher-order functions), which stay in
 the JVM.
 
-Point-in-polygon at scale (J5) is a grid-blocked join: every polygon emits
-the grid cells its bounding box covers, every point emits its one cell, the
-two sides equi-join on cell, and only candidate pairs run the ray-cast.
+Point-in-polygon at scale (J5) is a quadtree-blocked join: every polygon emits
+a few cells in sizes of its own, every point its cell per size in use, the two
+sides equi-join on cell, and only pairs in cells that an edge meets run the
+ray-cast.
 Distance counts (J14) block points into cells of the radius and join each
 centre to its 3 x 3 neighbour cells.  Neither side is compared all-to-all.
 """
@@ -21,6 +22,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
 # Fixed values of the SVY21 projection (EPSG:3414): WGS84 ellipsoid,
 # transverse Mercator with these origin, scale and false offsets.
@@ -35,10 +37,6 @@ SVY21 = {
 }
 
 
-# Polygon-cell rows carry their geometry, so the broadcast bound is set in
-# rows well below the generic dimension limit.
-
-
 # ------------------------------------------------------------ predicates
 def _ring_edges_expr(ring: Column, px: Column, py: Column) -> Column:
     """Number of ring edges crossed by a ray from (px, py) towards +x, using
@@ -189,40 +187,85 @@ def _bbox(poly: Column):
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
 
 
-def polygon_cells(polys: DataFrame, geom: str, cell: float) -> DataFrame:
-    """Explode each polygon into the grid cells its bounding box covers."""
-    x0, y0, x1, y1 = _bbox(F.col(geom))
-    c = F.lit(float(cell))
-    return (polys.withColumn("_cx", F.explode(F.sequence(F.floor(x0 / c), F.floor(x1 / c))))
-                 .withColumn("_cy", F.explode(F.sequence(F.floor(y0 / c), F.floor(y1 / c)))))
+COVER_DEPTH = 3   # a polygon's edge cells are an eighth to a quarter of its box
+
+
+def _crosses(poly: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """True when an edge of any ring meets the closed rectangle: their boxes
+    overlap and the rectangle's corners aren't all on one side of the edge."""
+    def edge(ring):
+        def one(i):
+            ax, ay, bx, by = ring[i][0], ring[i][1], ring[i + 1][0], ring[i + 1][1]
+            near = ((F.least(ax, bx) <= x1) & (F.greatest(ax, bx) >= x0) & (F.least(ay, by) <= y1) & (F.greatest(ay, by) >= y0))
+            sides = [F.signum((bx - ax) * (y - ay) - (by - ay) * (x - ax)) for x in (x0, x1) for y in (y0, y1)]
+            return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+        return F.exists(F.sequence(F.lit(0), F.size(ring) - 2), one)
+    return F.exists(poly, edge)
 
 
 def auto_cell(polygons: DataFrame, geom: str = "geometry") -> float:
-    """Grid cell size for blocking: the median bounding-box side of the
-    polygons (one approximate-percentile aggregate), so a typical polygon
-    covers a few cells and a point meets only a few candidate polygons."""
+    """The median bounding-box side of the polygons (one approximate-percentile
+    aggregate): a finest cell below which splitting gains little."""
     x0, y0, x1, y1 = _bbox(F.col(geom))
     side = F.greatest(x1 - x0, y1 - y0)
     v = polygons.select(F.percentile_approx(side, 0.5).alias("s")).first()["s"]
     return float(v) if v else 1.0
 
 
+def polygon_cover(polys: DataFrame, geom: str, depth: int = COVER_DEPTH, cell: float | None = None) -> DataFrame:
+    """Each polygon's quadtree cover: its columns and cells (_lv, _cx, _cy) of
+    side 2^_lv.  It starts with the up to four cells as large as its box;
+    cells that an edge meets are split ``depth`` times, cells without an edge
+    are ``_inner`` or dropped.  The number of cells depends on the polygon's
+    shape, not on its size.  Cells of side ``cell`` or less aren't split."""
+    x0, y0, x1, y1 = _bbox(F.col(geom))
+    side = F.greatest(x1 - x0, y1 - y0)
+    lv = F.when(side > 0, F.ceil(F.log2(side))).otherwise(F.lit(0)).cast("int")
+
+    def at(v, level):
+        return F.floor(v / F.pow(F.lit(2.0), level))
+
+    def walk(df):  # cells -> inner ones, edge ones
+        w = F.pow(F.lit(2.0), F.col("_lv"))
+        cx, cy = F.col("_cx") * w, F.col("_cy") * w
+        seen = df.withColumn("_edge", _crosses(F.col(geom), cx, cy, cx + w, cy + w))
+        inside = ~F.col("_edge") & contains(F.col(geom), cx + w / 2, cy + w / 2)
+        return seen.where(F.col("_edge") | inside)
+
+    cells = polys.where(x0.isNotNull()).withColumn("_lv", lv)
+    cells = cells.withColumn("_cx", F.explode(F.sequence(at(x0, F.col("_lv")), at(x1, F.col("_lv"))))) \
+        .withColumn("_cy", F.explode(F.sequence(at(y0, F.col("_lv")), at(y1, F.col("_lv")))))
+    cells = walk(cells)
+    splits = F.pow(F.lit(2.0), F.col("_lv")) > F.lit(float(cell)) if cell else F.lit(True)
+    for _ in range(depth):
+        # an edge cell's four quarters; an inner cell stays
+        quarters = F.when(F.col("_edge") & splits, F.array(*[F.struct((F.col("_lv") - 1).alias("lv"), (F.col("_cx") * 2 + i).alias("cx"), (F.col("_cy") * 2 + j).alias("cy"))
+                                                    for i in (0, 1) for j in (0, 1)])) \
+            .otherwise(F.array(F.struct(F.col("_lv").alias("lv"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy"))))
+        cells = cells.withColumn("_q", F.explode(quarters))
+        cells = walk(cells.withColumn("_lv", F.col("_q.lv")).withColumn("_cx", F.col("_q.cx")).withColumn("_cy", F.col("_q.cy")).drop("_q", "_edge"))
+    return cells.withColumn("_inner", ~F.col("_edge")).drop("_edge")
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str,
-                       geom: str = "geometry", cell: float | None = None) -> DataFrame:
+                       geom: str = "geometry", cell: float | None = None, depth: int = COVER_DEPTH) -> DataFrame:
     """Inner spatial join: (point row, polygon row) pairs with the point
-    strictly inside the polygon (J5, G1, G6).  Grid-blocked equi-join on the
-    cell, then the exact predicate on candidates only.  ``cell`` defaults to
-    the median polygon bounding-box side (``auto_cell``)."""
-    if cell is None:
-        cell = auto_cell(polygons, geom)
-    c = F.lit(float(cell))
-    pts = points.withColumn("_cx", F.floor(F.col(x) / c)).withColumn("_cy", F.floor(F.col(y) / c))
-    # the polygon side (zones x covered cells) is small: counted, then
-    # broadcast under the limit, so a hot cell holding many points never
-    # has to be shuffled into one task
-    cells = polygon_cells(polygons, geom, cell)
-    cand = pts.join(cells, ["_cx", "_cy"])
-    return cand.where(contains(F.col(geom), F.col(x), F.col(y))).drop("_cx", "_cy")
+    strictly inside the polygon (J5, G1, G6).
+
+    Polygons are covered by quadtree cells (``polygon_cover``), each at levels
+    of its own size.  A point looks up its cell at every level in use; in an
+    inner cell it is inside without a test, in an edge cell the exact predicate
+    decides.  Cells carry the polygon's number only: geometry joins after the
+    cells have met.  ``cell`` and ``depth`` change the plan, never the result."""
+    numbered = cut_lineage(polygons.where(F.col(geom).isNotNull()).withColumn("_pid", F.monotonically_increasing_id()))
+    cells = cut_lineage(polygon_cover(numbered.select("_pid", geom), geom, depth, cell).select("_pid", "_lv", "_cx", "_cy", "_inner"))
+    levels = sorted(r["_lv"] for r in cells.select("_lv").distinct().collect())  # powers of two: a few dozen at most
+    at = [F.struct(F.lit(v).alias("_lv"), F.floor(F.col(x) / 2.0 ** v).alias("_cx"), F.floor(F.col(y) / 2.0 ** v).alias("_cy")) for v in levels]
+    none = F.array().cast("array<struct<_lv:int,_cx:bigint,_cy:bigint>>")
+    probes = points.withColumn("_p", F.explode(F.array(*at) if at else none))
+    met = probes.join(cells, (F.col("_p._lv") == F.col("_lv")) & (F.col("_p._cx") == F.col("_cx")) & (F.col("_p._cy") == F.col("_cy")))
+    met = met.drop("_p", "_lv", "_cx", "_cy").join(numbered, "_pid")
+    return met.where(F.col("_inner") | contains(F.col(geom), F.col(x), F.col(y))).drop("_pid", "_inner")
 
 
 def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, cy: str,
@@ -232,7 +275,7 @@ def near_count(points: DataFrame, centres: DataFrame, x: str, y: str, cx: str, c
     date), the number of points within ``radius`` (inclusive) (J14).  Points
     are blocked in cells of side ``radius``; each centre probes its 3 x 3
     neighbour cells, so only nearby pairs are compared.  Centres with no
-    point get 0.  The centre side is counted and broadcast when small."""
+    point get 0.  The planner broadcasts the centre side if its bytes allow."""
     keys = [key] if isinstance(key, str) else list(key)
     r = F.lit(float(radius))
     pts = points.select(*by, F.col(x).alias("_px"), F.col(y).alias("_py")) \

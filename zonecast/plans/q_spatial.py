@@ -66,7 +66,7 @@ inside AS (SELECT vec_id, zone_id FROM hits WHERE crossings % 2 = 1 AND NOT on_e
 @query("point_in_polygon")
 def point_in_polygon(spark, sf_dir):
     """Strict containment of every point in the zone layer."""
-    out = G.points_in_polygons(points(spark, sf_dir), zones(spark), "x", "y", "geometry", 0.1)
+    out = G.points_in_polygons(points(spark, sf_dir), zones(spark), "x", "y")
     return out.select("vec_id", "zone_id")
 
 
@@ -77,7 +77,7 @@ sql("point_in_polygon", f"WITH {_INSIDE} SELECT vec_id, CAST(zone_id AS INTEGER)
 def zone_counts(spark, sf_dir):
     """Points per zone with empty zones kept, and the 0/1 overlap flag
     (A4, P29, J6)."""
-    hits = G.points_in_polygons(points(spark, sf_dir), zones(spark), "x", "y", "geometry", 0.1)
+    hits = G.points_in_polygons(points(spark, sf_dir), zones(spark), "x", "y")
     cnt = hits.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n_points"))
     z = zones(spark).select("zone_id")
     return z.join(cnt, "zone_id", "left").select(
