@@ -103,4 +103,4 @@ def latest_nonnull(spark, sf_dir):
 
 
 # Register the other plan modules (import for side effects).
-from . import q_clean, q_metrics, q_drift, q_spatial, q_serving, q_ml, q_stream, q_io, q_ext, q_more, q_gold, q_variants, q_sources, q_scored  # noqa: E402,F401
+from . import q_clean, q_metrics, q_drift, q_spatial, q_serving, q_ml, q_stream, q_io, q_ext, q_more, q_gold, q_variants, q_sources, q_scored, q_silver  # noqa: E402,F401
