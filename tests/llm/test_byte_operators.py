@@ -220,8 +220,23 @@ def test_coder_round_trips():
     broken[20] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         mixcoder.decode_run([bytes(broken), *blocks[1:]], len(ids))
-    with pytest.raises(ValueError):
-        mixcoder.encode_run(np.array([70000]))
+    with pytest.raises(ValueError, match="checksum"):
+        mixcoder.decode_run([blocks[0], blocks[1][:-4] + b"abcd", *blocks[2:]], len(ids))
+    wide = np.concatenate([r.integers(0, 1 << 32, 300), [0, (1 << 32) - 1, 70000]]).astype("<u4")  # any width
+    assert (mixcoder.decode_run(mixcoder.encode_run(wide, 64), len(wide), 64) == wide).all()
+
+
+def test_coder_beats_an_order_0_code_and_zlib_on_real_text():
+    import pyarrow.parquet as pq
+
+    texts_ = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    ids = np.frombuffer(b"".join(tokens.load(BYTE_BPE).encode([t or "" for t in texts_])), "<u4")
+    coded = mixcoder.encode_run(ids)
+    assert (mixcoder.decode_run(coded, len(ids)) == ids).all()
+    bits = 8 * sum(map(len, coded)) / len(ids)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert bits < -(share * np.log2(share)).sum()
+    assert bits < 8 * len(zlib.compress(ids.astype("<u2").tobytes(), 6)) / len(ids)
 
 
 def test_token_files(spark):

@@ -1,16 +1,21 @@
-"""Adaptive context-mixing range coder for 16-bit token ids.
+"""Adaptive context-mixing range coder for token ids of any width.
 
 A run of ids is cut into blocks that are coded on their own: every block
-starts with an untaught model and a new coder, and has a checksum.  The blocks
-of a run advance side by side, one id of each per step, as numpy rows.
-
-Model of a block: for the contexts of order 0, 1 and 2 a table names the id
-expected next and how sure that is; an adaptive probability per order and
-sureness says how often such an expectation holds.  Each order is thus a
-distribution: that probability on its expected id, the rest spread by an
-adaptive order-0 model over classes of ids.  The three are mixed linearly with
-weights that follow each order's likelihood (Bayesian, with a fixed share so
-that an order can recover).
+starts with the run's prior, an untaught context model and a new coder, and has
+a checksum.  The blocks of a run advance side by side, one id of each per step,
+as numpy rows.
+
+The prior names the run's distinct ids and how often each occurs; it is stored
+once, before the blocks, with a checksum of its own.  Ids are coded by their
+place among the distinct ids, so their width doesn't matter.
+
+Model of a block: order 0 is the prior.  For the contexts of order 1 and 2 a
+table names two ids expected next, a recent and an earlier one, and how sure
+the first is; adaptive probabilities per order, candidate and sureness say how
+often such an expectation holds.  Each order is thus a distribution: these
+probabilities on its expected ids, the rest spread as the prior is.  The three
+are mixed linearly with weights that follow each order's likelihood (Bayesian,
+with a fixed share so that an order can recover).
 
 Coder: 64-bit range coder with carries, 32-bit words, cumulative counts out of
 2^32.  The model uses float64 sums, products and quotients element by element
@@ -23,72 +28,97 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-SLOTS = 4096  # per block and order
+BLOCK = 8192
+SLOTS = 8192  # per block and order
 SURE = 8
-SHARE = 0.03  # of the weights, dealt evenly at each step
-RATE = 1 / 24
-ORDERS = 3
+SHARE = 0.02  # of the weights, dealt evenly at each step
+RATE = 1 / 32
+CONTEXTS = 2  # orders 1 and 2
 WHOLE = 1 << 32
-LITERAL = 1 / 16  # of the mass at least stays with the order-0 classes
-CLASS_STARTS = np.array([0, 64, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 4096, 8192, 16384, 32768, 49152, 65536])
-CLASSES = len(CLASS_STARTS) - 1
-WIDTH = np.diff(CLASS_STARTS)
-CLASS_OF = np.repeat(np.arange(CLASSES), WIDTH)
-REFRESH = 16  # steps between refreshes of the class counts' running sums
+PRIOR_BITS = 24  # the prior's frequencies add up to 2^24
+LITERAL = 1 / 16  # of the mass at least stays with the prior
+RANK_BITS = 28
 U = np.uint64
 
 
+class Prior:
+    """The distinct ids of a run and their frequencies out of 2^PRIOR_BITS."""
+
+    def __init__(self, values: np.ndarray, counts: np.ndarray):
+        if len(values) >= 1 << PRIOR_BITS - 1:
+            raise ValueError(f"a run holds fewer than 2^{PRIOR_BITS - 1} distinct ids")
+        self.values, self.counts = values.astype(np.int64), counts.astype(np.int64)
+        room = (1 << PRIOR_BITS) - len(values)
+        self.freq = 1 + self.counts * room // max(1, int(self.counts.sum()))
+        if len(values):
+            self.freq[np.argmax(self.counts)] += (1 << PRIOR_BITS) - int(self.freq.sum())
+        self.cum = np.concatenate([[0], np.cumsum(self.freq)])
+        self.chance = self.freq / (1 << PRIOR_BITS)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple["Prior", np.ndarray]:
+        """The prior of ``ids`` and their places among its values."""
+        values, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        return cls(values, counts), places
+
+    def packed(self) -> bytes:
+        gaps = np.diff(self.values, prepend=0).astype("<u4")
+        data = zlib.compress(b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes() for a in (gaps, self.counts.astype("<u4"))), 6)
+        return zlib.crc32(data).to_bytes(4, "little") + data
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> "Prior":
+        if zlib.crc32(data[4:]) != int.from_bytes(data[:4], "little"):
+            raise ValueError("a prior's checksum is wrong")
+        raw = np.frombuffer(zlib.decompress(data[4:]), np.uint8)
+        gaps, counts = (np.ascontiguousarray(x.reshape(4, -1).T).view("<u4").reshape(-1) for x in np.split(raw, 2))
+        return cls(np.cumsum(gaps.astype(np.int64)), counts)
+
+
 class _Model:
-    def __init__(self, lanes: int):
-        rows, orders = np.arange(lanes), np.arange(ORDERS)[:, None]
-        self.table = np.zeros(ORDERS * lanes * SLOTS, np.uint32)  # expected id, and above it how sure
-        self.chance = np.tile((np.arange(SURE) + 0.5) / (SURE + 1), ORDERS * lanes)
-        self.weight = np.full((ORDERS, lanes), 1 / ORDERS)
+    def __init__(self, lanes: int, prior: Prior):
+        rows, orders = np.arange(lanes), np.arange(CONTEXTS)[:, None]
+        self.prior = prior
+        self.table = np.zeros(CONTEXTS * lanes * SLOTS, np.uint32)  # recent id, and above it how sure
+        self.earlier = np.zeros(CONTEXTS * lanes * SLOTS, np.uint32)
+        first, second = (np.arange(SURE) + 0.5) / (SURE + 2), np.full(SURE, 0.1)
+        self.chance = np.concatenate([np.tile(first, CONTEXTS * lanes), np.tile(second, CONTEXTS * lanes)])
+        self.second = CONTEXTS * lanes * SURE
+        self.weight = np.full((CONTEXTS + 1, lanes), 1 / (CONTEXTS + 1))
         self.base = (orders * lanes + rows) * SLOTS
         self.chance_base = (orders * lanes + rows) * SURE
         self.at = self.base.copy()
         self.last = np.zeros(lanes, np.int64)
-        # class counts, and their running sums as of the last refresh
-        self.seen = np.ones((lanes, CLASSES), np.int64)
-        self.sums = np.zeros((lanes, CLASSES + 1), np.int64)
-        self.seen_row, self.sums_row = rows * CLASSES, rows * (CLASSES + 1)
-        self.steps = 0
-        self._refresh()
-
-    def _refresh(self) -> None:
-        np.cumsum(self.seen, axis=1, out=self.sums[:, 1:])
-        self.total = CLASSES + self.steps
 
     def predict(self) -> None:
         """Expected ids and where their shares of WHOLE end; equal ids count
-        under the lowest order of rows."""
+        under the first of them."""
         slot = self.table.take(self.at)
-        self.ids = (slot & np.uint32(0xFFFF)).astype(np.int64)
-        self.sureness = (slot >> np.uint32(16)).astype(np.int64)
+        one = (slot & np.uint32((1 << RANK_BITS) - 1)).astype(np.int64)
+        two = self.earlier.take(self.at).astype(np.int64)
+        self.sureness = (slot >> np.uint32(RANK_BITS)).astype(np.int64)
         self.chance_at = self.chance_base + self.sureness
-        self.p = self.chance.take(self.chance_at)
-        share = (self.weight * self.p * (WHOLE * (1 - LITERAL))).astype(np.int64)
-        one, two = self.ids[1] == self.ids[0], self.ids[2] == self.ids[0]
-        share[0] += share[1] * one + share[2] * two
-        share[1] *= ~one
-        two_one = (self.ids[2] == self.ids[1]) & ~two
-        share[1] += share[2] * two_one
-        share[2] *= ~(two | two_one)
+        self.p, self.q = self.chance.take(self.chance_at), self.chance.take(self.chance_at + self.second)
+        self.q = np.minimum(self.q, 1 - self.p) * (two != one)
+        self.ids = np.concatenate([one, two])
+        w = self.weight[1:] * (WHOLE * (1 - LITERAL))
+        share = np.concatenate([w * self.p, w * self.q]).astype(np.int64)
+        for i in range(1, 2 * CONTEXTS):
+            for j in range(i):
+                same = self.ids[i] == self.ids[j]
+                share[j] += share[i] * same
+                share[i] *= ~same
         self.share = share
-        self.ends = [share[0], share[0] + share[1], share[0] + share[1] + share[2]]
-        self.unit = (WHOLE - self.ends[2]) // self.total
+        self.ends = np.cumsum(share, axis=0)
+        self.rest = self.ends[-1]
+        self.unit = (WHOLE - self.rest) >> PRIOR_BITS
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length of each id's interval."""
-        self.k = CLASS_OF.take(x)
-        at = self.sums_row + self.k
-        low = self.sums.take(at)
-        self.count, self.width = self.sums.take(at + 1) - low, WIDTH.take(self.k)
-        length = self.unit * self.count // self.width
-        start = self.ends[2] + self.unit * low + (x - CLASS_STARTS.take(self.k)) * length
+        length = self.unit * self.prior.freq.take(x)
+        start = self.rest + self.unit * self.prior.cum.take(x)
         self.hit = self.ids == x
-        for i in (2, 1, 0):
+        for i in range(2 * CONTEXTS - 1, -1, -1):
             here = self.hit[i] & (self.share[i] > 0)
             np.copyto(start, self.ends[i] - self.share[i], where=here)
             np.copyto(length, self.share[i], where=here)
@@ -96,37 +126,31 @@ class _Model:
 
     def find(self, v: np.ndarray) -> np.ndarray:
         """Id in whose interval each value lies."""
-        u = np.maximum(v - self.ends[2], 0)
-        q = u // self.unit
-        k = np.zeros(len(v), np.int64)
-        for half in (8, 4, 2, 1):  # the last class whose running sum is at most q
-            k += half * (self.sums.take(self.sums_row + k + half) <= q)
-        low = self.sums.take(self.sums_row + k)
-        width = WIDTH.take(k)
-        slot = self.unit * (self.sums.take(self.sums_row + k + 1) - low) // width
-        x = CLASS_STARTS.take(k) + np.minimum((u - self.unit * low) // slot, width - 1)
-        for i in (2, 1, 0):
+        u = np.minimum(np.maximum(v - self.rest, 0) // self.unit, (1 << PRIOR_BITS) - 1)
+        x = np.searchsorted(self.prior.cum, u, side="right") - 1
+        for i in range(2 * CONTEXTS - 1, -1, -1):
             np.copyto(x, self.ids[i], where=v < self.ends[i])
         return x
 
     def update(self, x: np.ndarray) -> None:
         """Learns the ids whose intervals were asked for last."""
-        literal = self.count / (self.width * self.total)
-        self.weight *= self.hit * self.p + (1 - self.p) * literal
+        literal = self.prior.chance.take(x)
+        one, two = self.hit[:CONTEXTS], self.hit[CONTEXTS:] & ~self.hit[:CONTEXTS]
+        self.weight[0] *= literal
+        self.weight[1:] *= one * self.p + two * self.q + (1 - self.p - self.q) * literal
         self.weight *= (1 - SHARE) / (self.weight[0] + self.weight[1] + self.weight[2])
-        self.weight += SHARE / ORDERS
-        self.chance.put(self.chance_at, self.p + (self.hit * 0.998 + 0.001 - self.p) * RATE)
-        ids = np.where(self.hit | (self.sureness > 0), self.ids, x)
-        sure = np.where(self.hit, np.minimum(self.sureness + 1, SURE - 1), self.sureness >> 1)
-        self.table.put(self.at, ids | sure << 16)
-        at = self.seen_row + self.k
-        self.seen.put(at, self.seen.take(at) + 1)
-        self.steps += 1
-        if self.steps % REFRESH == 0:
-            self._refresh()
+        self.weight += SHARE / (CONTEXTS + 1)
+        self.chance.put(self.chance_at, self.p + (one * 0.998 + 0.001 - self.p) * RATE)
+        q = self.chance.take(self.chance_at + self.second)
+        self.chance.put(self.chance_at + self.second, q + (two * 0.9 + 0.001 - q) * RATE)
+        # a new id replaces an expectation that isn't sure, which becomes the earlier one
+        replaced = ~one & (self.sureness == 0)
+        self.earlier.put(self.at, np.where(replaced, self.ids[:CONTEXTS], np.where(one, self.ids[CONTEXTS:], x)))
+        sure = np.where(one, np.minimum(self.sureness + 1, SURE - 1), self.sureness >> 1)
+        self.table.put(self.at, np.where(replaced, x, self.ids[:CONTEXTS]) | sure << RANK_BITS)
         mixed = x * 40503
-        self.at[1] = self.base[1] + ((mixed >> 4) & (SLOTS - 1))
-        self.at[2] = self.base[2] + ((mixed + self.last * 30029 + (self.last >> 3) >> 2) & (SLOTS - 1))
+        self.at[0] = self.base[0] + ((mixed >> 4 ^ x) & (SLOTS - 1))
+        self.at[1] = self.base[1] + ((mixed + self.last * 30029 + (self.last >> 3) >> 2) & (SLOTS - 1))
         self.last = x
 
 
@@ -137,23 +161,23 @@ def lane_lengths(n: int, block: int = BLOCK) -> np.ndarray:
 
 
 def encode_run(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """Coded blocks of a run.  Each begins with the CRC-32 of its ids."""
-    if len(ids) and int(ids.max()) > 0xFFFF:
-        raise ValueError("ids must fit 16 bits")
+    """The prior and the coded blocks of a run.  A block begins with the
+    CRC-32 of its ids."""
     lengths = lane_lengths(len(ids), block)
     lanes = len(lengths)
     if not lanes:
         return []
+    prior, places = Prior.of(np.asarray(ids, "<u4"))
     steps = int(lengths[0])
     ends = np.cumsum(lengths)
-    grid = np.zeros((lanes, steps), np.int64)  # a shorter block ends with one spare id 0
-    grid[np.arange(steps) < lengths[:, None]] = ids
-    model = _Model(lanes)
+    grid = np.zeros((lanes, steps), np.int64)  # a shorter block ends with one spare id
+    grid[np.arange(steps) < lengths[:, None]] = places
+    grid = np.ascontiguousarray(grid.T)
+    model = _Model(lanes, prior)
     low, span = np.zeros(lanes, U), np.full(lanes, (1 << 64) - 1, U)
     words = np.zeros((lanes, steps + 3), np.uint32)
     n_words = np.zeros(lanes, np.int64)
-    for t in range(steps):
-        x = np.ascontiguousarray(grid[:, t])
+    for x in grid:
         model.predict()
         start, length = model.interval(x)
         r = span >> U(32)
@@ -175,27 +199,28 @@ def encode_run(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         model.update(x)
     words[np.arange(lanes), n_words] = (low >> U(32)).astype(np.uint32)
     words[np.arange(lanes), n_words + 1] = (low & U(0xFFFFFFFF)).astype(np.uint32)
-    raw = ids.astype("<u4")
-    return [zlib.crc32(raw[e - n:e].tobytes()).to_bytes(4, "little") + words[i, :n_words[i] + 2].astype("<u4").tobytes()
-            for i, (e, n) in enumerate(zip(ends.tolist(), lengths.tolist(), strict=True))]
+    raw = np.asarray(ids, "<u4")
+    return [prior.packed(), *(zlib.crc32(raw[e - n:e].tobytes()).to_bytes(4, "little") + words[i, :n_words[i] + 2].astype("<u4").tobytes()
+                              for i, (e, n) in enumerate(zip(ends.tolist(), lengths.tolist(), strict=True)))]
 
 
 def decode_run(blocks: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
-    """The ids of a run, checked against the blocks' checksums."""
+    """The ids of a run, checked against the checksums."""
     lengths = lane_lengths(n, block)
     lanes = len(lengths)
-    if lanes != len(blocks):
+    if lanes + bool(lanes) != len(blocks):
         raise ValueError("the run has another number of blocks")
     if not lanes:
         return np.zeros(0, np.uint32)
+    prior, blocks = Prior.unpacked(blocks[0]), blocks[1:]
     steps = int(lengths[0])
     words = np.zeros((lanes, max(len(b) for b in blocks) // 4 + 2), U)
     for i, b in enumerate(blocks):
         words[i, :len(b) // 4 - 1] = np.frombuffer(b, "<u4", offset=4)
-    model = _Model(lanes)
+    model = _Model(lanes, prior)
     code, span = words[:, 0] << U(32) | words[:, 1], np.full(lanes, (1 << 64) - 1, U)
     at = np.full(lanes, 2)
-    grid = np.zeros((lanes, steps), np.int64)
+    grid = np.zeros((steps, lanes), np.int64)
     for t in range(steps):
         model.predict()
         r = span >> U(32)
@@ -207,9 +232,9 @@ def decode_run(blocks: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
             code[full] = code[full] << U(32) | words[full, np.minimum(at[full], words.shape[1] - 1)]  # damaged data may ask for more
             at[full] += 1
             span[full] <<= U(32)
-        grid[:, t] = x
+        grid[t] = x
         model.update(x)
-    ids = grid[np.arange(steps) < lengths[:, None]].astype("<u4")
+    ids = prior.values[grid.T[np.arange(steps) < lengths[:, None]]].astype("<u4")
     ends = np.cumsum(lengths)
     for b, e, k in zip(blocks, ends.tolist(), lengths.tolist(), strict=True):
         if zlib.crc32(ids[e - k:e].tobytes()) != int.from_bytes(b[:4], "little"):
