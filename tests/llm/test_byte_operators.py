@@ -221,7 +221,7 @@ def test_coder_round_trips():
     with pytest.raises(ValueError, match="checksum"):
         mixcoder.decode_run([bytes(broken), *blocks[1:]], len(ids))
     with pytest.raises(ValueError, match="checksum"):
-        mixcoder.decode_run([blocks[0], blocks[1][:-4] + b"abcd", *blocks[2:]], len(ids))
+        mixcoder.decode_run([blocks[0], blocks[1][:20] + b"abcd" + blocks[1][24:], *blocks[2:]], len(ids))
     wide = np.concatenate([r.integers(0, 1 << 32, 300), [0, (1 << 32) - 1, 70000]]).astype("<u4")  # any width
     assert (mixcoder.decode_run(mixcoder.encode_run(wide, 64), len(wide), 64) == wide).all()
 
