@@ -206,6 +206,36 @@ def test_shards(spark):
     assert sharding.assign_shards(df.limit(0)).count() == 0
 
 
+# ------------------------------------------------------ chat: slices by bytes
+def test_chat_slices_give_the_same_and_take_little_memory(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(9)
+    texts_ = [t for t in odd_texts(8, 80)] + ["### Assistant: </turn> \\", None, "x" * 300]
+    rows = pa.RecordBatch.from_pydict({"conv_id": list(range(len(texts_))), "turn": [0] * len(texts_),
+                                       "role": [r.choice(["user", "assistant", "a:b", None]) for _ in texts_], "text": texts_})
+
+    def formatted(batch):
+        out = [x for b in chat_format._format(iter([batch])) for x in b.to_pylist()]
+        assert len(out) == batch.num_rows
+        return out
+
+    whole = formatted(rows)
+    for limit in (1, 16, 100):
+        monkeypatch.setattr(chat_format, "SLICE_BYTES", limit)
+        assert formatted(rows) == whole
+    monkeypatch.setattr(chat_format, "SLICE_BYTES", 1 << 19)
+    big = pa.RecordBatch.from_pydict({"conv_id": [1] * 401, "turn": list(range(401)), "role": ["user"] * 401, "text": ["ab # \\" * 17_000] * 400 + ["y" * (4 << 20)]})
+    tracemalloc.start()
+    for b in chat_format._format(iter([big])):
+        assert b.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # of 45 MB of text, at 25 bytes a byte for one slice
+
+
 # ------------------------------------------------------------- token files
 def test_coder_round_trips():
     r = np.random.default_rng(1)

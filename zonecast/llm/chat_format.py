@@ -5,10 +5,11 @@ before every backslash, every ``###`` and every ``</turn>``; in roles also
 before colons.  So an unescaped ``###`` or ``</turn>`` is always the
 template's own, and dropping each backslash that escapes restores the text.
 
-One Arrow batch is formatted at once: segment lengths, their cumulative
-offsets and the place of every content byte are numpy arrays, and headers,
-contents, escapes and ends are scattered into one preallocated buffer that
-becomes the Arrow column.  Turns are formatted independently, so the format
+Slices of SLICE_BYTES of an Arrow batch are formatted at once: segment lengths,
+their cumulative offsets and the place of every content byte are numpy arrays,
+and headers, contents, escapes and ends are scattered into one preallocated
+buffer that becomes the Arrow column.  A turn longer than a slice is put
+together alone, without index arrays.  Turns are formatted independently, so the format
 step needs no shuffle; a conversation is its turns in (turn, role, text)
 order.
 
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ TURN_END = b"</turn>\n"
 CONTROL = (b"###", b"</turn>")
 LOSS_ROLE = b"assistant"
 
+SLICE_BYTES = 4 << 20  # of texts assembled together: index arrays take some 25 bytes a byte
 FORMATTED = "conv_id bigint, turn bigint, formatted binary, loss_start bigint, loss_length bigint"
 DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
            "loss_sha256 string, formatted_chars bigint")
@@ -101,21 +104,37 @@ def assemble(roles: list[bytes], data: np.ndarray, offsets: np.ndarray):
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
-        roles = [(r or "").encode() for r in b.column("role").to_pylist()]
-        data, offsets = _bytes_of(b.column("text").fill_null(""))
-        out, out_offsets, head, body = assemble(roles, data, offsets)
-        masked = np.array([r == LOSS_ROLE for r in roles])
-        if out_offsets[-1] >= 2 ** 31:
-            raise ValueError("lower spark.sql.execution.arrow.maxRecordsPerBatch: a batch of formatted turns exceeds 2 GB")
-        column = pa.Array.from_buffers(pa.binary(), b.num_rows,
-                                       [None, pa.py_buffer(out_offsets.astype(np.int32)), pa.py_buffer(out)])
-        yield pa.RecordBatch.from_arrays(
-            [b.column("conv_id"), b.column("turn"), column,
-             pa.array(np.where(masked, head, 0)), pa.array(np.where(masked, body, 0))],
-            names=["conv_id", "turn", "formatted", "loss_start", "loss_length"])
+    for whole in batches:
+        for b in by_bytes(whole, "text", SLICE_BYTES):
+            roles = [(r or "").encode() for r in b.column("role").to_pylist()]
+            masked = np.array([r == LOSS_ROLE for r in roles])
+            text = b.column("text").fill_null("")
+            if b.num_rows == 1 and pc.binary_length(text)[0].as_py() > SLICE_BYTES:
+                # a long turn alone: no index arrays, a few times its bytes
+                header, body_ = TURN_MARK + escape(roles[0], b":") + ROLE_END, escape(text[0].as_py().encode())
+                column, head, body = pa.array([header + body_ + TURN_END], pa.binary()), np.array([len(header)]), np.array([len(body_)])
+            else:
+                data, offsets = _bytes_of(text)
+                out, out_offsets, head, body = assemble(roles, data, offsets)
+                column = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(out_offsets.astype(np.int32)), pa.py_buffer(out)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("conv_id"), b.column("turn"), column,
+                 pa.array(np.where(masked, head, 0)), pa.array(np.where(masked, body, 0))],
+                names=["conv_id", "turn", "formatted", "loss_start", "loss_length"])
+
+
+def by_bytes(b: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of rows whose ``column`` takes at most ``limit`` bytes together;
+    a longer row is a slice of its own."""
+    size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < b.num_rows:
+        end, total = at + 1, int(size[at])
+        while end < b.num_rows and total + size[end] <= limit:
+            total += int(size[end])
+            end += 1
+        yield b.slice(at, end - at)
+        at = end
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
@@ -170,7 +189,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
     now, done = None, []
-    for b in batches:
+    for b in (part for whole in batches for part in by_bytes(whole, "formatted", SLICE_BYTES)):
         for conv, data, start, length in zip(b.column("conv_id").to_pylist(), b.column("formatted").to_pylist(),
                                              b.column("loss_start").to_pylist(), b.column("loss_length").to_pylist(),
                                              strict=True):
