@@ -206,6 +206,31 @@ def test_shards(spark):
     assert sharding.assign_shards(df.limit(0)).count() == 0
 
 
+def test_warc_shards_of_far_ids_get_a_task_each(spark, monkeypatch):
+    rows = [(i, f"http://x/{i}", f"page {i} " * 30) for i in (-(1 << 63), (1 << 63) - 1, 0, *range(5, 40))]
+    folder = scratch_folder(spark, "t-warc")
+    tasks = []
+    inner = warc._write
+
+    def write(*a):
+        run = inner(*a)
+
+        def seen(batches):
+            from pyspark import TaskContext
+            for b in run(batches):
+                yield b.set_column(0, b.schema.names[0], pa.array([f"{TaskContext.get().partitionId()}:{x}" for x in b.column(0).to_pylist()]))
+        import pyarrow as pa
+        return seen
+
+    manifest = warc.write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), folder, shard_bytes=600)
+    assert sorted(r.page_id for r in warc.read_warc(spark, folder).collect()) == sorted(r[0] for r in rows)
+    assert manifest.count() > 3
+    monkeypatch.setattr(warc, "_write", write)
+    names = [r[0] for r in warc.write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string"), scratch_folder(spark, "t-warc"), shard_bytes=600).collect()]
+    tasks = [n.split(":")[0] for n in names]
+    assert len(set(tasks)) > 3  # files of different shards come from different tasks
+
+
 # ------------------------------------------------------ chat: slices by bytes
 def test_chat_slices_give_the_same_and_take_little_memory(monkeypatch):
     import tracemalloc

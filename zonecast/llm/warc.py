@@ -33,14 +33,16 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from decimal import Decimal
 from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.guards import require_columns
+from ..operators.ordering import prefix_sums
 from .util import tidy, written
 
 FILE_BYTES = 16 << 20  # compressed; a file ends at the first record past it
@@ -165,9 +167,12 @@ def _shard_table(keyed: DataFrame, shard_bytes: int) -> tuple[Column, DataFrame]
     lo, hi = got["lo"] or 0, got["hi"] or 0
     wanted = max(1, -(-(got["b"] or 0) // shard_bytes))
     width = max(1, -(-(hi - lo + 1) // (wanted * SLICES)))
-    slice_of = F.coalesce(F.floor((F.col("page_id") - lo) / width), F.lit(-1)).cast("bigint")
+    # ids at both ends of their range are further apart than a long
+    from_lo = F.col("page_id").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")
+    slice_of = F.coalesce(F.floor(from_lo / F.lit(Decimal(width))), F.lit(-1)).cast("bigint")
     table = keyed.groupBy(slice_of.alias("slice")).agg(F.sum("size").alias("b"))
-    before = F.coalesce(F.sum("b").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    table = prefix_sums(table, [F.col("slice")], ["b"])
+    before = F.col("b_cum") - F.col("b")
     single = F.lit(width == 1) | (F.col("slice") == -1)
     table = table.select("slice", F.floor(before / shard_bytes).alias("base"),
                          F.when(single, F.greatest(F.lit(1), F.floor(F.col("b") / shard_bytes))).otherwise(1).alias("span"))
@@ -197,7 +202,8 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: in
     known = placed.select("shard", "page_id", "digest").join(reps, "digest").select(
         "shard", "page_id", "digest", "rep", "met", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     rows = placed.select("shard", "page_id", "digest", F.lit(None).cast("bigint").alias("rep"), F.lit(False).alias("met"), "url", "html")
-    rows = known.unionByName(rows).repartitionByRange(max(1, n), "shard").sortWithinPartitions(
+    # the shard is the partition: no two shards in one task, none left empty
+    rows = known.unionByName(rows).repartitionById(max(1, n), F.col("shard").cast("int")).sortWithinPartitions(
         "shard", "page_id", "digest", F.col("met").desc(), "url")
     files = rows.select("shard", "page_id", "url", "html", "digest", "rep", "met").mapInArrow(
         tidy(_write(folder.rstrip("/"), file_bytes)), MANIFEST)
