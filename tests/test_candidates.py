@@ -120,3 +120,30 @@ def test_shuffled_features_are_permutations_in_one_job(spark, monkeypatch):
     assert got["x"].importance > .1 > abs(got["y"].importance)
     assert got["x"].base_auc == got["y"].base_auc
     assert ML.permutation_importance(model, df.limit(0), ["x", "y"], "label", ["id"]).where("importance IS NULL").count() == 2
+
+
+def test_search_stops_losing_trials_early(spark, monkeypatch):
+    from zonecast.operators import split as SP
+
+    df = panel(spark, 300).withColumn("date", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 15).cast("int")))
+    folds = SP.time_folds(df, "date", 3)
+    fits = []
+    inner = ML.fit_classifier
+
+    def fit(frame, features, label, family, params):
+        fits.append(params["maxIter"])
+        return inner(frame, features, label, family, params)
+
+    monkeypatch.setattr(ML, "fit_classifier", fit)
+    space = {"maxIter": ("int", 4, 8), "maxDepth": ("int", 1, 3), "stepSize": ("log", 0.01, 0.3), "subsamplingRate": ("float", 0.6, 1.0),
+             "featureSubsetStrategy": ("float", 0.6, 1.0), "minInstancesPerNode": ("int", 1, 10), "pos_weight": ("float", 1.0, 10.0)}
+    rungs = ((1 / 4, 1, 1 / 3), (1.0, None, 1.0))
+    out = ML.halving_search(df, ["x", "y"], "label", folds, space, 6, "gbt", 1, rungs, parallel=3)
+    rows = {r.trial: r for r in out.collect()}
+    assert len(rows) == 6 and sorted(r.rung for r in rows.values()) == [0, 0, 0, 0, 1, 1]
+    assert len(fits) == 6 + 2 * 3 and max(fits[:6]) <= 2
+    best = ML.best_trial(out).first()
+    assert best.rung == 1 and best.mean_f2 == max(r.mean_f2 for r in rows.values() if r.rung == 1)
+    again = ML.halving_search(df, ["x", "y"], "label", folds, space, 6, "gbt", 1, rungs, parallel=1)
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in rows.values()}  # whatever runs at a time
+    assert set(ML.REFERENCE_SPACE) == set(space)

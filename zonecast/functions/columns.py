@@ -37,12 +37,9 @@ TIER_ACTIONS = {
 }
 CSI_ALARM = 0.25                                # per-feature alarm when CSI > 0.25
 RECALL_TARGET = 0.80                            # threshold choice recall floor
-EXPECTED_ZONES = 320                            # coverage check expects 320 zones
 COVERAGE_SHARE = 0.9                            # at least 90 % of them
 MAX_STALE_DAYS = 21                             # freshness pass if <= 21 days
 MAX_NULL_RATE = 0.05                            # null-rate pass if <= 5 %
-MIN_CLUSTER_MEAN = 0.5                          # activity floor, cluster count
-MIN_RAINFALL_MEAN = 0.01                        # activity floor, rainfall
 
 
 # ---------------------------------------------------------------- parsing

@@ -13,6 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import RECALL_TARGET
 from . import metrics as M
 from .model_store import StoredModel
 from .ordering import best_row
@@ -35,7 +36,7 @@ def model_thresholds(long: DataFrame, label: str, recall_floor: float) -> DataFr
     return M.pick_threshold(curve, recall_floor, ["model"]).select("model", "threshold", "meets_target")
 
 
-def evaluate_candidates(long: DataFrame, label: str, split: str, pick: Column, recall_floor: float = 0.80,
+def evaluate_candidates(long: DataFrame, label: str, split: str, pick: Column, recall_floor: float = RECALL_TARGET,
                         validation: str = "val") -> DataFrame:
     """Per (model, split): confusion counts, precision, recall, F1, F2, AUC and
     average precision at the model's threshold, which is picked on the rows

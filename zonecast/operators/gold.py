@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical, clip_upper, density, to_date_or_null, to_number
+from ..session import cut_lineage
 from . import clean as CL
 from . import index as IX
 from . import panel as P
@@ -34,7 +35,6 @@ GOLD_COLUMNS = (
     "recent_cases_rolling4w", "population", "elderly_pct", "area_km2", "population_density",
     "vulnerability_index", "active_cluster_overlap", "cluster_proximity", "label",
 )
-MODEL_FEATURES = GOLD_COLUMNS[2:15]   # the 12 model inputs + overlap are a parameter of training
 RELIABLE_FOLDER = "csv"               # fixed: snapshot folder kept in silver
 RAINFALL_CAP = 300.0                  # fixed: rainfall clip (mm)
 
@@ -108,18 +108,17 @@ def add_proximity(panel: DataFrame, clusters: DataFrame, subzones: DataFrame,
                   name: str = "cluster_proximity_2km") -> DataFrame:
     """Cluster points within ``radius_m`` of the zone centroid, per snapshot
     (J14, G5): centroids and points are projected to SVY21 metres, then the
-    radius-blocked count runs per (date, zone).  The reference documents
+    radius-blocked count runs on the zones and groups by the points' date.  The reference documents
     this count but ships a constant 0; the real count gets its own column."""
     shell = subzones.withColumn("_c", G.polygon_centroid(F.col("geometry"))) \
         .withColumn("_a", F.abs(G.ring_signed_area(F.col("geometry")[0])))
     cen = shell.groupBy(zone).agg(F.max_by("_c", "_a").alias("_c"))   # largest part per zone
     cn, ce = G.svy21(F.col("_c.y"), F.col("_c.x"))
     cen = cen.select(zone, ce.alias("_ce"), cn.alias("_cn"))
-    centres = panel.select("date", zone).join(cen, zone, "left")
     pn, pe = G.svy21(F.col("latitude"), F.col("longitude"))
     pts = clusters.select("date", pe.alias("_pe"), pn.alias("_pn")).where(F.col("_pe").isNotNull())
-    near = G.near_count(pts, centres.where(F.col("_ce").isNotNull()), "_pe", "_pn", "_ce", "_cn",
-                        [zone], radius_m, name, by=["date"])
+    near = G.near_count_by(pts, cen.where(F.col("_ce").isNotNull()), "_pe", "_pn", "_ce", "_cn",
+                           zone, radius_m, ["date"], name)
     return panel.join(near, ["date", zone], "left").withColumn(
         name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
 
@@ -130,6 +129,7 @@ def gold_features(clusters: DataFrame, weather: DataFrame, population: DataFrame
     """Gold zone x snapshot table and the vulnerability weights; with
     ``proximity`` the real 2 km count is appended as a last column."""
     zone = "subzone_name"
+    clusters = cut_lineage(clusters)  # the spine, two series, the overlap and the proximity read it
     zone_area = subzones.groupBy(zone).agg(F.round(F.sum("area_km2"), 4).alias("area_km2"))
     spine = P.spine(clusters, "date", zone_area, zone)
     lags = P.rolling_mean_rows(weather.select("date", "rainfall_mean_mm"), "date", "rainfall_mean_mm",
@@ -138,9 +138,7 @@ def gold_features(clusters: DataFrame, weather: DataFrame, population: DataFrame
                              {"cluster_count_rolling2w": 14, "cluster_count_rolling4w": 28})
     rc = P.rolling_mean_rows(P.daily_sum(clusters, "date", "recent_cases", "_s"), "date", "_s",
                              {"recent_cases_rolling2w": 14, "recent_cases_rolling4w": 28}, log1p=True)
-    g = P.add_series(spine, lags.drop("rainfall_mean_mm"))
-    g = P.add_series(g, cc.drop("_n"))
-    g = P.add_series(g, rc.drop("_s"))
+    g = P.add_series(spine, [lags.drop("rainfall_mean_mm"), cc.drop("_n"), rc.drop("_s")])
     pop = population.select(F.upper(F.trim("subzone")).alias(zone), F.col("total").alias("population"),
                             "elderly_pct")
     demo = pop.join(zone_area, zone, "left").withColumn(

@@ -1,9 +1,8 @@
-"""Size guards and small shared helpers.
+"""Small shared helpers.
 
 Broadcast policy: an explicit ``broadcast`` hint is only placed on a side
-whose row count has a *proven* bound (a calendar span, a parameter table, a
-per-partition summary) below a limit.  Everything else is left to the
-planner: with AQE on, Spark converts a join to a broadcast join only after
+whose row count has a *proven* bound (a parameter table, a row per model, a
+per-partition summary).  Everything else is left to the planner: with AQE on, Spark converts a join to a broadcast join only after
 measuring the shuffled side at run time, and falls back to a sort-merge join
 beyond ``spark.sql.autoBroadcastJoinThreshold``.
 """
@@ -13,17 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, bound: int | None,
-                       max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its known row bound is under ``max_rows``;
-    without a bound, leave the decision to AQE's measured-size rule."""
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def day_number(c: Column) -> Column:
     """Days since 1970-01-01 as an integer (for RANGE windows on dates)."""

@@ -19,11 +19,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import log1p_col, positive_flag
-from .guards import broadcast_if_small, day_number
-
-# Distinct-date sets above this many rows are not broadcast.
-MAX_BROADCAST_DATES = 200_000
+from ..functions.columns import log1p_col
+from .guards import day_number
 
 
 def distinct_values(df: DataFrame, col: str | Column, name: str) -> DataFrame:
@@ -84,11 +81,15 @@ def rolling_mean_rows(df: DataFrame, order: str, col: str, windows: dict[str, in
     return out
 
 
-def add_series(panel: DataFrame, series: DataFrame, date: str = "date",
-               max_rows: int = MAX_BROADCAST_DATES) -> DataFrame:
-    """Left join a per-date series onto the panel (J3).  The series has one
-    row per date, so it is broadcast when its row bound is under ``max_rows``."""
-    return panel.join(broadcast_if_small(series, None, max_rows), date, "left")
+def add_series(panel: DataFrame, series: DataFrame | Sequence[DataFrame], date: str = "date") -> DataFrame:
+    """Left join per-date series onto the panel (J3).  Several series meet
+    first, one row per date, so the panel joins once; the planner broadcasts
+    that side if its measured bytes allow."""
+    several = [series] if isinstance(series, DataFrame) else list(series)
+    together = several[0]
+    for s in several[1:]:
+        together = together.join(s, date, "full_outer")
+    return panel.join(together, date, "left")
 
 
 def add_overlap(panel: DataFrame, flags: DataFrame, keys: Sequence[str],
@@ -98,13 +99,6 @@ def add_overlap(panel: DataFrame, flags: DataFrame, keys: Sequence[str],
         flag, F.coalesce(F.col(flag), F.lit(0)).cast("int"))
 
 
-def point_flags(events: DataFrame, keys: Sequence[str], count_col: str,
-                flag: str = "active_cluster_overlap") -> DataFrame:
-    """Count per key -> 0/1 flag."""
-    return events.groupBy(*keys).agg(F.count(count_col).alias("_n")) \
-        .select(*keys, positive_flag("_n").alias(flag))
-
-
 def forward_label(panel: DataFrame, zone: str = "subzone_name", date: str = "date",
                   flag: str = "active_cluster_overlap", days: int = 14,
                   label: str = "label") -> DataFrame:
@@ -194,4 +188,4 @@ def build_panel(events: DataFrame, date: str, zone: str, flag_filter: Column,
         "value_sum", {"value_roll2w_log": 14, "value_roll4w_log": 28}, log1p=True)
     hits = zd.where(F.col("hit") == 1).select("date", zone)
     panel = overlap_and_label(sp, hits, zone, "date", days)
-    return add_series(add_series(panel, active), recent)
+    return add_series(panel, [active, recent])

@@ -17,12 +17,10 @@ def unpivot_features(df: DataFrame, ids: Sequence[str], cols: Sequence[str],
 
 
 def pivot_mean(df: DataFrame, row: str, col: str, value: str,
-               values: Sequence | None = None) -> DataFrame:
-    """Long -> wide mean with 0 fill (U7).  The distinct pivot values are
-    taken from the data when not given: they become columns, so a caller with
-    very many of them keeps the long form."""
-    if values is None:
-        values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+               values: Sequence) -> DataFrame:
+    """Long -> wide mean with 0 fill (U7).  ``values`` become the columns, so
+    the caller names them: no pass over the data decides the schema, and none
+    brings its values to the driver.  Other values are left out."""
     return df.groupBy(row).pivot(col, list(values)).agg(F.avg(value)).fillna(0)
 
 

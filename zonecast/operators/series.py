@@ -123,7 +123,3 @@ def month_gaps(df: DataFrame, date: str, name: str = "n_rows") -> DataFrame:
     return (cal.join(counts, "month", "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
             .withColumn("is_gap", F.col(name) == 0))
-
-
-def day_of(c: str | Column) -> Column:
-    return F.to_date(F.col(c) if isinstance(c, str) else c)

@@ -315,7 +315,7 @@ SELECT l_orderkey, l_linenumber, feature, value FROM (
 def pivot_daily(spark, sf_dir):
     """User x event-type mean value, 0 fill."""
     ev = table(spark, sf_dir, "events")
-    out = RS.pivot_mean(ev, "user_id", "event_type", "value")
+    out = RS.pivot_mean(ev, "user_id", "event_type", "value", ["click", "error", "purchase", "signup", "view"])
     return out.select("user_id", *[rnd(c) for c in out.columns if c != "user_id"])
 
 
