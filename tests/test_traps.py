@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zonecast import session
 from zonecast.operators import clean, gold, panel, series
 from zonecast.sources import readers, sinks
-from zonecast.streaming import cases
+from zonecast.streaming import cases, scoring
 
 D = dt.date
 
@@ -72,11 +72,8 @@ def test_running_counter_over_many_arrow_batches(spark, tmp_path):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     try:
         stream = spark.readStream.schema("event_id long, zone long, ts timestamp").parquet(src).withColumn("case_count", F.lit(1))
-        run = cases.running_weekly_counts(stream, "zone")
-        q = (run.writeStream.format("memory").queryName("running_traps").outputMode("append")
-             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-        q.awaitTermination()
-        got = spark.table("running_traps").collect()
+        cases.run_available(stream.writeStream.foreachBatch(scoring.EventSink(str(tmp_path / "run"), "zone")), str(tmp_path / "ck"))
+        got = scoring.read_log(spark, str(tmp_path / "run"), "events").collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted((r.event_id, r.running_count) for r in got) == [(i, i + 1) for i in range(3000)]

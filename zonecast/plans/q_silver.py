@@ -112,12 +112,13 @@ def long_lags(spark, sf_dir):
     daily = li.groupBy("date").agg(F.avg("l_discount").alias("temp"), F.avg("l_tax").alias("humidity"))
     out = P.rolling_mean_rows(daily, "date", "temp", {"temp_28d": 28, "temp_7d": 7})
     out = P.rolling_mean_rows(out, "date", "humidity", {"humidity_28d": 28, "humidity_7d": 7})
-    return out.select("date", *[rnd(c) for c in ("temp_28d", "temp_7d", "humidity_28d", "humidity_7d")])
+    # ten digits: means of cents end in a 5 after six digits too often
+    return out.select("date", *[rnd(c, 10) for c in ("temp_28d", "temp_7d", "humidity_28d", "humidity_7d")])
 
 
 sql("long_lags", f"""
 WITH d AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_discount) AS t, avg(l_tax) AS h FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1)
-SELECT date, {", ".join(f"round(avg({c}) OVER (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), {R}) AS {name}_{n}d"
+SELECT date, {", ".join(f"round(avg({c}) OVER (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 10) AS {name}_{n}d"
                         for c, name in (("t", "temp"), ("h", "humidity")) for n in (28, 7))} FROM d
 """)
 
