@@ -1,8 +1,8 @@
 """Joins and set operations.
 
-Dimension lookups count the dimension first (a cheap job on a small table)
-and broadcast it only below a row limit; otherwise the planner shuffles both
-sides (sort-merge, with AQE skew splitting)."""
+Dimension lookups are plain left joins: the planner broadcasts a side whose
+measured bytes allow it and otherwise shuffles both (sort-merge, with AQE skew
+splitting)."""
 
 from __future__ import annotations
 
