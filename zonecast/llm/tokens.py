@@ -22,7 +22,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_CHARS = 3_000_000
+CACHE_CHARS = 8_000_000  # some 150 MB in a worker
 TEXT_CHARS = 1_000_000  # of text looked at together
 JOINED = 256  # pieces encoded as one text
 CUT = re.compile(" (?=[!-~À-ɏ])")
