@@ -183,3 +183,22 @@ def test_encodings_are_decided_per_file_and_problems_listed(spark, tmp):
     assert len(RD.C1_CHARS) == len(RD.CP1252_CHARS) == 27
     assert RD.first_matching_glob(spark, [f"{tmp}/none", f"{tmp}/a"], ["*.txt", "*-clusters.csv"]) == "*-clusters.csv"
     assert RD.first_matching_glob(spark, [f"{tmp}/none"], ["*.csv"]) is None
+
+
+def test_station_lines_stay_in_the_tasks_that_scan_them(spark, tmp):
+    write(f"{tmp}/DAILYDATA_A_1.csv", "\n  \nYear,Month,Day,\"Rain, all\",Daily Rainfall Total (mm)\n"
+          + "".join(f"2019,1,{i % 28 + 1},\"x, y\",{i}\n" for i in range(600)))
+    write(f"{tmp}/DAILYDATA_B_1.csv", "Day,Month,Year,Daily Rainfall Total (mm)\n" + "".join(f"{i % 28 + 1},2,2019,{i}\n" for i in range(900))
+          + "Day,Month,Year,Daily Rainfall Total (mm)\n3,2,2019,-\n4,2,2019\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = RD.read_station_csv(spark, tmp)
+        assert df.rdd.getNumPartitions() > 4
+        got = {r["station_id"]: r for r in df.groupBy("station_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count("rainfall_mm").alias("k"), F.sum("rainfall_mm").alias("s"), F.max("month").alias("m")).collect()}
+        plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert tuple(got["A"])[1:] == (600, 600, 599 * 300.0, 1) and tuple(got["B"])[1:] == (902, 900, 899 * 450.0, 2)
+    assert "Window" not in plan and "Sort" not in plan  # no task holds a file's or a split's lines

@@ -19,6 +19,7 @@ from .tables import table
 
 V2 = ("data STRUCT<stations: ARRAY<STRUCT<id: STRING, name: STRING>>, "
       "readings: ARRAY<STRUCT<timestamp: STRING, data: ARRAY<STRUCT<stationId: STRING, value: DOUBLE>>>>>")
+FILE_READINGS = 200_000  # of a station's readings, in a file
 V1 = ("metadata STRUCT<stations: ARRAY<STRUCT<id: STRING, name: STRING, location: STRUCT<latitude: DOUBLE, longitude: DOUBLE>>>>, "
       "items ARRAY<STRUCT<timestamp: STRING, readings: ARRAY<STRUCT<station_id: STRING, value: DOUBLE>>>>")
 
@@ -170,18 +171,24 @@ FROM c
 def station_files(spark, sf_dir):
     """Station files whose headers differ from file to file (S15, S5, P3):
     events as readings, per type one station; half of the stations have their
-    columns in another order and one more column."""
+    columns in another order and one more column.  A station has a file per
+    some FILE_READINGS readings."""
     path = _folder(spark, "stations")
     ev = table(spark, sf_dir, "events").where("ts IS NOT NULL").select(
         F.col("event_type").alias("station"), "event_id", F.year("ts").alias("y"), F.month("ts").alias("m"), F.dayofmonth("ts").alias("d"),
         F.when(F.col("value") > 100, F.lit("—")).otherwise(F.col("value").cast("string")).alias("rain"), F.col("user_id").alias("temp"))
+    # one row per station
+    files = ev.groupBy(F.col("station").alias("_station")).agg(F.floor(F.count(F.lit(1)) / FILE_READINGS).alias("_last"))
+    number = F.pmod(F.xxhash64("event_id", "y", "m", "d", "rain", "temp"), F.col("_last") + 1)
+    ev = ev.join(files, F.col("station").eqNullSafe(F.col("_station"))).withColumn("file", number)
     odd = F.length("station") % 2 == 1
     text = F.when(odd, F.concat_ws(",", F.lit("x"), "temp", "d", "m", "y", "rain")).otherwise(F.concat_ws(",", "y", "m", "d", "rain", "temp"))
     header = F.when(odd, F.lit("Station,Mean Temperature (°C), Day ,Month,Year,Daily Rainfall Total (mm)")).otherwise(
         F.lit("Year,Month,Day,Daily Rainfall Total (mm),Mean Temperature (°C)"))
-    lines = ev.select("station", F.col("event_id").alias("o"), text.alias("line")).unionByName(
-        ev.select("station").distinct().select("station", F.lit(-1).cast("long").alias("o"), header.alias("line")))
-    lines.repartition("station").sortWithinPartitions("station", "o").select("station", "line").write.partitionBy("station").text(path)
+    lines = ev.select("station", "file", F.col("event_id").alias("o"), text.alias("line")).unionByName(
+        ev.select("station", "file").distinct().select("station", "file", F.lit(-1).cast("long").alias("o"), header.alias("line")))
+    lines.repartition("station", "file").sortWithinPartitions("station", "file", "o").select("station", "file", "line") \
+        .write.partitionBy("station", "file").text(path)
     out = RD.read_station_csv(spark, path, station_pattern="station=([^/]+)/")
     return out.groupBy("station_id", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("n"), F.count("rainfall_mm").alias("n_rain"), F.round(F.sum("rainfall_mm"), 4).alias("rain"), F.sum("temp_mean_c").alias("temp"))

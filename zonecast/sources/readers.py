@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import null_tokens, parse_yymmdd, sentinel_to_null, to_number
 from ..operators.ordering import prefix_sums
+from ..session import cut_lineage
 
 # Positional names of the headerless cluster snapshot files,
 # and the names given to the same positions by the older ingester.
@@ -184,13 +185,28 @@ def clean_header(df: DataFrame, rename: Mapping[str, str] | None = None) -> Data
     return out.withColumnsRenamed(dict(rename)) if rename else out
 
 
+def _placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Non-blank lines: file, the start of their split, order in it, line."""
+    return spark.read.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line")).where(F.trim("line") != "")
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(file, line): each file's first line of ``_placed_lines``.  Hashes and
+    places, all of fixed width, are aggregated per split, then per file, so
+    that no task sorts or keeps lines; the hash then tells the line's text."""
+    splits = lines.groupBy("file", "_block").agg(F.min_by(F.xxhash64("line"), "_row").alias("_hash"))
+    first = splits.groupBy("file").agg(F.min_by("_hash", "_block").alias("_hash"))
+    # one row per file, as the listing has
+    return lines.join(F.broadcast(first), "file").where(F.xxhash64("line") == F.col("_hash")).select("file", "line").distinct()
+
+
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, idx, line) with idx counting non-blank lines per file.  Files are
     split over tasks like any text: lines are numbered within their split, and
     the splits' counts, summed along the file, give each split its offset."""
-    t = spark.read.text(path if isinstance(path, str) else list(path)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line")).where(F.trim("line") != "")
+    t = _placed_lines(spark, path)
     # a window's partition is one split of a file, or one row per split
     numbered = t.withColumn("_n", F.row_number().over(Window.partitionBy("file", "_block").orderBy("_row")))
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -244,21 +260,27 @@ def read_station_csv(spark: SparkSession, path: str | Sequence[str],
     file's own header maps names to positions; only mapped columns that
     exist are kept (others null); NA markers -> null; numbers coerced;
     station id from the file's path; rows without year/month/day dropped.
-    Unless ``max_cols`` is given, the widest header sizes the lines."""
-    ln = _lines(spark, path)
+    Unless ``max_cols`` is given, the widest header sizes the lines.  Lines
+    stay in the scan's tasks, whatever the files' sizes: only headers move."""
+    lines = _placed_lines(spark, path)
+    heads = _first_lines(lines)
     if max_cols is None:
-        max_cols = ln.where(F.col("idx") == 0).agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+        heads = cut_lineage(heads)
+        max_cols = heads.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
     ddl = ", ".join(f"_c{i} STRING" for i in range(max_cols))
-    parsed = ln.withColumn("_a", F.from_csv("line", ddl))
-    arr = F.array(*[F.trim(F.col(f"_a._c{i}")) for i in range(max_cols)])
-    parsed = parsed.withColumn("_v", arr).drop("_a")
-    hdr = parsed.where(F.col("idx") == 0).select("file", F.col("_v").alias("_h"))
-    body = parsed.where(F.col("idx") > 0).join(hdr, "file")
+
+    def cells(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn("_a", F.from_csv("line", ddl)) \
+            .withColumn(name, F.array(*[F.trim(F.col(f"_a._c{i}")) for i in range(max_cols)])).drop("_a")
+
+    at = {dst: (F.array_position("_h", F.lit(src)) - 1).cast("int").alias(f"_at_{dst}") for src, dst in header_map.items()}
+    hdr = cells(heads, "_h").select("file", F.col("line").alias("_head"), *at.values())
+    # a line like the header is no reading
+    body = cells(lines.select("file", "line"), "_v").join(F.broadcast(hdr), "file").where(F.col("line") != F.col("_head"))
     toks = sorted({t.strip() for t in na})
     cols = []
-    for src, dst in header_map.items():
-        pos = F.array_position(F.col("_h"), F.lit(src))
-        raw = F.when(pos > 0, F.element_at(F.col("_v"), pos.cast("int")))
+    for dst in at:
+        raw = F.get("_v", F.col(f"_at_{dst}"))
         raw = F.when(raw.isin(toks), F.lit(None)).otherwise(raw)
         cols.append(to_number(raw, "double").alias(dst))
     sid = F.regexp_extract("file", station_pattern, 1)
