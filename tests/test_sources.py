@@ -202,3 +202,22 @@ def test_station_lines_stay_in_the_tasks_that_scan_them(spark, tmp):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert tuple(got["A"])[1:] == (600, 600, 599 * 300.0, 1) and tuple(got["B"])[1:] == (902, 900, 899 * 450.0, 2)
     assert "Window" not in plan and "Sort" not in plan  # no task holds a file's or a split's lines
+
+
+def test_first_in_file_writes_files_by_size_not_by_user(spark, tmp):
+    import glob
+
+    from zonecast.plans.queries import REGISTRY
+    from zonecast.session import scratch_path
+
+    rows = [(i, None if i % 150 == 149 else i % 150, ("a", "b", None)[i % 3]) for i in range(900)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string").write.parquet(f"{tmp}/events.parquet")
+    files = scratch_path(spark, "positions-*/**/*.csv")
+    local = files.removeprefix("file:")
+    before = set(glob.glob(local, recursive=True))
+    got = {(r.user_id, r.event_type): r.event_id for r in REGISTRY["first_in_file"](spark, tmp).collect()}
+    want = {}
+    for event_id, user_id, kind in rows:
+        want[user_id, kind] = max(event_id, want.get((user_id, kind), -1))
+    assert got == want
+    assert 1 <= len(set(glob.glob(local, recursive=True)) - before) < 150  # one per user before

@@ -117,11 +117,12 @@ SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END::BIGINT AS n,
 @query("first_in_file")
 def first_in_file(spark, sf_dir):
     """Snapshot files of several splits: of each (zone, type) the first row of
-    the file stays, whatever its values (W10, S1, S3).  Files hold a user's
-    events, the latest first."""
+    the file stays, whatever its values (W10, S1, S3).  Files hold some users'
+    events, a user's all in one file and the latest first; there are as many
+    files as the size asks for, not one per user."""
     path = _folder(spark, "positions")
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("user_id").alias("zone"))
-    ev.repartition("zone").sortWithinPartitions("zone", F.col("event_id").desc()).write.partitionBy("zone").csv(path)
+    ev.repartition("zone").sortWithinPartitions("zone", F.col("event_id").desc()).write.csv(path)
     schema = "event_id bigint, user_id bigint, event_type string, zone bigint"
     df = RD.with_row_position(RD.with_provenance(spark.read.schema(schema).csv(path)))
     out = CL.dedup_first(df, ["user_id", "event_type"], ["source_file", "source_block", "source_row"])
