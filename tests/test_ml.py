@@ -58,3 +58,18 @@ def test_promotion_gate_reads_a_later_slice_and_computed_importances(spark, monk
     monkeypatch.setattr(q_ml, "risk_panel", lambda *_: spark.createDataFrame(days, "date string").withColumn("date", F.to_date("date")))
     spans = {x.split: (str(x.lo), str(x.hi)) for x in q_ml.model_table(spark, "").groupBy("split").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()}
     assert spans["calib"] < spans["test"] < spans["oot"]
+
+
+def test_search_reads_pinned_folds(spark, monkeypatch):
+    df = spark.range(120).select(F.expr("date_add(date '2024-01-01', cast(id % 12 as int))").alias("date"),
+                                 (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 > 3).cast("int").alias("label"))
+    plans, fit = [], ML.fit_classifier
+
+    def seen(train, *rest):
+        plans.append(train._jdf.queryExecution().optimizedPlan().toString())
+        return fit(train, *rest)
+
+    monkeypatch.setattr(ML, "fit_classifier", seen)
+    res = ML.search_params(df, ["x"], "label", SP.time_folds(df, "date", 2), {"maxIter": ("int", 2, 3)}, 2, "gbt")
+    assert res.count() == 2 and len(plans) == 4
+    assert not any("Generate" in p or "Join" in p or "Range" in p for p in plans)  # no fit works the folds out again
