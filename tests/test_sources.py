@@ -221,3 +221,32 @@ def test_first_in_file_writes_files_by_size_not_by_user(spark, tmp):
         want[user_id, kind] = max(event_id, want.get((user_id, kind), -1))
     assert got == want
     assert 1 <= len(set(glob.glob(local, recursive=True)) - before) < 150  # one per user before
+
+
+def test_station_files_of_several_files_a_station(spark, tmp, monkeypatch):
+    from collections import Counter
+
+    from zonecast.plans import q_sources as Q
+
+    monkeypatch.setattr(Q, "FILE_READINGS", 10)
+    rows = [(i, f"2024-01-{1 + i % 3:02d} 10:00:00" if i % 50 else None, i % 4, ("view", "click", "error")[i % 7 % 3], float(i % 120)) for i in range(300)]
+    spark.createDataFrame(rows * 2, "event_id bigint, ts string, user_id bigint, event_type string, value double") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp}/events.parquet")
+    out = Q.station_files(spark, tmp)
+    n, rain, temp = Counter(), Counter(), Counter()
+    for _, ts, user, kind, value in rows * 2:
+        if ts:
+            k = kind, int(ts[8:10])
+            n[k], rain[k], temp[k] = n[k] + 1, rain[k] + (value if value <= 100 else 0), temp[k] + user
+    assert {(r.station_id, r.day): (r.n, r.rain, r.temp) for r in out.collect()} == {k: (n[k], rain[k], temp[k]) for k in n}
+    assert max(Counter(f.split("station=")[1].split("/")[0] for f in _station_files(spark)).values()) > 5
+
+
+def _station_files(spark):
+    import glob
+    import os
+
+    from zonecast.session import scratch_path
+
+    last = max(glob.glob(scratch_path(spark, "stations-*").removeprefix("file:")), key=os.path.getmtime)
+    return glob.glob(f"{last}/station=*/file=*/*.txt")
