@@ -3,6 +3,7 @@ brute force, on small tables with nulls, empty and long texts, ties, repeated
 rows, empty tables and clashing column names."""
 
 import collections
+import itertools
 import random
 import re
 
@@ -149,6 +150,67 @@ def test_lines_packed_in_small_runs_link_alike():
     assert one
 
 
+def test_near_lines_share_a_half():
+    found = collections.defaultdict(set)
+    lines = sorted({w for t in line_corpus(6, 250) for w in t.split("\n")})
+    w_line, whole, second, h_line, half = line_dedup.halves([x.encode() for x in lines])
+    assert w_line.tolist() == list(range(len(lines))) and (np.diff(h_line) >= 0).all()
+    v_line, v_whole, v_second = line_dedup.variants([x.encode() for x in lines])[:3]
+    assert (v_line == w_line).all() and (v_whole == whole).all() and (v_second == second).all()
+    for i, h in zip(h_line.tolist(), half.tolist(), strict=True):
+        found[i].add(h)
+    split = [x.split() for x in lines]
+    assert all(len(found[i]) == (0 if len(w) < line_dedup.MIN_WORDS else 2 if len(w) == line_dedup.MIN_WORDS else 3) for i, w in enumerate(split))
+    close = [(i, j) for i, j in itertools.combinations(range(len(lines)), 2)
+             if split[i] != split[j] and abs(len(split[i]) - len(split[j])) < 2 and near_words(split[i], split[j])]
+    assert len(close) > 100 and all(found[i] & found[j] for i, j in close)
+
+
+def marked(parts, n_buckets=4):
+    import pyarrow as pa
+
+    tables, size = collections.defaultdict(list), 0
+    names = [x.split(" ")[0] for x in line_dedup.PACKED_HALVES.split(", ")]
+    for k, p in enumerate(parts):
+        for row in line_dedup._pack_halves(list(p), n_buckets, k):
+            tables[row[0]].append(dict(zip(names, row, strict=True)))
+            size += sum(map(len, row[1:]))
+    marks = {(x["key"], x["line"], x["same"]) for rows in tables.values() for x in line_dedup._meet_halves((None,), pa.Table.from_pylist(rows)).to_pylist()}
+    same = {m[:2] for m in marks if m[2]}
+    return same, {m[:2] for m in marks if not m[2]} - same, size
+
+
+def test_halves_tell_alike_in_small_runs():
+    """Whatever runs a task cuts its documents into, the same lines take part;
+    of many lines with one half, two leave a run."""
+    docs = [(False, i, i, t.encode()) for i, t in enumerate(line_corpus(5, 80))]
+    one = marked([docs])
+    assert one[0] and one[1]
+    for parts in ([docs[i:i + 7] for i in range(0, 80, 7)], [docs[::2], docs[1::2]], [docs[i:i + 1] for i in range(79, -1, -1)], [docs, docs[5:9]]):
+        assert marked(parts)[:2] == one[:2]
+    hot = [(False, i, i, b"a b c d e f g h i " + str(i).encode() * 3) for i in range(3000)]
+    same, close, _ = marked([hot])
+    assert not same and len(close) == 3000
+    rows = list(line_dedup._pack_halves(hot, 1, 0))
+    assert len(rows) == 1 and len(rows[0][5]) // 4 <= 2 + 2 * 3000  # prefixes 5 and 4 in common, tails apart
+
+
+def test_lines_without_a_near_one_send_less_than_their_text(spark):
+    """Their variants stay away: 4 bytes a word and more before."""
+    r = random.Random(3)
+    word = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(4000)]
+    texts_ = ["\n".join(" ".join(r.choice(word) for _ in range(60)) for _ in range(10)) for _ in range(300)]
+    docs = [(False, i, i, t.encode()) for i, t in enumerate(texts_)]
+    same, close, size = marked([docs])
+    assert not same and not close and size < 0.4 * sum(map(len, texts_))
+    before = sum(len(x) for row in line_dedup._pack(docs, 4, 0) for x in row[1:])
+    assert before > 0.8 * sum(map(len, texts_))
+    planted = [*texts_, texts_[7].replace(" ", " x ", 1)]  # one word more in its first line
+    df = spark.createDataFrame(list(enumerate(planted)), "doc_id bigint, text string").repartition(4)
+    got = {x.doc_id: (x.n_same, x.n_near, x.text) for x in line_dedup.dedup_lines(df).where("n_same + n_near > 0").collect()}
+    assert got == {300: (9, 1, "")}
+
+
 def test_repeated_rows_keep_the_first_of_repeated_lines(spark):
     twice = "a b c d e f g h\nx\na b c d e f g h"
     close = "b b c d e f g h\ny\nb b c d e f g k"

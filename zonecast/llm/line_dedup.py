@@ -6,8 +6,17 @@ word inserted, deleted or replaced turns one into the other; lines with equal
 words are always near.  In the order of (doc_id, line number) a line goes if
 some earlier line is near it; lines without words stay.
 
-Every line emits hashed keys of its variants within the bound: the whole line
-and, from MIN_WORDS words on, the line without each one word, with that word's
+First equal lines meet by the hash of the whole, and lines from MIN_WORDS words
+on by the hashes of their halves: split the shorter of two near lines in two,
+then one of the halves begins or ends the other line too, as one edit can't
+touch both.  So a line that shares no half with a different line has no near
+one.  Three halves a line do for both lengths that its partner may have.  Of a
+half that several lines of a task have, two lines are passed on and all are
+told; equal lines go at once.
+
+The earliest of equal lines that share a half with a different line then emit
+hashed keys of their variants within the bound: the whole line and the line
+without each one word, with that word's
 place.  Equal keys mean: whole and whole, equal lines; variant and variant
 without the same place, one word replaced; whole and variant, one word more.
 Each of the first two kinds of group is a clique, so its earliest line stands
@@ -17,9 +26,9 @@ occur, a key leaves a task once.  Keys travel packed by hash bucket (numpy
 arrays in binary columns, 32 bits of each hash besides the bucket's); the
 buckets' tasks link what meets there, and chance meetings fail verification.
 
-Links between different lines are verified on their words; the texts of lines
-that take part are read again, told by a bitmap of fixed size, and the join
-drops its false hits.  Equal lines are told by 128 bits of hash: two hashes of
+The texts of lines that take part are read again, told by a bitmap of fixed
+size, and the join drops its false hits.  Links between different lines are
+verified on their words.  Equal lines are told by 128 bits of hash: two hashes of
 independent random values per byte and place (see ``words``), one of which
 isn't used to find them.
 
@@ -31,10 +40,12 @@ treated alike; other columns pass through whatever their names.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,12 +55,16 @@ from .words import GOLDEN, IS_SPACE, MORE_VALUES, U, Words, mix, pieces
 
 MIN_WORDS = 8
 WORDS_TOGETHER = 1_000_000  # whose variants a task holds
+TEXT_TOGETHER = 16_000_000  # bytes of text whose halves a task holds
 VARIANTS_PER_BUCKET = 1_000_000
 BITMAP = 1 << 23
 PACKED = "bucket int, docs binary, lines binary, wholes binary, variants binary, hashes binary, links binary"
+PACKED_HALVES = "bucket int, docs binary, lines binary, wholes binary, halves binary, hashes binary, marks binary"
+MARKS = "key bigint, line int, same boolean"
 LINKS = ("later_key bigint, later_line int, earlier_key bigint, earlier_line int, same boolean")
 LINE = np.dtype([("doc", "<u4"), ("line", "<u4")])
 DOC = np.dtype([("null", "u1"), ("id", "<i8"), ("key", "<i8")])
+MARK = np.dtype([("key", "<i8"), ("line", "<i4"), ("same", "?")])
 LINK = np.dtype([("later_key", "<i8"), ("later_line", "<i4"), ("earlier_key", "<i8"), ("earlier_line", "<i4"), ("same", "?")])
 
 
@@ -73,38 +88,79 @@ def unplanes(data: bytes, *dtypes: str) -> list[np.ndarray]:
     return out
 
 
+class _Hashed:
+    """Sums of the words' hashes of ``lines``, and the keys of whole lines: of
+    lines with words (``has``) the key and a second hash."""
+
+    def __init__(self, lines: list[bytes]):
+        words = Words(lines)
+        self.h, at = words.hashes(lower=False), words.first
+        self.start, self.end = start, end = at[:-1], at[1:]
+        self.n = n = end - start
+        self.has = np.flatnonzero(n > 0)
+        self.long = np.flatnonzero(n >= MIN_WORDS)
+        self.place = (np.arange(len(self.h)) - np.repeat(start, n)).astype(U) * GOLDEN
+        # a line is the sum of its words, each mixed with its place
+        self.sums = self.summed(self.place)
+        sums2 = np.zeros(len(self.h) + 1, U)
+        np.cumsum(mix(words.hashes(False, MORE_VALUES) + self.place), out=sums2[1:])
+        s, e = start[self.has], end[self.has]
+        short = (n[self.has] < MIN_WORDS).astype(U) * U(0x632BE59BD9B4E019)  # their wholes equal no variant
+        self.whole = mix(self.sums[e] - self.sums[s] + n[self.has].astype(U) + short)
+        self.second = mix(sums2[e] - sums2[s] + n[self.has].astype(U))
+
+    def summed(self, place: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.h) + 1, U)
+        np.cumsum(mix(self.h + place), out=out[1:])
+        return out
+
+
 def variants(lines: list[bytes]) -> tuple[np.ndarray, ...]:
     """Keys of all variants of ``lines``.  Of lines with words: number, key,
     second hash; of lines from MIN_WORDS on: number, key, place of the word
     left out."""
     out = []
     for a, b in pieces(lines):
-        words = Words(lines[a:b])
-        h, at = words.hashes(lower=False), words.first
-        start, end = at[:-1], at[1:]
-        n = end - start
-        has = np.flatnonzero(n > 0)
-        place = (np.arange(len(h)) - np.repeat(start, n)).astype(U) * GOLDEN
-        # a line is the sum of its words, each mixed with its place; after the word left out the places are one less
-        sums, moved, sums2 = np.zeros((3, len(h) + 1), U)
-        np.cumsum(mix(h + place), out=sums[1:])
-        np.cumsum(mix(h + (place - GOLDEN)), out=moved[1:])
-        np.cumsum(mix(words.hashes(False, MORE_VALUES) + place), out=sums2[1:])
-        s, e = start[has], end[has]
-        short = (n[has] < MIN_WORDS).astype(U) * U(0x632BE59BD9B4E019)  # their wholes equal no variant
-        whole = mix(sums[e] - sums[s] + n[has].astype(U) + short)
-        second = mix(sums2[e] - sums2[s] + n[has].astype(U))
-        long = np.flatnonzero(n >= MIN_WORDS)
-        line = np.repeat(long, n[long])
-        word = np.arange(len(line)) - np.repeat(np.cumsum(n[long]) - n[long], n[long]) + start[line]
+        x = _Hashed(lines[a:b])
+        n, start, end, sums = x.n, x.start, x.end, x.sums
+        moved = x.summed(x.place - GOLDEN)  # after the word left out the places are one less
+        line = np.repeat(x.long, n[x.long])
+        word = np.arange(len(line)) - np.repeat(np.cumsum(n[x.long]) - n[x.long], n[x.long]) + start[line]
         left, right = sums[word] - sums[start[line]], moved[end[line]] - moved[word + 1]
         key = mix(left + right + (n[line] - 1).astype(U))
-        out.append((has + a, whole, second, line + a, key, (word - start[line]).astype(np.uint32)))
+        out.append((x.has + a, x.whole, x.second, line + a, key, (word - start[line]).astype(np.uint32)))
     if not out:
         return tuple(np.zeros(0, t) for t in (np.int64, U, U, np.int64, U, np.uint32))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def halves(lines: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Of lines with words: number, key, second hash; of lines from MIN_WORDS
+    on, in their order: number and hash of each half that a near line shares.
+    The shorter line of n words is split after n // 2; a line of n words may be
+    the shorter one or, from MIN_WORDS + 1 on, have one word more than it."""
+    out = []
+    for a, b in pieces(lines):
+        x = _Hashed(lines[a:b])
+        back = x.summed((np.repeat(x.end, x.n) - 1 - np.arange(len(x.h))).astype(U) * GOLDEN)
+        n, start, end = x.n[x.long], x.start[x.long], x.end[x.long]
+        found = []
+        for shorter in (n, n - 1):
+            head = shorter // 2
+            tail = shorter - head
+            found.append((head, mix(x.sums[start + head] - x.sums[start] + head.astype(U))))
+            found.append((tail, mix(back[end] - back[end - tail] + tail.astype(U) + U(0x632BE59BD9B4E019))))
+        (head, h0), (tail, t0), (head1, h1), (tail1, t1) = found
+        more = n > MIN_WORDS
+        keep = np.stack([np.ones(len(n), bool), np.ones(len(n), bool), more & (head1 != head), more & (tail1 != tail)], axis=1)
+        half = np.stack([h0, t0, h1, t1], axis=1)
+        line = np.repeat(x.long + a, 4).reshape(-1, 4)
+        out.append((x.has + a, x.whole, x.second, line[keep], half[keep]))
+    if not out:
+        return tuple(np.zeros(0, t) for t in (np.int64, U, U, np.int64, U))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Stable order by key, and for each place there the place of its group's
     first."""
@@ -139,8 +195,9 @@ def _link_rows(doc: np.ndarray, lines: np.ndarray, later: np.ndarray, earlier: n
     return out[(out["later_key"] != out["earlier_key"]) | (out["later_line"] != out["earlier_line"])]
 
 
-def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
-    """PACKED rows of some documents (null flag, id, key, text)."""
+def _lined(docs: list[tuple]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Documents (null flag, id, key, text and, unless they are all of it, the
+    numbers of its lines) in their order, their lines, and the lines' texts."""
     # repeated rows are one document: a second copy's lines aren't later than the first's
     docs = sorted({d[:3]: d for d in docs}.values(), key=lambda d: (not d[0], d[1], d[2]))
     doc = np.array([d[:3] for d in docs], DOC)
@@ -148,8 +205,120 @@ def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
     count = np.array([len(x) for x in split])
     lines = np.zeros(int(count.sum()), LINE)
     lines["doc"] = np.repeat(np.arange(len(docs)), count)
-    lines["line"] = np.arange(len(lines)) - np.repeat(np.cumsum(count) - count, count)
-    w_line, whole, second, v_line, key, place = variants([x for s in split for x in s])
+    lines["line"] = np.concatenate([d[4] if len(d) > 4 else np.arange(n) for d, n in zip(docs, count.tolist(), strict=True)])
+    return doc, lines, [x for s in split for x in s]
+
+
+def _buckets(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    if n_buckets == 1:
+        return np.zeros(len(keys), np.int64)
+    return (keys >> U(64 - int(n_buckets).bit_length() + 1)).astype(np.int64)
+
+
+def _cuts(met: np.ndarray, bucket: np.ndarray) -> list[np.ndarray]:
+    """Which entries belong to each of the buckets ``met``."""
+    order = np.argsort(bucket, kind="stable")
+    lo, hi = (np.searchsorted(bucket[order], met, side) for side in ("left", "right"))
+    return [order[i:j] for i, j in zip(lo.tolist(), hi.tolist(), strict=True)]
+
+
+def _ends(doc: np.ndarray, lines: np.ndarray, of: np.ndarray, same: bool) -> np.ndarray:
+    out = np.zeros(len(of), MARK)
+    out["key"], out["line"], out["same"] = doc["key"][lines["doc"][of]], lines["line"][of], same
+    return out
+
+
+def _pack_halves(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
+    """PACKED_HALVES rows of some documents (null flag, id, key, text)."""
+    doc, lines, texts = _lined(docs)
+    w_line, whole, second, h_line, half = halves(texts)
+    order, first = _groups(whole ^ mix(second))
+    at = np.arange(len(order))
+    marks = [_ends(doc, lines, w_line[order[first != at]], True)]
+    kept = np.sort(order[first == at])
+    w_line, whole, second = w_line[kept], whole[kept], second[kept]
+    tag = np.zeros(len(lines), U)
+    tag[w_line] = whole
+    new = np.zeros(len(lines), bool)
+    new[w_line] = True
+    stays = new[h_line]
+    h_line, half = h_line[stays], half[stays]
+    # different lines with a half in common are told here; two of them tell the others
+    order, first = _groups(half)
+    at = np.arange(len(order))
+    several = np.bincount(first, minlength=len(order))[first] > 1
+    marks.append(_ends(doc, lines, np.unique(h_line[order[several]]), False))
+    kept = np.sort(order[at - first < 2])
+    h_line, half = h_line[kept], half[kept]
+    marks = np.concatenate(marks)
+    w_bucket, h_bucket = _buckets(whole, n_buckets), _buckets(half, n_buckets)
+    # marks ride along to any one bucket
+    met = np.unique(np.concatenate([w_bucket, h_bucket, np.full(min(1, len(marks)), turn % n_buckets)]))
+    for k, w, h in zip(met.tolist(), _cuts(met, w_bucket), _cuts(met, h_bucket), strict=True):
+        own = marks if k == turn % n_buckets else marks[:0]
+        used, where = np.unique(np.concatenate([w_line[w], h_line[h]]), return_inverse=True)
+        used_docs, doc_at = np.unique(lines["doc"][used], return_inverse=True)
+        d = doc[used_docs]
+        yield (k, planes(d["null"], d["id"].astype("<i8"), d["key"].astype("<i8")),
+               planes(np.diff(doc_at, prepend=0).astype("<u4"), lines["line"][used].astype("<u4"), tag[used]),
+               planes(where[:len(w)].astype("<u4"), second[w]), planes(np.diff(where[len(w):], prepend=0).astype("<i4")),
+               half[h].astype("<u4").tobytes(), own.tobytes())
+
+
+def _meet_halves(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """MARKS of one bucket: lines that an earlier one equals, and lines that
+    share a half with a different line (the earliest of equal ones)."""
+    doc, lines, tags, wholes, shared, marks = [], [], [], [], [], []
+    n_docs = n_lines = 0
+    for row in table.to_pylist():
+        marks.append(np.frombuffer(row["marks"], MARK))
+        null, id_, k = unplanes(row["docs"], "u1", "<i8", "<i8")
+        delta, number, tag = unplanes(row["lines"], "<u4", "<u4", "<u8")
+        line, second = unplanes(row["wholes"], "<u4", "<u8")
+        d_line, = unplanes(row["halves"], "<i4")
+        d, l = np.zeros(len(null), DOC), np.zeros(len(number), LINE)
+        d["null"], d["id"], d["key"] = null, id_, k
+        l["doc"], l["line"] = np.cumsum(delta) + n_docs, number
+        doc.append(d), lines.append(l), tags.append(tag)
+        wholes.append((line.astype(np.int64) + n_lines, second))
+        shared.append((np.cumsum(d_line) + n_lines, np.frombuffer(row["hashes"], "<u4").astype(np.uint32)))
+        n_docs, n_lines = n_docs + len(d), n_lines + len(l)
+    doc, lines, tag = np.concatenate(doc), np.concatenate(lines), np.concatenate(tags)
+    w_line, second = (np.concatenate(c) for c in zip(*wholes, strict=True))
+    h_line, half = (np.concatenate(c) for c in zip(*shared, strict=True))
+    # number the lines in their order, over all tasks
+    d = doc[lines["doc"]]
+    by_age = np.lexsort((lines["line"], d["key"], d["id"], 1 - d["null"]))
+    age = np.empty(len(lines), np.int64)
+    age[by_age] = np.arange(len(lines))
+    lines, tag = lines[by_age], tag[by_age]
+    w_line, h_line = age[w_line], age[h_line]
+
+    order = np.argsort(w_line, kind="stable")
+    w_line, second = w_line[order], second[order]
+    order, first = _groups(tag[w_line] ^ mix(second))
+    ends = _ends(doc, lines, w_line[order], True)
+    # repeated rows are one document: a line isn't later than itself
+    marks.append(ends[(ends["key"] != ends["key"][first]) | (ends["line"] != ends["line"][first])])
+    order = np.lexsort((h_line, tag[h_line], half))
+    h_line, half = h_line[order], half[order]
+    t = tag[h_line]
+    edge = np.ones(len(half), bool)
+    edge[1:] = half[1:] != half[:-1]
+    new = edge.copy()
+    new[1:] |= t[1:] != t[:-1]  # the earliest of equal lines
+    group = np.cumsum(edge) - 1
+    several = np.bincount(group[new], minlength=len(half))[group] > 1
+    marks.append(_ends(doc, lines, h_line[new & several], False))
+    out = np.unique(np.concatenate(marks))
+    return pa.Table.from_arrays([pa.array(out[n]) for n in MARK.names], names=list(MARK.names))
+
+
+def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
+    """PACKED rows of some documents (null flag, id, key, text and, unless they
+    are all of it, the numbers of its lines)."""
+    doc, lines, texts = _lined(docs)
+    w_line, whole, second, v_line, key, place = variants(texts)
     first, later, earlier = clique_links(whole ^ mix(second), w_line)
     links = [_link_rows(doc, lines, later, earlier, True)]
     new = np.zeros(len(lines), bool)
@@ -160,16 +329,11 @@ def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
     first, later, earlier = clique_links(mix(key + place.astype(U)), v_line)
     links.append(_link_rows(doc, lines, later, earlier, False))
     v_line, key, place = v_line[first], key[first], place[first]
-    shift = U(64 - int(n_buckets).bit_length() + 1) if n_buckets > 1 else None
-    w_bucket = (whole >> shift).astype(np.int64) if shift is not None else np.zeros(len(whole), np.int64)
-    v_bucket = (key >> shift).astype(np.int64) if shift is not None else np.zeros(len(key), np.int64)
-    w_order, v_order = np.argsort(w_bucket, kind="stable"), np.argsort(v_bucket, kind="stable")
+    w_bucket, v_bucket = _buckets(whole, n_buckets), _buckets(key, n_buckets)
     linked = np.concatenate(links)
     # links ride along to any one bucket
     met = np.unique(np.concatenate([w_bucket, v_bucket, np.full(min(1, len(linked)), turn % n_buckets)]))
-    w_cut, v_cut = ((np.searchsorted(x, met), np.searchsorted(x, met, side="right")) for x in (w_bucket[w_order], v_bucket[v_order]))
-    for i, k in enumerate(met.tolist()):
-        w, v = w_order[w_cut[0][i]:w_cut[1][i]], v_order[v_cut[0][i]:v_cut[1][i]]
+    for k, w, v in zip(met.tolist(), _cuts(met, w_bucket), _cuts(met, v_bucket), strict=True):
         own = linked if k == turn % n_buckets else linked[:0]
         used, where = np.unique(np.concatenate([w_line[w], v_line[v]]), return_inverse=True)
         used_docs, doc_at = np.unique(lines["doc"][used], return_inverse=True)
@@ -181,26 +345,34 @@ def _pack(docs: list[tuple], n_buckets: int, turn: int) -> Iterator[tuple]:
                key[v].astype("<u4").tobytes(), own.tobytes())
 
 
-def _emit(n_buckets: int):
-    names = [x.split(" ")[0] for x in PACKED.split(", ")]
+def _emit(pack: Callable, schema: str, n_buckets: int, together: int):
+    """``pack``'s rows of documents (doc_id, key, text), or of lines of
+    documents (with a fourth column, their numbers)."""
+    names = [x.split(" ")[0] for x in schema.split(", ")]
     types = [pa.int32(), *[pa.binary()] * 6]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size, turn = [], 0, 0
+        waiting, size, turn = [], 0, TaskContext.get().partitionId()
 
         def flush():
             nonlocal waiting, size, turn
-            rows = list(_pack(waiting, n_buckets, turn))
+            if waiting and len(waiting[0]) > 4:
+                of = defaultdict(list)
+                for *d, text, number in waiting:
+                    of[tuple(d)].append((number, text))
+                waiting = [(*d, b"\n".join(t for _, t in x), [n for n, _ in x]) for d, x in ((d, sorted(x)) for d, x in of.items())]
+            rows = list(pack(waiting, n_buckets, turn))
             waiting, size, turn = [], 0, turn + 1
             return [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)] if rows else []
 
         for b in batches:
-            for doc_id, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
+            number = [x.to_pylist() for x in b.columns[3:]]
+            for doc_id, key, text, *n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), *number, strict=True):
                 if not text:
                     continue
-                waiting.append((doc_id is None, doc_id or 0, key, text))
-                size += len(text) // 5
-                if size >= WORDS_TOGETHER:
+                waiting.append((doc_id is None, doc_id or 0, key, text, *n))
+                size += len(text)
+                if size >= together:
                     yield from flush()
         if waiting:
             yield from flush()
@@ -282,11 +454,8 @@ def _slots(key: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (mix(key.astype(U) + mix(line.astype(U))) & U(BITMAP - 1)).astype(np.int64)
 
 
-def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
-    """Those ``links`` whose lines are near by their words."""
-    ends = links.select(F.col("later_key").alias("key"), F.col("later_line").alias("line")).union(
-        links.select("earlier_key", "earlier_line")).distinct()
-    ends = written(ends, "line-ends")
+def _texts(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """doc_id, key, words, line of the lines (key, line) in ``ends``."""
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -302,20 +471,25 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.frombuffer(shared.value, np.uint64)
         for b in batches:
-            keys, numbers, found = [], [], []
-            for key, text in zip(b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
+            ids, keys, numbers, found = [], [], [], []
+            for doc_id, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 if not text:
                     continue
                 lines = text.split(b"\n")
                 slot = _slots(np.full(len(lines), key), np.arange(len(lines)))
                 for i in np.flatnonzero((bitmap[slot >> 6] >> (slot & 63).astype(U)) & U(1)).tolist():
-                    keys.append(key), numbers.append(i), found.append(lines[i])
+                    ids.append(doc_id), keys.append(key), numbers.append(i), found.append(lines[i])
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(found, pa.binary())],
-                                                 names=["key", "line", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(found, pa.binary()), pa.array(numbers, pa.int32())],
+                                                 names=["doc_id", "key", "words", "line"])
+
+    found = docs.mapInArrow(tidy(texts), "doc_id bigint, key bigint, words binary, line int")
+    return found.join(ends, ["key", "line"], "left_semi").dropDuplicates(["key", "line"]).select("doc_id", "key", "words", "line")
 
-    found = docs.mapInArrow(tidy(texts), "key bigint, line int, words binary").join(ends, ["key", "line"], "left_semi").dropDuplicates(["key", "line"])
-    found = written(found, "line-texts")
+
+def _verified(links: DataFrame, found: DataFrame) -> DataFrame:
+    """Those ``links`` whose lines, ``found``, are near by their words."""
+    found = found.select("key", "line", "words")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -330,17 +504,26 @@ def _verified(docs: DataFrame, links: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """key, line, near for every line of ``docs`` (doc_id, key, text) that
     goes; near is false if an earlier line has the same words."""
+    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = 1 << max(0, (size // 6 // VARIANTS_PER_BUCKET)).bit_length()
-    packed = docs.mapInArrow(tidy(_emit(n_buckets)), PACKED)
+    packed = docs.mapInArrow(tidy(_emit(_pack_halves, PACKED_HALVES, _n_buckets(size // 64), TEXT_TOGETHER)), PACKED_HALVES)
+    marks = written(packed.groupBy("bucket").applyInArrow(_meet_halves, MARKS), "line-marks")
+    release(spark)  # the packed keys' shuffle files
+    same = marks.where("same").select("key", "line").distinct()
+    ends = written(marks.where("NOT same").select("key", "line").distinct().join(same, ["key", "line"], "left_anti"), "line-ends")
+    found = written(_texts(docs, ends), "line-texts")
+    size = found.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    packed = found.mapInArrow(tidy(_emit(_pack, PACKED, _n_buckets(size // 6), 5 * WORDS_TOGETHER)), PACKED)
     links = written(packed.groupBy("bucket").applyInArrow(_meet, LINKS), "line-links")
-    release(docs.sparkSession)  # the packed keys' shuffle files
-    same = links.where("same").select(F.col("later_key").alias("key"), F.col("later_line").alias("line"))
-    close = links.where("NOT same").join(same.toDF("later_key", "later_line"), ["later_key", "later_line"], "left_anti")
-    close = _verified(docs, written(close.distinct(), "line-close")).toDF("key", "line")
+    release(spark)
+    close = _verified(written(links.where("NOT same").distinct(), "line-close"), found).toDF("key", "line")
     return same.withColumn("near", F.lit(False)).union(close.withColumn("near", F.lit(True))).distinct()
 
 
+def _n_buckets(keys: int) -> int:
+    return 1 << max(0, keys // VARIANTS_PER_BUCKET).bit_length()
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines that go taken out of the text, and n_lines,
     n_same and n_near (lines; those that went because of an equal, or only of
