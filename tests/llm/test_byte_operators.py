@@ -294,6 +294,34 @@ def test_coder_beats_an_order_0_code_and_zlib_on_real_text():
     assert bits < 8 * len(zlib.compress(ids.astype("<u2").tobytes(), 6)) / len(ids)
 
 
+def test_coder_takes_few_wide_steps(monkeypatch):
+    r, steps = np.random.default_rng(2), [0]
+    predict = mixcoder._Model.predict
+
+    def counted(self):
+        steps[0] += 1
+        predict(self)
+
+    monkeypatch.setattr(mixcoder._Model, "predict", counted)
+    ids = (r.zipf(1.3, 40_000) % 50_000).astype("<u4")
+    coded = mixcoder.encode_run(ids)
+    assert steps[0] <= 4096  # 8,000 when blocks were twice as long
+    assert (mixcoder.decode_run(coded, len(ids)) == ids).all()
+    assert steps[0] <= 2 * 4096
+    assert token_files.RUN_IDS // mixcoder.BLOCK >= 2048  # ids per step of a full run
+
+
+def test_coder_where_ids_take_many_bits_or_none():
+    r = np.random.default_rng(3)
+    many = r.permutation(np.arange(70_000)).astype("<u4")  # the prior's places are searched for, words run out of their first room
+    assert len(many).bit_length() + mixcoder.PRIOR_ROOM > mixcoder.FIND_BITS
+    for ids in (many, many + mixcoder.DENSE, np.full(9000, 7, "<u4"), np.tile(many[:2], 5000)):
+        ids = ids.astype("<u4")
+        coded = mixcoder.encode_run(ids)
+        assert (mixcoder.decode_run(coded, len(ids)) == ids).all()
+    assert 8 * sum(map(len, mixcoder.encode_run(many))) < 18 * len(many) + 8 * len(mixcoder.encode_run(many)[0])
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 

@@ -8,7 +8,7 @@ archive writer does; the manifest lists them with their id counts.  Where a
 document starts among all ids follows from the manifest (ids of earlier files)
 and its file's table, so texts are encoded once.
 
-Layout, numbers little-endian: ``TIDS2`` | runs | table | trailer.
+Layout, numbers little-endian: ``TIDS3`` | runs | table | trailer.
   run      u32 ids, u32 blocks, u32 length of each block, CRC-32 of these, blocks
            (the first one is the run's prior)
   table    zlib of: i64 doc_id, u8 null flag, i64 ids, column after column
@@ -40,8 +40,8 @@ from .warc import file_system
 
 END_ID = 2
 FILE_IDS = 1 << 24
-RUN_IDS = 1 << 22  # coded side by side: 512 blocks
-MAGIC = b"TIDS2"
+RUN_IDS = 1 << 23  # coded side by side: 2048 blocks
+MAGIC = b"TIDS3"
 TRAILER = struct.Struct("<QIIQQ")
 MANIFEST = "file string, part int, number int, docs bigint, ids bigint, bytes bigint, sha256 string"
 
